@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows of long texts must not make huge Arrow batches.
+ARROW_BYTES = "16m"
 #: Plan-shaping settings; sizes of partitions are left to the cluster.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,6 +17,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES,
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
@@ -32,6 +35,7 @@ def get_session(app: str = "newsweft", master: str | None = None, **conf: str) -
 
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in the session's Python workers; once for each application."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parent
