@@ -82,7 +82,7 @@ def build_sketch(units: DataFrame, text_col: str, id_col: str, window: int, bits
             h = _hashes(_ordered_texts(rows, text_col, id_col), window)[2]
             held.append(h)
             n += len(h)
-            if n >= 4 << 20:
+            if n >= 3 << 20:
                 yield from un.in_batches(flush(held))
                 held, n = [], 0
         if n:
@@ -102,6 +102,7 @@ def build_sketch(units: DataFrame, text_col: str, id_col: str, window: int, bits
                 hits[cells] = np.minimum(hits[cells] + 1 + twice, 2)
         if shard is not None:
             yield un.question_batch([(shard, 0, np.packbits(hits >= 2).tobytes())])
+        un.trim()
 
     out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(depth)]
     merged = (units.select("unit_id", "rows").mapInArrow(emit, un.QUESTION).repartition(min(depth * per_row, 4096), "shard")

@@ -7,6 +7,8 @@ shard (sorted hashes) and recognise the answer by the order of its own hashes.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +26,13 @@ UNIT_BYTES = 4 << 20
 SHARD_HASHES = 1 << 20
 
 
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts."""
     return int(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
@@ -63,6 +72,7 @@ def stage(docs: DataFrame, text_col: str, unit_bytes: int = UNIT_BYTES, total_by
             made += len(first)
             for i in range(len(first)):  # a unit a batch, so that no batch grows large
                 yield pa.RecordBatch.from_arrays([ids.slice(i, 1), rows.slice(i, 1)], names=["unit_id", "rows"])
+        trim()
 
     total = text_bytes(docs, text_col) if total_bytes is None else total_bytes
     return persist_bucketed(docs.mapInArrow(cut, schema), "units", "unit_id", max(1, min(100_000, total // (4 * unit_bytes) + 1)))
@@ -75,6 +85,8 @@ def each_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Struc
         rest = [n for n in b.schema.names if n not in ("unit_id", "rows")]
         for i, u in enumerate(ids):
             yield u, rows[i].values, {n: b.column(n)[i].as_py() for n in rest}
+        del b, rows
+        trim()
 
 
 def texts_of(rows: pa.StructArray, text_col: str) -> list[bytes | None]:
@@ -139,6 +151,7 @@ def ask(asked: DataFrame, shards: int, answer: Callable[[list[bytes]], list[byte
                 blobs.append(x)
         if blobs:
             yield from in_batches(flush())
+        trim()
 
     answers = asked.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard", "unit_id").mapInArrow(work, QUESTION)
     return answers.groupBy("unit_id").agg(F.collect_list(F.struct("shard", "blob")).alias("answers"))

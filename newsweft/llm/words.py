@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
