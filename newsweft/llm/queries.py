@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import bpe, packing, substring_dedup, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,23 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), outputs=False)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES = {f.__name__: f for f in (
+    op3_token_files,
     op4_substring_dedup,
+    op5_bpe,
+    op7_packing,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
