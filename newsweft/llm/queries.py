@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, substring_dedup, token_files
+from . import bpe, packing, quality_rules, substring_dedup, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,15 +23,25 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), outputs=False)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (
     op3_token_files,
     op4_substring_dedup,
     op5_bpe,
+    op6_warc,
     op7_packing,
+    op8_quality_rules,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
