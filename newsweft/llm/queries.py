@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, substring_dedup, token_files, warc
+from . import bpe, lm_scoring, packing, quality_rules, substring_dedup, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op3_token_files,
     op4_substring_dedup,
@@ -42,6 +46,7 @@ QUERIES = {f.__name__: f for f in (
     op6_warc,
     op7_packing,
     op8_quality_rules,
+    op9_lm_scoring,
 )}
 
 ORACLE_SQL: dict[str, str] = {}

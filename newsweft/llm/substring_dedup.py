@@ -176,7 +176,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         yield from un.in_batches(rows_of())
 
-    def answer(blobs: list[bytes]) -> list[bytes | None]:
+    def answer(_: list[int], blobs: list[bytes]) -> list[bytes | None]:
         """For each blob a bit for each hash: whether another unit has it in a document of a smaller id."""
         sizes = [len(b) // 20 for b in blobs]
         h = np.concatenate([np.frombuffer(b, np.uint64, n) for b, n in zip(blobs, sizes)])
@@ -225,7 +225,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [rows.field(id_col), pa.array(out, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), *(rows.field(c) for c in carry)],
                 names=schema.names)
 
-    return un.answered(units, answers).select("unit_id", "rows", "answers").mapInArrow(cut, schema)
+    return un.answered(units, answers).mapInArrow(cut, schema)
 
 
 def digest(result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

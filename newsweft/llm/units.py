@@ -127,8 +127,11 @@ def in_batches(rows: Iterator[tuple[int, int, bytes]], most: int = 8 << 20) -> I
         yield question_batch(held)
 
 
-def ask(asked: DataFrame, shards: int, answer: Callable[[list[bytes]], list[bytes | None]]) -> DataFrame:
-    """``unit_id, answers array<struct<shard, blob>>``: each shard's blobs answered together by one task.
+def ask(asked: DataFrame, shards: int, answer: Callable[[list[int], list[bytes]], list[bytes | None]], summary: bool = False) -> DataFrame:
+    """``shard, unit_id, blob``: the blobs of a shard, of all units, answered together by one task.
+
+    ``answer`` gets unit ids and blobs; blobs answered by None stay unanswered.
+    With ``summary`` it adds one more blob, about the shard, for unit -1.
 
     A shard is a range of hashes and each unit sends a hash once, so a shard's
     rows are bounded by the units times its width, hot words included.
@@ -136,7 +139,7 @@ def ask(asked: DataFrame, shards: int, answer: Callable[[list[bytes]], list[byte
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[tuple[int, int, bytes]]:
-            for u, out in zip(units, answer(blobs)):
+            for u, out in zip([*units, -1] if summary else units, answer(units, blobs)):
                 if out is not None:
                     yield shard, u, out
 
@@ -153,13 +156,16 @@ def ask(asked: DataFrame, shards: int, answer: Callable[[list[bytes]], list[byte
             yield from in_batches(flush())
         trim()
 
-    answers = asked.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard", "unit_id").mapInArrow(work, QUESTION)
-    return answers.groupBy("unit_id").agg(F.collect_list(F.struct("shard", "blob")).alias("answers"))
+    return asked.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard", "unit_id").mapInArrow(work, QUESTION)
 
 
 def answered(units: DataFrame, answers: DataFrame) -> DataFrame:
-    """Units with their answers; only the answers move, units are bucketed."""
-    return units.join(answers, "unit_id", "left")
+    """Units with ``answers array<struct<shard, blob>>``; only the answers move, units are bucketed.
+
+    A unit's answers are bounded as the unit is.
+    """
+    own = answers.filter("unit_id >= 0").groupBy("unit_id").agg(F.collect_list(F.struct("shard", "blob")).alias("answers"))
+    return units.join(own, "unit_id", "left").select("unit_id", "rows", "answers")
 
 
 def answer_map(answers: list[dict] | None) -> dict[int, bytes]:
