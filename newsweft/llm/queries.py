@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lm_scoring, packing, quality_rules, substring_dedup, token_files, warc
+from . import bpe, fingerprints, lm_scoring, packing, quality_rules, substring_dedup, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op3_token_files,
     op4_substring_dedup,
@@ -47,6 +51,7 @@ QUERIES = {f.__name__: f for f in (
     op7_packing,
     op8_quality_rules,
     op9_lm_scoring,
+    op10_fingerprints,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
