@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, lm_scoring, packing, quality_rules, substring_dedup, token_files, warc
+from . import bpe, fingerprints, lm_scoring, near_dedup, packing, quality_rules, substring_dedup, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_near_dedup,
     op3_token_files,
     op4_substring_dedup,
     op5_bpe,
