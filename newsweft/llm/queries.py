@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, lm_scoring, near_dedup, packing, quality_rules, substring_dedup, token_files, warc
+from . import bpe, fingerprints, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup,
+    op2_quality_lm,
     op3_token_files,
     op4_substring_dedup,
     op5_bpe,
