@@ -26,9 +26,9 @@ LEAF = 1 << 14
 #: Characters above which a document's leaves are rows of their own.
 LONG_TEXT = 1 << 16
 #: Chunks remembered by a worker at most.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 #: Bytes encoded at once.
-BATCH = 1 << 21
+BATCH = 1 << 22
 
 
 def default_tokenizer() -> str:
@@ -49,9 +49,9 @@ def byte_characters() -> list[str]:
     return out
 
 
-class Encoder(dict):
-    """Chunk -> number of its remembered ids. A key starting with \\x01 stands for a newline and the rest,
-    with \\x02 for the rest alone, any other for a space and itself."""
+class Encoder:
+    """Encodes texts by remembered chunks. A chunk's key is the chunk without its first blank; before it stands
+    \x01 if it starts with a newline instead, \x02 if it is the first of a text."""
 
     def __init__(self, path: str, leaf: int = LEAF):
         from tokenizers import Tokenizer
@@ -59,51 +59,66 @@ class Encoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         self.leaf = leaf
         self.byte_char = byte_characters()
         self.char_map = {b: c for b, c in enumerate(self.byte_char)}
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self._bytes: list[bytes] | None = None
         self.blank = self.byte_char[0x20]
+        self.newline = self.tok.token_to_id(self.byte_char[0x0A])
         self.signs = {c: i for c in ".,!?;:" if (i := self.tok.token_to_id(c)) is not None}
+        self.known: dict[str, int] = {}
         self._forget()
 
     def _forget(self) -> None:
         """Keep what was used since the last time as a second generation; all else goes."""
-        self.old = (dict(self), self.first, self.size, self.open, self.flat) if len(self) else None
-        self.clear()
-        self.flat, self.first, self.size, self.open = array("I"), array("q"), array("q"), array("b")
+        self.old = (self.known, np.cumsum([0, *self.size]), self.flat, self.open) if self.known else None
+        self.known, self.flat, self.size, self.open = {}, array("I"), array("H"), set()
+
+    def _learn(self, keys: list[str]) -> np.ndarray:
+        """Numbers of keys; new ones are encoded, most of them a run of letters with perhaps a sign behind."""
+        known, tokenize, signs, size, flat = self.known, self.model.tokenize, self.signs, self.size, self.flat
+        old, first, was, open_ = self.old or ({}, None, None, set())
+        out = list(map(known.get, keys))
+        at = len(size)
+        for i, n in enumerate(out):
+            if n is not None:
+                continue
+            key = keys[i]
+            o = old.get(key)
+            if o is not None:
+                ids, unsafe = was[first[o] : first[o + 1]], o in open_
+            else:
+                mark = key[:1]
+                plain = mark not in "\x01\x02" if mark else True
+                body = key if plain else key[1:]
+                tail = signs.get(body[-1:])
+                head = body if tail is None else body[:-1]
+                unsafe = False
+                if head.isalpha() and len(head) < 200 and (head.isascii() or max(head) < "\u0250") and (plain or mark == "\x02" or self.newline is not None):
+                    word = head if head.isascii() else head.encode().decode("latin-1").translate(self.char_map)
+                    ids = [t.id for t in tokenize(self.blank + word if plain else word)]
+                    if mark == "\x01":
+                        ids.insert(0, self.newline)
+                    if tail is not None:
+                        ids.append(tail)
+                else:
+                    chunk = " " + body if plain else "\n" + body if mark == "\x01" else body
+                    ids, unsafe = self.tree(chunk), chunk[-1:].isspace()
+            if len(ids) > 65_000:  # too long to remember; its text is encoded whole
+                ids, unsafe = [], True
+            if unsafe:
+                self.open.add(at)
+            known[key] = out[i] = at
+            size.append(len(ids))
+            flat.extend(ids)
+            at += 1
+        return np.array(out, np.int64)
 
     def library(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def __missing__(self, key: str) -> int:
-        at = self[key] = len(self.first)
-        if self.old and (o := self.old[0].get(key)) is not None:
-            _, first, size, open_, flat = self.old
-            ids, unsafe = flat[first[o] : first[o] + size[o]], open_[o]
-        else:
-            mark = key[:1]
-            chunk = key[1:] if mark == "\x02" else "\n" + key[1:] if mark == "\x01" else " " + key
-            ids, unsafe = self._chunk(chunk), chunk[-1:].isspace()
-        self.first.append(len(self.flat))
-        self.size.append(len(ids))
-        self.open.append(unsafe)
-        self.flat.extend(ids)
-        return at
-
-    def _chunk(self, chunk: str) -> list[int]:
-        if chunk[:1] == " " and len(chunk) <= self.leaf:  # mostly a space, a run of letters and perhaps one sign
-            tail = self.signs.get(chunk[-1])
-            head = chunk[1:] if tail is None else chunk[1:-1]
-            if head.isalpha() and (head.isascii() or max(head) < "\u0250"):
-                text = self.blank + (head if head.isascii() else head.encode().decode("latin-1").translate(self.char_map))
-                ids = [t.id for t in self.tok.model.tokenize(text)]
-                if tail is not None:
-                    ids.append(tail)
-                return ids
-        return self.tree(chunk)
-
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of an Arrow string array; null counts as empty."""
         import pyarrow.compute as pc
@@ -120,7 +135,7 @@ class Encoder(dict):
     def _batch(self, texts: pa.Array) -> list[np.ndarray]:
         import pyarrow.compute as pc
 
-        if len(self) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
         texts = pc.fill_null(texts, "")
         odd = pc.or_(pc.match_substring(texts, "\x01"), pc.match_substring(texts, "\x02"))
@@ -128,16 +143,18 @@ class Encoder(dict):
         marked = pc.binary_join_element_wise(pa.scalar("\x02"), pc.replace_substring(texts, "\n", " \x01"), "")
         parts = pc.split_pattern(marked, " ")
         words = parts.flatten().dictionary_encode()
-        numbers = np.fromiter(map(self.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
-        idx = numbers[words.indices.to_numpy()]
-        first, size, flat = np.array(self.first), np.array(self.size), np.array(self.flat, np.uint32)
+        idx = self._learn(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        size, flat = np.array(self.size, np.int64), np.array(self.flat, np.uint32)
+        first = np.cumsum(size) - size
         ends = np.cumsum(pc.list_value_length(parts).to_numpy().astype(np.int64))
         n = size[idx]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.repeat(first[idx] - total[:-1], n) + np.arange(total[-1])]
         cut = total[np.concatenate([[0], ends])]
-        unsafe = np.flatnonzero(np.array(self.open, bool)[idx])
-        whole |= set(np.searchsorted(ends, unsafe, "right").tolist())
+        if self.open:
+            unsafe = np.zeros(len(size), bool)
+            unsafe[list(self.open)] = True
+            whole |= set(np.searchsorted(ends, np.flatnonzero(unsafe[idx]), "right").tolist())
         out = [ids[a:b] for a, b in zip(cut, cut[1:])]
         for i in whole:
             out[i] = np.array(self.tree(texts[i].as_py()), np.uint32)
