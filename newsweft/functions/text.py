@@ -114,10 +114,18 @@ def token_estimate(c: Column) -> Column:
 
 
 def grams(c: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
-    """Distinct character n-grams; shorter text has none of that size."""
-    each = [F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n))))
-            .otherwise(F.array().cast("array<string>")) for n in sizes]  # noqa: B023
-    return F.array_distinct(F.concat(*each))
+    """Distinct character n-grams; shorter text has none of that size.
+
+    The characters are bound to a lambda variable: they are split once, and a
+    gram is a slice of them, so the work grows with the text and not its square.
+    """
+    def of(chars: Column) -> Column:
+        each = [F.when(F.size(chars) >= n, F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.array_join(F.slice(chars, i, F.lit(n)), "")))
+                .otherwise(F.array().cast("array<string>")) for n in sizes]  # noqa: B023
+        return F.array_distinct(F.concat(*each))
+
+    letters = F.when(F.length(c) > 0, F.split(c, "")).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array(letters), of)[0]
 
 
 def containment(a: Column, b: Column) -> Column:

@@ -222,12 +222,12 @@ def same_day_context(spark, sf_dir):
 _ARCH = r"""b AS (SELECT item_id, regexp_replace(lower(substr(text, 1, 120)), '[\s|:,.()\[\]"''!?/\\-]+', '', 'g') AS k FROM benchmark), bg AS (SELECT item_id, """ + _GRAMS + """ AS g FROM b)"""
 
 
-@query("WITH c AS (SELECT doc_id, regexp_replace(lower(text), '[\\s|:,.()\\[\\]\"''!?/\\\\-]+', '', 'g') AS k FROM documents WHERE doc_id % 2 = 0 AND n_chars < 1500), cg AS (SELECT doc_id, " + _GRAMS + " AS g FROM c), " + _ARCH + """
+@query("WITH c AS (SELECT doc_id, regexp_replace(lower(substr(text, 1, 160)), '[\\s|:,.()\\[\\]\"''!?/\\\\-]+', '', 'g') AS k FROM documents WHERE doc_id % 2 = 0 AND n_chars < 1500), cg AS (SELECT doc_id, " + _GRAMS + " AS g FROM c), " + _ARCH + """
  SELECT doc_id, item_id, round(CAST(len(list_intersect(cg.g, bg.g)) AS DOUBLE) / CAST(least(len(cg.g), len(bg.g)) AS DOUBLE), 6) AS sim FROM cg, bg WHERE least(len(cg.g), len(bg.g)) > 0
  AND CAST(len(list_intersect(cg.g, bg.g)) AS DOUBLE) / CAST(least(len(cg.g), len(bg.g)) AS DOUBLE) >= 0.6""")
 def archive_context(spark, sf_dir):
     """Current articles whose re-check flag is set, here every even short one, against the archive."""
-    c = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0 AND n_chars < 1500").select("doc_id", text.normalize_key(F.col("text"), fold=False).alias("k"), F.lit(1).alias("b"))
+    c = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0 AND n_chars < 1500").select("doc_id", text.normalize_key(F.substring("text", 1, 160), fold=False).alias("k"), F.lit(1).alias("b"))
     b = table(spark, sf_dir, "benchmark").select("item_id", text.normalize_key(F.substring("text", 1, 120), fold=False).alias("k"), F.lit(1).alias("b"))
     return similarity.gram_pairs(c, b, "doc_id", "item_id", "k", "b", 0.6).select("doc_id", "item_id", F.round("sim", 6).alias("sim"))
 
