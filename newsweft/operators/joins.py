@@ -11,7 +11,7 @@ BROADCAST_BYTES = 8 << 20
 
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a side if the optimizer's own size estimate proves it small; else leave the choice to it."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return F.broadcast(df) if size <= limit else df
 
 

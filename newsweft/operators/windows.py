@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 def rolling(df: DataFrame, by: list[str], ts: str, seconds: int, value: str, closed: bool = True) -> DataFrame:
     """``n`` and ``total`` of the last ``seconds``: [t-s, t] if closed, (t-s, t] if not; microsecond times."""
-    at = F.unix_micros(ts)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
     w = Window.partitionBy(*by).orderBy("_at").rangeBetween(-seconds * 1_000_000 + (0 if closed else 1), 0)
     return df.withColumn("_at", at).withColumn("n", F.count(F.lit(1)).over(w)).withColumn("total", F.sum(value).over(w)).drop("_at")
 
