@@ -3,9 +3,7 @@
 Documents of one word sequence are one class. In each of ``TREES`` independent
 trees a class follows its minwise tokens: at the root it goes to the child of
 its minwise shingle under the tree's first coordinate; a child of more than
-``NODE`` classes branches again, on one or two coordinates (1/0.8 on average,
-so a pair at the threshold is expected to share a child at every level). Nodes
-of at most ``NODE`` classes are compared exhaustively by their signatures; each
+``NODE`` classes branches again, under a coordinate chosen by its path. Nodes of at most ``NODE`` classes are compared exhaustively by their signatures; each
 group of likely neighbours is then linked on full shingle sets. A node that is
 still larger at the last level holds near copies of each other: its members are
 linked to its first one, and those that do not link are compared with all the
@@ -21,13 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
 from .components import connected_components
 from .scratch import persist
+from . import units as un
 from .units import trim
 from .words import Words, mix, window_starts, windows
 
@@ -36,7 +34,7 @@ PERCENT = 80
 TREES = 24
 #: Minwise coordinates of a signature; a tree starts at a coordinate of its own.
 COORDINATES = 64
-NODE = 1000
+NODE = 2000
 LEVELS = 8
 #: Equal coordinates of a likely pair: a pair at 0.8 has fewer with probability 2e-7.
 LIKELY = 34
@@ -94,22 +92,20 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
-def classes(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``row, id, cls, n_shingles, signature`` of every row, written once; ``row`` is unique, ``cls`` hashes the word sequence."""
+def classes(units: DataFrame, shingle: int) -> DataFrame:
+    """``row, id, cls, n_shingles, signature`` of every row, written once; ``row`` is the row's unit and place, ``cls`` hashes the word sequence."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                w, h, bounds = shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), shingle)
-                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(b.num_rows)), b.column(0), pa.array(_class_keys(w)), pa.array(np.diff(bounds), pa.int64()), _binary(signatures(h, bounds))],
+        for unit, rows, _ in un.each_unit(batches):
+            first = (unit >> 32 << 44) | ((unit & 0xFFFFFFFF) << 24)
+            ids, texts = rows.field("id"), un.texts_of(rows, "text")
+            for at in range(0, len(texts), 1000):
+                w, h, bounds = shingle_sets(texts[at : at + 1000], shingle)
+                n = len(w.counts)
+                yield pa.RecordBatch.from_arrays([pa.array(first + at + np.arange(n)), ids.slice(at, n), pa.array(_class_keys(w)), pa.array(np.diff(bounds), pa.int64()), _binary(signatures(h, bounds))],
                                                  names=["row", "id", "cls", "n_shingles", "signature"])
-                row += b.num_rows
-        trim()
 
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return persist(ids.mapInArrow(work, "row long, id long, cls long, n_shingles long, signature binary"), "classes")
+    return persist(units.mapInArrow(work, "row long, id long, cls long, n_shingles long, signature binary"), "classes")
 
 
 def _roots(reps: DataFrame, trees: int) -> DataFrame:
@@ -127,18 +123,15 @@ def _roots(reps: DataFrame, trees: int) -> DataFrame:
 
 
 def _branch(big: DataFrame) -> DataFrame:
-    """Children of nodes: one coordinate, or two in a quarter of the nodes, chosen by the node's path."""
+    """Children of nodes: the minwise token under a coordinate chosen by the node's path. A row goes to one child."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sig = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint32).reshape(-1, COORDINATES)
             path = b.column(1).to_numpy().view(np.uint64)
-            pick = mix(path)
-            for k in range(2):
-                c = ((pick >> np.uint64(8 * k)) + np.uint64(k)) % np.uint64(COORDINATES)
-                use = np.flatnonzero((pick >> np.uint64(40)) % np.uint64(4) == 0) if k else np.arange(len(path))
-                child = mix((path ^ mix(sig[np.arange(len(path)), c.astype(np.int64)] + np.uint64(1))) + np.uint64(k))[use].view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(use)), pa.array(child), b.column(2).take(pa.array(use))], names=["tree", "path", "rep"])
+            c = (mix(path) % np.uint64(COORDINATES)).astype(np.int64)
+            child = mix(path ^ mix(sig[np.arange(len(path)), c] + np.uint64(1))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(child), b.column(2)], names=["tree", "path", "rep"])
         trim()
 
     return big.select("tree", "path", "rep", "signature").mapInArrow(work, "tree int, path long, rep long")
@@ -258,22 +251,34 @@ def _links(percent: int):
     return one
 
 
-def _sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``rep, shingles`` of the classes of the documents wanted, from whole texts; written once."""
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id", "left_semi")
+def _sets_of(units: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``rep, shingles`` of the wanted ``rep, row``, from whole texts; written once. Only the wanted rows' numbers move, units are bucketed."""
+    unit = F.shiftleft(F.shiftright("row", 44), 32) + F.shiftright("row", 24).bitwiseAND((1 << 20) - 1)
+    picks = wanted.select(unit.alias("unit_id"), F.struct(F.col("row").bitwiseAND((1 << 24) - 1).cast("int").alias("nth"), "rep").alias("p"))
+    picks = picks.groupBy("unit_id").agg(F.collect_list("p").alias("picks"))  # at most a unit's rows
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # repeated rows give one set a task
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                w, h, bounds = shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), shingle)
-                keys = _class_keys(w).tolist()
-                new = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
-                yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in new], pa.int64()), pa.array([h[bounds[i] : bounds[i + 1]].tobytes() for i in new], pa.binary())], names=["rep", "shingles"])
-        trim()
+        for _, rows, more in un.each_unit(batches):
+            at = pa.array([p["nth"] for p in more["picks"]], pa.int64())
+            _, h, bounds = shingle_sets(rows.field("text").take(at).cast(pa.binary()).to_pylist(), shingle)
+            yield pa.RecordBatch.from_arrays([pa.array([p["rep"] for p in more["picks"]], pa.int64()), pa.array([h[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["rep", "shingles"])
+
+    return persist(units.join(picks, "unit_id").select("unit_id", "rows", "picks").mapInArrow(work, "rep long, shingles binary"), "sets")
 
-    return persist(ids.mapInArrow(work, "rep long, shingles binary"), "sets")
+
+def _groups(likely: DataFrame, node: int) -> DataFrame:
+    """``path, rep``: classes to compare with each other.
+
+    All that likely pairs of any node connect is one group, so a class's set
+    moves once; where that is more than ``node`` classes, the nodes' own groups are kept.
+    """
+    star = likely.select(F.col("members")[0].alias("a"), F.explode("members").alias("b"))
+    comp = persist(connected_components(star), "likely-components")
+    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    whole = comp.join(sizes.filter(F.col("n") <= node), "component").select(F.col("component").alias("path"), F.col("node").alias("rep"))
+    large = comp.join(sizes.filter(F.col("n") > node), "component").select("node")
+    parts = likely.join(large, F.col("members")[0] == F.col("node"), "left_semi").select("path", F.explode("members").alias("rep"))
+    return persist(whole.unionByName(parts), "groups")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -286,7 +291,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped apart. A row without an id is kept, in no component.
     """
     ship(docs.sparkSession)
-    cls = classes(docs, id_col, text_col, shingle)
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    units = un.stage(named, "text")
+    cls = classes(units, shingle)
     usable = cls.filter("n_shingles > 0 AND id IS NOT NULL")
     lows = persist(usable.groupBy("cls").agg(F.min("id").alias("low"), F.min("row").alias("row")), "class-lows")
     sigs = persist(lows.join(usable.select("row", "signature"), "row").select(F.col("cls").alias("rep"), "signature"), "signatures")
@@ -304,13 +311,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for x in leaves[1:]:
         small = small.unionByName(x)
     small = small.select("path", "rep").join(sigs, "rep").select("path", "rep", "signature")
-    groups = persist(_by_group(small, GROUP, _likely).dropDuplicates(["path"]), "groups")
-    members = groups.select("path", F.explode("members").alias("rep"))
+    members = _groups(persist(_by_group(small, GROUP, _likely).dropDuplicates(["path"]), "likely"), node)
 
     rest = big.select("path", "rep", "n")
     oversize = not rest.isEmpty()
     wanted = members.select("rep").unionByName(rest.select("rep")).distinct() if oversize else members.select("rep").distinct()
-    sets = _sets_of(docs, id_col, text_col, wanted.join(lows, F.col("rep") == F.col("cls")).select(F.col("low").alias("id")), shingle)
+    sets = _sets_of(units, wanted.join(lows, F.col("rep") == F.col("cls")).select("rep", "row"), shingle)
 
     def link(m: DataFrame) -> DataFrame:
         return persist(_by_group(m.select("path", "rep").join(sets, "rep").select("path", "rep", "shingles"), "a long, b long", _links(percent)).distinct(), "links")
