@@ -108,7 +108,7 @@ def open_path(path: str, mode: str):
     if mode == "r":
         return store.open_input_file(where)
     store.create_dir(where.rsplit("/", 1)[0], recursive=True)
-    return store.open_output_stream(where)
+    return store.open_output_stream(where, compression=None)
 
 
 MANIFEST = "shard int, path string, docs long, ids long"
