@@ -1,6 +1,6 @@
 """The query catalogue; importing this registers every query."""
 
-from . import articles, records
+from . import articles, content, records
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "articles", "records"]
+__all__ = ["ORACLE_SQL", "QUERIES", "articles", "content", "records"]

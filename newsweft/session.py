@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -46,3 +47,9 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(str(to))
         _shipped.add(app)
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one the cluster shares; a local one only where none is configured."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="newsweft-")
+    return f"{root.rstrip('/')}/newsweft-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

@@ -80,3 +80,29 @@ def test_keep_or_all(spark):
     run = lambda ids: sorted(r.id for r in joins.keep_or_all(df, spark.createDataFrame([(i,) for i in ids], "id int"), "id", F.col("ex")).collect())
     assert run([3]) == [2, 3]
     assert run([]) == [1, 2, 3]
+
+
+def test_amounts(spark):
+    from newsweft.functions import amounts
+
+    assert values(spark, ["計100億チャット（約1円）です", "10億ドル（約390億円）", None], lambda c: amounts.drop_foreign_yen(amounts.fix_yen(c))) == ["計100億チャット（約3億7000万円）です", "10億ドル", None]
+    assert values(spark, ["ကျပ် ၁၂ဒသမ၅ သန်း"], amounts.normalize_amount_text) == ["ကျပ် 12.5 သန်း"]
+    got = values(spark, ["ကျပ် 12.5 သန်း", "12 သန်း people", None], amounts.amount_facts)
+    assert [[(f.raw, f.kyat) for f in x] for x in got] == [[("12.5 သန်း", 12_500_000)], [], []]
+
+
+def test_html_and_json(spark):
+    from newsweft.functions import html, json_text
+
+    page = "<title>T | S</title><nav><a href='/m'>m</a></nav><article><h1>Head</h1><p>One<p>Two<div class=ad><p>Buy</p></div><p>Two</p><p>Three</article>"
+    assert html.parse(page, frozenset({"ad"})) == {"title": "Head", "description": None, "published": None, "paragraphs": ["One", "Two", "Three"], "links": ["/m"]}
+    assert html.parse(None, frozenset())["paragraphs"] == []
+    assert values(spark, ['```json\n{"k": 1}\n```', 'so {"k": 2} ok', "none", None], lambda c: json_text.lenient(c, "k int")["k"]) == [1, 2, None, None]
+
+
+def test_layout(spark):
+    from newsweft.operators import layout
+
+    pairs = spark.createDataFrame([("d", 1, 10, 0.9), ("d", 1, 11, 0.8), ("d", 2, 10, 0.95), ("d", 2, 11, 0.77), ("d", 3, 12, 0.5)], "g string, l int, r int, s double")
+    assert sorted((r.l, r.r) for r in layout.greedy_match(pairs, "g", "l", "r", "s").collect()) == [(1, 10), (2, 11)]
+    assert values(spark, [["a-", "b", "c"]], layout.join_wrapped, "array<string>") == ["ab c"]
