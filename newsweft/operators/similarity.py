@@ -15,8 +15,9 @@ def gram_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, text: str, bloc
     summed up before the second shuffle; hot grams are left to the skew join.
     """
     def gram_rows(df: DataFrame, i: str) -> DataFrame:
-        g = grams(F.col(text))
-        return df.select(F.col(i), F.col(block).alias("_b"), F.size(g).alias("_n"), F.explode(g).alias("_g"))
+        # The set is a column of its own first: beside explode() its size would be worked out again for each gram.
+        sets = df.select(F.col(i), F.col(block).alias("_b"), grams(F.col(text)).alias("_s"))
+        return sets.select(i, "_b", "_s", F.size("_s").alias("_n")).select(i, "_b", "_n", F.explode("_s").alias("_g"))
 
     x = gram_rows(a, a_id).withColumnRenamed(a_id, "_x").withColumnRenamed("_n", "_nx")
     y = gram_rows(b, b_id).withColumnRenamed(b_id, "_y").withColumnRenamed("_n", "_ny")
