@@ -97,6 +97,23 @@ def test_near_dedup(docs, rows, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_recall_at_the_last_level(spark):
+    """Pairs at the threshold, followed down the trees as far as branching goes."""
+    r = np.random.default_rng(11)
+    pairs, n = 4000, near_dedup.COORDINATES
+    a = r.integers(0, 1 << 32, (pairs, n), dtype=np.uint32)
+    b = np.where(r.random((pairs, n)) < near_dedup.PERCENT / 100, a, a ^ np.uint32(1))
+    rows = [(2 * i + k, sig[i].tobytes()) for k, sig in enumerate((a, b)) for i in range(pairs)]
+    sigs = spark.createDataFrame(rows, "rep long, signature binary").cache()
+    both = lambda d: d.groupBy("tree", "path", F.shiftright("rep", 1).alias("pair")).count().filter("count = 2").select("tree", "path", F.explode(F.array(2 * F.col("pair"), 2 * F.col("pair") + 1)).alias("rep")).localCheckpoint()
+    nodes = both(near_dedup._roots(sigs, near_dedup.TREES))
+    for _ in range(near_dedup.LEVELS):
+        nodes = both(near_dedup._branch(nodes.join(sigs, "rep")))
+    missed = pairs - nodes.select(F.shiftright("rep", 1)).distinct().count()
+    print("missed", missed, "of", pairs)
+    assert missed <= pairs // 1000
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(e).collect()}
