@@ -9,8 +9,10 @@ asks the shards for the n-grams of its distinct words, so every document's
 perplexity comes from joins with count shards whatever the model's size.
 
 A document is rejected if its log-perplexity lies above its language's limit,
-Q50 + SPREAD * (Q50 - Q05) of all documents in that language, with some leave
-for short texts.
+with some leave for short texts: Q50 + SPREAD * (Q50 - Q05) of all documents in
+that language, or the LABELLED quantile of its trusted ones if that is less. As
+an average hides single words, it is also rejected if its worst word lies more
+than WORD_LEAVE above the LABELLED quantile of trusted documents' worst words.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ SPREAD = 4.0
 LEAST = 0.25
 #: Short texts vary more: they may lie this much over the root of their bytes above the limit.
 SHORT = 1.5
+#: The share of trusted documents that lies below the limits; words' limit is WORD_LEAVE above, documents' limit at least MEDIAN_LEAVE above the median.
+LABELLED = 0.99
+WORD_LEAVE = 0.25
+MEDIAN_LEAVE = 0.1
 ALPHABET = 257
 UNIT_BYTES = 4 << 20
 _U = np.uint64
@@ -89,14 +95,17 @@ class Grams:
         return full, context, [size >= k for k in range(1, ORDER + 1)]
 
 
+def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
+    return labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(id_col).distinct()
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows: int) -> tuple[DataFrame, list[str]]:
     """``key, add double, back double`` of every n-gram and context, and the languages by number.
 
     p(x | h) = add(hx) + back(h) p(x | shorter h); the empty context backs off to 1 / ALPHABET.
     """
     ship(docs.sparkSession)
-    trusted = (labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(id_col).distinct()
-               .orderBy(F.xxhash64(id_col), id_col).limit(fit_rows))
+    trusted = trusted_ids(labels, id_col).orderBy(F.xxhash64(id_col), id_col).limit(fit_rows)
     text = docs.select(id_col, F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
     chosen = text.join(F.broadcast(trusted), id_col, "left_semi").select("lang", "text")  # at most fit_rows ids
 
@@ -144,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
 
 
 def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: str, text_col: str, lang_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns and ``n_words long, n_bytes long, log_ppl double`` (nats a byte; null without words or without a model of the language)."""
+    """``keep`` columns and ``n_words long, n_bytes long, log_ppl double, worst_word double`` (nats a byte, of all and of the worst word; null without words or without a model of the language)."""
     used = docs.select(*dict.fromkeys([id_col, text_col, lang_col, *keep]))
     total = un.text_bytes(used, text_col)
     units = un.stage(used, text_col, UNIT_BYTES, total)
@@ -197,7 +206,7 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
 
     asked = units.mapInArrow(emit, un.QUESTION).unionAll(model.mapInArrow(emit_model, un.QUESTION))
     answers = persist(un.ask(asked, shards, answer), "kn-answers")
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("log_ppl", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("log_ppl", T.DoubleType()), T.StructField("worst_word", T.DoubleType())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -217,26 +226,39 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
             text = g.words.text_of_word()
             sums = np.bincount(text, word[g.word], len(rows))
             steps = np.bincount(text, g.steps[g.word], len(rows))
+            worst = np.zeros(len(rows))
+            np.maximum.at(worst, text, (-word / g.steps)[g.word])
             ok = (steps > 0) & (lang >= 0)
             ppl = np.divide(-sums, steps, out=np.zeros(len(rows)), where=ok)
-            yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in keep), pa.array(g.words.counts, pa.int64()), pa.array(steps.astype(np.int64)), pa.array(ppl, mask=~ok)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in keep), pa.array(g.words.counts, pa.int64()), pa.array(steps.astype(np.int64)), pa.array(ppl, mask=~ok), pa.array(worst, mask=~ok)], names=schema.names)
 
     return un.answered(units, answers).mapInArrow(judge, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = (),
              fit_rows: int = FIT_ROWS, spread: float = SPREAD) -> DataFrame:
-    """Returns ``id_col, lang_col, carry.., n_words, n_bytes, log_ppl, limit, kept``, a row for each row.
+    """Returns ``id_col, lang_col, carry.., n_words, n_bytes, log_ppl, worst_word, word_limit, limit, kept``, a row for each row.
+
+    ``limit`` is 0 where the worst word lies above ``word_limit``.
 
     A null language is a language of its own. Null or wordless text, and texts in
     a language without trusted documents, have no perplexity and are kept, as
     nothing speaks against them. Repeated rows are judged alike. Input columns
     named like an output column give way to it.
     """
-    keep = tuple(dict.fromkeys([id_col, lang_col, *(c for c in carry if c not in ("n_words", "n_bytes", "log_ppl", "limit", "kept"))]))
+    keep = tuple(dict.fromkeys([id_col, lang_col, *(c for c in carry if c not in ("n_words", "n_bytes", "log_ppl", "worst_word", "word_limit", "limit", "kept"))]))
     model, langs = fit(docs, labels, id_col, text_col, lang_col, fit_rows)
     scored = persist(perplexities(docs, model, langs, id_col, text_col, lang_col, keep), "perplexities")
-    q = scored.groupBy(F.col(lang_col).alias("l")).agg(F.percentile_approx("log_ppl", [0.05, 0.5], 10_000).alias("q"))
-    limits = q.select("l", (F.col("q")[1] + F.greatest(F.lit(LEAST), spread * (F.col("q")[1] - F.col("q")[0]))).alias("limit"))
-    out = scored.join(F.broadcast(limits), F.col(lang_col).eqNullSafe(F.col("l")), "left").drop("l")  # a row a language
-    return out.withColumn("kept", F.coalesce(F.col("log_ppl") <= F.col("limit") + SHORT / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1))), F.lit(True)))
+    # a null language and an empty one have one model
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
+    q = scored.groupBy(lang.alias("l")).agg(F.percentile_approx("log_ppl", [0.05, 0.5], 10_000).alias("q"))
+    marked = scored.select(id_col, lang.alias("l"), "log_ppl", "worst_word").join(trusted_ids(labels, id_col), id_col, "left_semi")
+    high = lambda c: F.percentile_approx(c, LABELLED, 10_000)
+    q = q.join(marked.groupBy("l").agg(high("log_ppl").alias("labelled"), (high("worst_word") + WORD_LEAVE).alias("word_limit")), "l", "left")
+    q50, q05 = F.col("q")[1], F.col("q")[0]
+    limit = F.least(q50 + F.greatest(F.lit(LEAST), spread * (q50 - q05)), F.greatest(F.col("labelled"), q50 + MEDIAN_LEAVE))
+    limits = q.select("l", "word_limit", limit.alias("limit"))
+    out = scored.join(F.broadcast(limits), lang == F.col("l"), "left").drop("l")  # a row a language
+    out = out.withColumn("limit", F.when(F.col("worst_word") > F.col("word_limit"), 0.0).otherwise(F.col("limit")))
+    leave = F.when(F.col("limit") > 0, SHORT / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))).otherwise(0.0)
+    return out.withColumn("kept", F.coalesce(F.col("log_ppl") <= F.col("limit") + leave, F.lit(True)))

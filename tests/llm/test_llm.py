@@ -388,6 +388,23 @@ def test_quality_lm(spark, docs, rows, empty):
     assert quality_lm.classify(empty, labels).count() == 0
 
 
+def test_quality_lm_single_words(spark):
+    """A bad word in a long good text, and labelled junk, go; good text the model has not seen stays."""
+    r = random.Random(8)
+    parts = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
+    text = lambda: " ".join("".join(r.choice(parts) for _ in range(r.randint(1, 4))) for _ in range(300))
+    good = [text() for _ in range(400)]
+    toxic = [f"{t[:700]} scum {t[700:]}" for t in (text() for _ in range(40))]
+    junk = ["".join(r.choice("qxzjkvw ") for _ in range(1500)) for _ in range(20)]
+    rows = list(enumerate(good + toxic + junk))
+    d = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 440), int(400 <= i < 440)) for i, _ in rows if i < 200 or i >= 400], "doc_id long, quality int, toxic int")
+    gone = {x.doc_id for x in quality_lm.classify(d, labels).filter("NOT kept").collect()}
+    assert len([i for i in gone if i < 400]) <= 8
+    assert len([i for i in gone if 400 <= i < 440]) >= 36
+    assert len([i for i in gone if i >= 440]) == 20
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
 
