@@ -22,7 +22,6 @@ from .words import Words, mix, spread, window_starts, windows
 
 REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
-CHUNK = 2048
 LEVEL = 3
 
 
@@ -40,9 +39,10 @@ BANDS = (
     Band(100, 0.45, 1.45), Band(200, 0.75, 2.15), Band(400, 1.0, 2.2), Band(800, 1.15, 2.2), Band(1600, 1.3, 2.3),
     Band(3200, 1.4, 2.4), Band(6400, 1.5, 2.5), Band(25_600, 1.6, 2.75), Band(float("inf"), 1.6, 3.2),
 )
-#: The band of a whole chunk of CHUNK bytes, and the share of chunks outside it that rejects.
-CHUNK_BAND = Band(float("inf"), 1.3, 2.5)
-CHUNK_SHARE = 0.34
+#: Chunk sizes and the band of a chunk: a text is cut by the largest size that it holds twice.
+CHUNKS = ((2048, 1.75, 2.3), (1024, 1.55, 2.15), (512, 1.3, 2.0), (256, 1.15, 1.85))
+#: The share of chunks outside their band that rejects: one of up to six.
+CHUNK_SHARE = 0.15
 
 _CHAR = np.ones(256, bool)  # first byte of a code point that belongs to a word
 _CHAR[[0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)]] = False
@@ -77,14 +77,16 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def ratios(text: bytes, compress, chunk: int = CHUNK) -> tuple[float, float]:
-    """Ratio of the whole, and the share of its whole chunks outside the chunk band."""
+def ratios(text: bytes, compress) -> tuple[float, float]:
+    """Ratio of the whole, and the share of chunks outside their band; the last chunk ends with the text, so every byte is in one."""
     if not text:
         return 0.0, 0.0
     whole = len(text) / len(compress(text))
-    n = len(text) // chunk
-    out = sum(not CHUNK_BAND.least <= chunk / len(compress(text[i * chunk : (i + 1) * chunk])) <= CHUNK_BAND.most for i in range(n)) if n > 1 else 0
-    return whole, out / n if n > 1 else 0.0
+    for size, least, most in CHUNKS:
+        if len(text) >= 2 * size:
+            starts = [*range(0, len(text) - size, size), len(text) - size]
+            return whole, sum(not least <= size / len(compress(text[i : i + size])) <= most for i in starts) / len(starts)
+    return whole, 0.0
 
 
 def in_band(size: int, ratio: float, chunks_out: float) -> bool:

@@ -274,6 +274,18 @@ def test_quality_rules(docs, rows, empty):
     assert quality_rules.assess(empty).count() == 0
 
 
+@pytest.mark.parametrize("size", [600, 1200, 3000, 4000, 6500])
+def test_quality_rules_partial_junk(spark, sf_dir, size):
+    """Clean text stays; the same text with 30 % random printable characters behind it goes."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").join(spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1 AND toxic = 0"), "doc_id")
+    clean = [r.text[:size] for r in d.filter(F.length("text") >= size).orderBy("doc_id").collect()]
+    r = random.Random(size)
+    junk = [t + " " + "".join(chr(r.randint(33, 126)) for _ in range(size * 3 // 10)) for t in clean]
+    got = quality_rules.assess(spark.createDataFrame([(i, t) for i, t in enumerate(clean + junk)], "doc_id long, text string")).collect()
+    assert clean and all(x.kept or x.base_failed for x in got if x.doc_id < len(clean))
+    assert not any(x.kept for x in got if x.doc_id >= len(clean))
+
+
 def test_lm_scoring(docs, rows, empty):
     tokens = [(i, [x.lower() for x in split(t)] + [1]) for i, t, *_ in rows]
     out = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
