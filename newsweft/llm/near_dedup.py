@@ -6,10 +6,11 @@ its minwise shingle under the tree's first coordinate; a child of more than
 ``NODE`` classes branches again, under one or two coordinates chosen by its path
 (1.375 on average, so a pair at the threshold is expected to share 1.1 children
 a level). Nodes of at most ``NODE`` classes are compared exhaustively by their signatures; each
-group of likely neighbours is then linked on full shingle sets. A node that is
-still larger at the last level holds near copies of each other: its members are
-linked to its first one, and those that do not link are compared with all the
-others, block by block. So no pair that shares a node is lost.
+group of likely neighbours is then linked on full shingle sets. A large node
+that keeps STUCK of its parent, or is still large at the last level, holds near
+copies of each other: its members are linked to its first one, and those that
+do not link are compared with all the others, block by block. So no pair that
+shares a node is lost.
 
 Branching must not lose pairs as it goes deeper: of 4000 simulated pairs at 0.8
 all 24 trees miss 1 at the last level, LEVELS + 1.
@@ -21,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
 from .components import connected_components
-from .scratch import persist
+from .scratch import free, persist, sweep
 from . import units as un
 from .units import trim
 from .words import Words, mix, window_starts, windows
@@ -38,6 +39,10 @@ TREES = 24
 COORDINATES = 64
 NODE = 2000
 LEVELS = 8
+#: A large node with more than this share of its parent is not branched again: near copies follow each other down any path.
+STUCK = 0.75
+#: Rows of one node or class are dealt over so many tasks where they meet their size or label.
+SALTS = 8
 #: Equal coordinates of a likely pair: a pair at 0.8 has fewer with probability 2e-7.
 LIKELY = 34
 _COEFFICIENTS = np.random.Generator(np.random.PCG64(97)).integers(1, 1 << 31, (2, COORDINATES), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -110,18 +115,22 @@ def classes(units: DataFrame, shingle: int) -> DataFrame:
     return persist(units.mapInArrow(work, "row long, id long, cls long, n_shingles long, signature binary"), "classes")
 
 
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int").alias("salt")
+
+
 def _roots(reps: DataFrame, trees: int) -> DataFrame:
-    """``tree, path, rep`` of the first level."""
+    """``path, rep, was`` of the first level."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
             for t in range(trees):
                 path = mix(sig[:, t % COORDINATES].astype(np.uint64) + (np.uint64(t + 1) << np.uint64(32))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, t, np.int32)), pa.array(path), b.column(0)], names=["tree", "path", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(path), b.column(0), pa.nulls(b.num_rows, pa.int64())], names=["path", "rep", "was"])
         trim()
 
-    return reps.select("rep", "signature").mapInArrow(work, "tree int, path long, rep long")
+    return reps.select("rep", "signature").mapInArrow(work, NODE_ROW)
 
 
 def _branch(big: DataFrame) -> DataFrame:
@@ -130,7 +139,7 @@ def _branch(big: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sig = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-            path = b.column(1).to_numpy().view(np.uint64)
+            path = b.column(0).to_numpy().view(np.uint64)
             pick = mix(path)
             c = (pick % np.uint64(COORDINATES)).astype(np.int64)
             second = (c + 1 + ((pick >> np.uint64(16)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
@@ -138,16 +147,21 @@ def _branch(big: DataFrame) -> DataFrame:
                 use = np.flatnonzero((pick >> np.uint64(40)) % np.uint64(8) < 3) if k else np.arange(len(path))
                 child = mix((path ^ mix(sig[np.arange(len(path)), at] + np.uint64(1))) + np.uint64(k))[use].view(np.int64)
                 rows = pa.array(use)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), pa.array(child), b.column(2).take(rows)], names=["tree", "path", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(child), b.column(1).take(rows), b.column(2).take(rows)], names=["path", "rep", "was"])
         trim()
 
-    return big.select("tree", "path", "rep", "signature").mapInArrow(work, "tree int, path long, rep long")
+    return big.select("path", "rep", F.col("n").alias("was"), "signature").mapInArrow(work, NODE_ROW)
+
+
+NODE_ROW = "path long, rep long, was long"
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
-    """Nodes of two and more; sizes are summed up before the shuffle and a large node's rows are split by the join."""
-    sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return nodes.join(sizes, "path")
+    """Nodes of two and more with their size ``n``; a large node's rows meet it in SALTS tasks."""
+    salted = nodes.withColumn("salt", _salt("rep"))
+    parts = salted.groupBy("path", "salt").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("path").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")
+    return salted.join(sizes.select("path", "n", F.explode("salts").alias("salt")), ["path", "salt"]).drop("salt")
 
 
 def _by_group(df: DataFrame, schema: str, one) -> DataFrame:
@@ -258,11 +272,15 @@ def _links(percent: int):
     return one
 
 
+def _by_unit(rows: DataFrame, pick: Column) -> DataFrame:
+    """``unit_id, picks`` of rows numbered by ``row``; at most a unit's rows in one."""
+    unit = F.shiftleft(F.shiftright("row", 44), 32) + F.shiftright("row", 24).bitwiseAND((1 << 20) - 1)
+    return rows.select(unit.alias("unit_id"), pick.alias("p")).groupBy("unit_id").agg(F.collect_list("p").alias("picks"))
+
+
 def _sets_of(units: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``rep, shingles`` of the wanted ``rep, row``, from whole texts; written once. Only the wanted rows' numbers move, units are bucketed."""
-    unit = F.shiftleft(F.shiftright("row", 44), 32) + F.shiftright("row", 24).bitwiseAND((1 << 20) - 1)
-    picks = wanted.select(unit.alias("unit_id"), F.struct(F.col("row").bitwiseAND((1 << 24) - 1).cast("int").alias("nth"), "rep").alias("p"))
-    picks = picks.groupBy("unit_id").agg(F.collect_list("p").alias("picks"))  # at most a unit's rows
+    picks = _by_unit(wanted, F.struct(F.col("row").bitwiseAND((1 << 24) - 1).cast("int").alias("nth"), "rep"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows, more in un.each_unit(batches):
@@ -288,39 +306,38 @@ def _groups(likely: DataFrame, node: int) -> DataFrame:
     return persist(whole.unionByName(parts), "groups")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
-                    trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> DataFrame:
-    """Group documents linked by 100 * common shingles >= percent * all shingles of both.
-
-    Returns ``id_col, n_shingles, component_id, kept``, a row for each row.
-    Null or wordless text has no shingles and is linked with nothing. Repeated
-    rows are one class and get the same values. Two texts under one id are
-    grouped apart. A row without an id is kept, in no component.
-    """
-    ship(docs.sparkSession)
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    units = un.stage(named, "text")
-    cls = classes(units, shingle)
+def _labels(units: DataFrame, cls: DataFrame, shingle: int, percent: int, trees: int, node: int, levels: int) -> DataFrame:
+    """``cls, row, salts, least``: of each class its first row (by id), the salts of its rows, and the first ``struct<id, row>`` of its component."""
+    spark = units.sparkSession
     usable = cls.filter("n_shingles > 0 AND id IS NOT NULL")
-    lows = persist(usable.groupBy("cls").agg(F.min("id").alias("low"), F.min("row").alias("row")), "class-lows")
-    sigs = persist(lows.join(usable.select("row", "signature"), "row").select(F.col("cls").alias("rep"), "signature"), "signatures")
+    lows = usable.groupBy("cls").agg(F.min(F.struct("id", "row")).alias("low"), F.collect_set(_salt("row")).alias("salts"))
+    lows = persist(lows.select("cls", "low", F.col("low.row").alias("row"), "salts"), "class-lows")
+    sigs = persist(lows.select("cls", "row").join(usable.select("row", "signature"), "row").select(F.col("cls").alias("rep"), "signature"), "signatures")
 
     nodes = persist(_sized(_roots(sigs, trees)), "nodes")
-    leaves = [nodes.filter(F.col("n") <= node)]
-    big = nodes.filter(F.col("n") > node)
-    for _ in range(levels):
-        if big.isEmpty():
+    written, leaves, stuck = [nodes], [nodes.filter(F.col("n") <= node)], []
+    for level in range(levels + 1):
+        large = nodes.filter(F.col("n") > node)
+        held = F.coalesce(F.col("n") > STUCK * F.col("was"), F.lit(False)) if level < levels else F.lit(True)
+        stuck.append(large.filter(held))
+        big = large.filter(~held)
+        if level == levels or big.isEmpty():
             break
         nodes = persist(_sized(_branch(big.join(sigs, "rep"))), "nodes")
+        written.append(nodes)
         leaves.append(nodes.filter(F.col("n") <= node))
-        big = nodes.filter(F.col("n") > node)
-    small = leaves[0]
+    small, rest = leaves[0], stuck[0]
     for x in leaves[1:]:
         small = small.unionByName(x)
+    for x in stuck[1:]:
+        rest = rest.unionByName(x)
+    rest = persist(rest.select("path", "rep", "n"), "large-nodes")
     small = small.select("path", "rep").join(sigs, "rep").select("path", "rep", "signature")
-    members = _groups(persist(_by_group(small, GROUP, _likely).dropDuplicates(["path"]), "likely"), node)
+    likely = persist(_by_group(small, GROUP, _likely).dropDuplicates(["path"]), "likely")
+    free(sigs, *written)
+    sweep(spark)
+    members = _groups(likely, node)
 
-    rest = big.select("path", "rep", "n")
     oversize = not rest.isEmpty()
     wanted = members.select("rep").unionByName(rest.select("rep")).distinct() if oversize else members.select("rep").distinct()
     sets = _sets_of(units, wanted.join(lows, F.col("rep") == F.col("cls")).select("rep", "row"), shingle)
@@ -332,15 +349,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if oversize:
         links = links.unionByName(_link_oversize(rest, links, link, node))
     found = connected_components(links)
+    free(sets)
+    sweep(spark)
     named = found.join(lows.select(F.col("cls").alias("node"), "low"), "node")
     least = named.groupBy("component").agg(F.min("low").alias("least"))
     label = named.join(least, "component").select(F.col("node").alias("cls"), "least")
-    label = lows.join(label, "cls", "left").select("cls", F.coalesce("least", "low").alias("label"))
-    out = cls.select("id", "cls", "n_shingles").join(label, "cls", "left")
+    return lows.join(label, "cls", "left").select("cls", "row", "salts", F.coalesce("least", "low").alias("least"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
+                    trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> DataFrame:
+    """Group documents linked by 100 * common shingles >= percent * all shingles of both.
+
+    Returns ``id_col, n_shingles, component_id, kept``, a row for each row;
+    other columns, whatever their names, are not read. Null or wordless text has
+    no shingles and is linked with nothing. Repeated rows are one class and get
+    the same values. Two texts under one id are grouped apart. A row without an
+    id is kept, in no component. Ties need no rule: a component's id is its
+    smallest. Texts of any length are compared whole, as one set each. An empty
+    table gives an empty one. Ids are integers.
+    """
+    ship(docs.sparkSession)
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    units = un.stage(named, "text")
+    cls = classes(units, shingle)
+    label = _labels(units, cls, shingle, percent, trees, node, levels).select("cls", F.explode("salts").alias("salt"), F.col("least.id").alias("label"))
+    out = cls.select("id", "cls", "n_shingles", _salt("row")).join(label, ["cls", "salt"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("label")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
+                         trees: int = TREES, node: int = NODE, levels: int = LEVELS) -> DataFrame:
+    """All columns of the first row, by id, of each group of near duplicates; the other rows go.
+
+    Rows count one by one: of repeated rows one stays, and of two texts under
+    one id either may stay. Rows without an id or without words are in no group
+    and stay. Only row numbers move; texts are read where they were staged.
+    """
+    ship(docs.sparkSession)
+    units = un.stage(docs, text_col)
+    plain = F.transform("rows", lambda r: F.struct(r[id_col].cast("long").alias("id"), r[text_col].cast("string").alias("text")))
+    narrow = units.select("unit_id", plain.alias("rows"))
+    cls = classes(narrow, shingle)
+    label = _labels(narrow, cls, shingle, percent, trees, node, levels)
+    first = label.filter(F.col("row") == F.col("least.row")).select("row")
+    alone = cls.filter("n_shingles = 0 OR id IS NULL").select("row")
+    picks = _by_unit(first.unionByName(alone), F.col("row").bitwiseAND((1 << 24) - 1).cast("int"))
+
+    names = docs.columns
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows, more in un.each_unit(batches):
+            kept = rows.take(pa.array(sorted(more["picks"]), pa.int64()))
+            yield pa.RecordBatch.from_arrays(kept.flatten(), names=names)
+
+    return units.join(picks, "unit_id").select("unit_id", "rows", "picks").mapInArrow(take, docs.schema)
+
+
 def _link_oversize(rest: DataFrame, links: DataFrame, link, node: int) -> DataFrame:
     """Links within nodes that no branching made small, without comparing all their pairs.
 

@@ -1,18 +1,18 @@
 """Quality classifier: perplexity under interpolated modified Kneser-Ney models.
 
-The models are of bytes within words, order 4, one for each language, fitted on
-trusted documents (labels: quality 1, not toxic). Fitting may take a bounded
-sample of them: the ``fit_rows`` with the smallest hash of their id. Counts,
-continuation counts, discounts and back-off weights are DataFrame aggregations;
-the resulting table is sharded by hash of the n-gram. Each unit of documents
-asks the shards for the n-grams of its distinct words, so every document's
-perplexity comes from joins with count shards whatever the model's size.
-
-A document is rejected if its log-perplexity lies above its language's limit,
-with some leave for short texts: Q50 + SPREAD * (Q50 - Q05) of all documents in
-that language, or the LABELLED quantile of its trusted ones if that is less. As
-an average hides single words, it is also rejected if its worst word lies more
-than WORD_LEAVE above the LABELLED quantile of trusted documents' worst words.
+The models are of bytes, order 5, across words: what stands before a blank is
+context of what follows. There is one for each language, fitted on trusted
+documents (labels: quality 1, not toxic). Fitting may take a bounded sample of
+them: the ``fit_rows`` with the smallest hash of their id. Counts, continuation
+counts, discounts and back-off weights are DataFrame aggregations; the
+resulting table is sharded by hash of the n-gram. Each unit of documents asks
+the shards for its distinct n-grams, so every document's perplexity comes from
+joins with count shards whatever the model's size.
+
+A document is judged by its log-perplexity, less a leave for short texts, and by
+its worst word, as an average hides single words. Either is rejected above its
+language's limit: the QUANTILE of trusted documents that the model was not
+fitted on (one fold in HELD_FOLDS).
 """
 
 from __future__ import annotations
@@ -21,82 +21,102 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
 from . import units as un
-from .scratch import persist
+from .scratch import free, persist, sweep
 from .words import Words, mix
 
-ORDER = 4
+ORDER = 5
 #: Labelled rows to fit on at most.
 FIT_ROWS = 20_000
-#: Distances between the 5th percentile and the median by which the limit lies above the median.
-SPREAD = 4.0
-#: At least this much above the median in log-perplexity.
-LEAST = 0.25
-#: Short texts vary more: they may lie this much over the root of their bytes above the limit.
+#: One trusted document in so many is held out of fitting and sets the limits.
+HELD_FOLDS = 5
+#: The share of held-out trusted documents that lies below the limits.
+QUANTILE = 0.99
+#: In a language with fewer held-out documents, the limits lie LEAVE above the quantile of the fitted ones.
+LEAST_HELD = 20
+LEAVE = 0.25
+#: Short texts vary more: this over the root of their bytes is taken off.
 SHORT = 1.5
-#: The share of trusted documents that lies below the limits; words' limit is WORD_LEAVE above, documents' limit at least MEDIAN_LEAVE above the median.
-LABELLED = 0.99
-WORD_LEAVE = 0.25
-MEDIAN_LEAVE = 0.1
 ALPHABET = 257
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 8 << 20
+#: Bytes of texts that are worked on at once.
+SLICE = 2 << 20
 _U = np.uint64
+_SIZE, _LANG = 40, 48  # bits below the length and the language of a key
+_BYTES = (1 << _SIZE) - 1
 
 
-def _key(lang: np.ndarray, size: int, grams: np.ndarray) -> np.ndarray:
-    """Language, length and up to four bytes in one number."""
-    return (lang.astype(np.uint64) << _U(40)) | _U(size << 32) | grams
+def slices(texts: list[bytes | None], most: int = SLICE) -> Iterator[slice]:
+    """Runs of texts of at most ``most`` bytes, or of one text."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        n = len(t or b"")
+        if i > at and size + n > most:
+            yield slice(at, i)
+            at, size = i, 0
+        size += n
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
+def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, in no order, and which of them each is."""
+    d = pa.array(a).dictionary_encode()
+    return d.dictionary.to_numpy(), d.indices.to_numpy()
 
 
 class Grams:
-    """Distinct windows of up to four bytes that end at a byte of a distinct (language, word) pair or at the blank behind it.
+    """Windows of up to ORDER bytes that end at each byte of a text's words or at the blank behind a word.
 
-    A window is what the model predicts its last byte from, so everything is
-    worked out once a distinct window: ``keys`` (language, length, bytes),
-    ``window`` of each predicted byte, ``owner`` (the pair) of each predicted byte.
+    Words are parted by one blank whatever white space the text has, and one
+    stands before the first. ``keys`` are the distinct (language, length, bytes),
+    ``window`` that of each byte predicted, ``first`` the place of each word.
     """
 
     def __init__(self, texts: list[bytes | None], langs: np.ndarray):
         self.words = w = Words(texts)
-        lang = np.repeat(langs, w.counts)
-        key = mix(w.hashes + mix(lang.astype(np.uint64) + _U(1)))
-        _, first, self.word = np.unique(key, return_index=True, return_inverse=True)
-        self.uses = np.bincount(self.word, minlength=len(first))
-        start, size = w.starts[first], w.ends[first] - w.starts[first]
-        self.steps = size + 1  # bytes predicted: the word's and the blank behind
-        total = np.concatenate([[0], np.cumsum(self.steps)])
-        self.owner = np.repeat(np.arange(len(first)), self.steps)
-        at = np.arange(total[-1]) - np.repeat(total[:-1], self.steps)  # place in the word
-        data = np.frombuffer(w.data, np.uint8)
-        # The byte behind a word may be any white space; the model knows blanks only.
-        byte = data[np.repeat(start, self.steps) + at]
-        byte = np.where(at == np.repeat(size, self.steps), np.uint8(0x20), byte).astype(np.uint64)
+        size = w.ends - w.starts + 1
+        total = np.concatenate([[0], np.cumsum(size)])
+        self.first, self.steps = total[:-1], size
+        owner = np.repeat(np.arange(len(size)), size)
+        byte = np.frombuffer(w.data, np.uint8)[np.arange(total[-1]) - total[:-1][owner] + w.starts[owner]]
+        byte[total[1:] - 1] = 0x20  # the byte behind a word may be any white space
+        byte = byte.astype(np.uint64)
+        start = total[w.bounds]  # where each text begins
+        self.bytes_of = np.diff(start)
+        text = np.repeat(np.arange(len(texts)), self.bytes_of)
+        place = np.arange(total[-1]) - start[:-1][text] + 1
         gram = byte.copy()
-        for k in range(1, ORDER):  # before a word's first byte stands a blank, before that nothing
-            prev = np.empty_like(byte)
-            prev[k:], prev[:k] = byte[:-k] if len(byte) > k else byte[:0], 0
-            prev = np.where(at >= k, prev, np.where(at == k - 1, _U(0x20), _U(0)))
-            gram |= prev << _U(8 * k)
-        size4 = np.minimum(at + 2, ORDER).astype(np.uint64)
-        self.keys, self.window = np.unique((lang[first].astype(np.uint64)[self.owner] << _U(40)) | (size4 << _U(32)) | gram, return_inverse=True)
-
-    def orders(self) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-        """For each order 1..4 of the distinct windows: key of the n-gram, key of its context, whether the window is that long."""
-        lang, size, gram = self.keys >> _U(40), (self.keys >> _U(32)) & _U(7), self.keys & _U(0xFFFFFFFF)
-        cut = [gram & _U((1 << 8 * k) - 1) for k in range(1, ORDER + 1)]
-        full = [_key(lang, k, cut[k - 1]) for k in range(1, ORDER + 1)]
-        context = [_key(lang, k - 1, cut[k - 1] >> _U(8)) for k in range(1, ORDER + 1)]
-        return full, context, [size >= k for k in range(1, ORDER + 1)]
+        for k in range(1, ORDER):
+            prev = np.zeros_like(byte)
+            prev[k:] = byte[: len(byte) - k]
+            gram |= np.where(place > k, prev, np.where(place == k, _U(0x20), _U(0))) << _U(8 * k)
+        length = np.minimum(place + 1, ORDER).astype(np.uint64)
+        self.keys, self.window = distinct((langs.astype(np.uint64)[text] << _U(_LANG)) | (length << _U(_SIZE)) | gram)
+
+
+def orders(keys: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """For each order of some windows: key of the n-gram, key of its context, whether the window is that long."""
+    lang, size, gram = keys & ~_U((1 << _LANG) - 1), (keys >> _U(_SIZE)) & _U(7), keys & _U(_BYTES)
+    cut = [gram & _U((1 << 8 * k) - 1) for k in range(1, ORDER + 1)]
+    full = [lang | _U(k << _SIZE) | cut[k - 1] for k in range(1, ORDER + 1)]
+    context = [lang | _U((k - 1) << _SIZE) | (cut[k - 1] >> _U(8)) for k in range(1, ORDER + 1)]
+    return full, context, [size >= _U(k) for k in range(1, ORDER + 1)]
 
 
 def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
-    return labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(id_col).distinct()
+    """``id_col, held`` of trusted documents; those held out of fitting set the limits."""
+    good = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(id_col).distinct()
+    return good.withColumn("held", F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(HELD_FOLDS)) == 0)
+
+
+def _lang(lang_col: str) -> Column:
+    return F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows: int) -> tuple[DataFrame, list[str]]:
@@ -105,25 +125,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     p(x | h) = add(hx) + back(h) p(x | shorter h); the empty context backs off to 1 / ALPHABET.
     """
     ship(docs.sparkSession)
-    trusted = trusted_ids(labels, id_col).orderBy(F.xxhash64(id_col), id_col).limit(fit_rows)
-    text = docs.select(id_col, F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
+    trusted = trusted_ids(labels, id_col).filter("NOT held").select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(fit_rows)
+    text = docs.select(id_col, _lang(lang_col).alias("lang"), F.col(text_col).alias("text"))
     chosen = text.join(F.broadcast(trusted), id_col, "left_semi").select("lang", "text")  # at most fit_rows ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                names, numbers = np.unique(np.array(b.column(0).to_pylist(), object).astype(str), return_inverse=True)
-                g = Grams(b.column(1).cast(pa.binary()).to_pylist(), numbers)
-                keys = g.keys
-                n = np.bincount(g.window, g.uses[g.owner], len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(names[(keys >> _U(40)).astype(np.int64)]), pa.array((keys & _U((1 << 40) - 1)).astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+        for b in batches:
+            names, numbers = np.unique(np.array(b.column(0).to_pylist(), object).astype(str), return_inverse=True)
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            for part in slices(texts):
+                g = Grams(texts[part], numbers[part])
+                n = np.bincount(g.window, minlength=len(g.keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names[(g.keys >> _U(_LANG)).astype(np.int64)]), pa.array((g.keys & _U((1 << _LANG) - 1)).astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
         un.trim()
 
     raw = persist(chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     langs = [r["lang"] for r in raw.select("lang").distinct().orderBy("lang").collect()]  # at most fit_rows
     number = F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, i)]) if langs else F.create_map().cast("map<string,int>")
-    raw = raw.select(number[F.col("lang")].alias("lang"), F.shiftright("gram", 32).alias("size"), F.col("gram").bitwiseAND(0xFFFFFFFF).alias("g"), "n")
+    raw = raw.select(number[F.col("lang")].alias("lang"), F.shiftright("gram", _SIZE).alias("size"), F.col("gram").bitwiseAND(_BYTES).alias("g"), "n")
     adds, backs, above = [], [], None
     for k in range(ORDER, 0, -1):
         own = raw.filter(F.col("size") == k).select("lang", "g", "n")
@@ -136,12 +155,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
         y = F.coalesce(F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")), F.lit(0.5))
         cut = lambda i: F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), i - (i + 1) * y * F.coalesce(F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")), F.lit(0.5))))
         d = d.select("lang", cut(1).alias("d1"), cut(2).alias("d2"), cut(3).alias("d3"))
-        rows = own.join(d, "lang")
+        rows = own.join(F.broadcast(d), "lang")  # a row a language, at most fit_rows
         less = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         context = Window.partitionBy("lang", "h")
         rows = rows.withColumn("h", F.shiftright("g", 8)).withColumn("less", F.least(less, F.col("n").cast("double")))
         rows = rows.withColumn("s", F.sum("n").over(context))
-        key = lambda size, g: F.shiftleft(F.col("lang").cast("long"), 40) + F.lit(size << 32) + g
+        key = lambda size, g: F.shiftleft(F.col("lang").cast("long"), _LANG) + F.lit(size << _SIZE) + g
         adds.append(rows.select(key(k, F.col("g")).alias("key"), ((F.col("n") - F.col("less")) / F.col("s")).alias("add"), F.lit(None).cast("double").alias("back")))
         backs.append(rows.groupBy("lang", "h").agg((F.sum("less") / F.first("s")).alias("back")).select(key(k - 1, F.col("h")).alias("key"), F.lit(None).cast("double").alias("add"), "back"))
         above = own
@@ -152,40 +171,54 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     return persist(model, "kn-model"), langs
 
 
-def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: str, text_col: str, lang_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns and ``n_words long, n_bytes long, log_ppl double, worst_word double`` (nats a byte, of all and of the worst word; null without words or without a model of the language)."""
-    used = docs.select(*dict.fromkeys([id_col, text_col, lang_col, *keep]))
-    total = un.text_bytes(used, text_col)
-    units = un.stage(used, text_col, UNIT_BYTES, total)
-    shards = un.shards_for(total / 60)
+def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: str, text_col: str, lang_col: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """``keep`` columns and ``unit_id long, nth int, n_words long, n_bytes long, log_ppl double, worst_word double``, and the units of documents.
+
+    Nats a byte, of all and of the worst word; null without words or without a
+    model of the language.
+    """
+    total = un.text_bytes(docs, text_col)
+    units = un.stage(docs, text_col, UNIT_BYTES, total)
+    shards = un.shards_for(total / 30)
     number = {l: i for i, l in enumerate(langs)}
 
-    def grams(rows: pa.StructArray) -> tuple[Grams, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    def parts(rows: pa.StructArray) -> Iterator[tuple[slice, np.ndarray, Grams]]:
         lang = np.array([number.get(x if x is not None else "", -1) for x in rows.field(lang_col).cast(pa.string()).to_pylist()], np.int64)
-        g = Grams([t if i >= 0 else None for t, i in zip(un.texts_of(rows, text_col), lang)], np.maximum(lang, 0))
-        full, context, known = g.orders()
-        keys, inverse = np.unique(np.concatenate([*full, *context]), return_inverse=True)
-        return g, lang, mix(keys), inverse.reshape(2 * ORDER, -1), known
+        texts = [t if i >= 0 else None for t, i in zip(un.texts_of(rows, text_col), lang)]
+        for part in slices(texts):
+            yield part, lang[part], Grams(texts[part], np.maximum(lang[part], 0))
+
+    def asked(grams: Iterator[Grams]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of a unit by shard, then ascending, and where each shard starts."""
+        found = [g.keys for g in grams]
+        full, context, _ = orders(distinct(np.concatenate(found))[0]) if found else ([np.empty(0, np.uint64)], [], [])
+        return by_shard(np.sort(distinct(np.concatenate([*full, *context]))[0]))
+
+    def by_shard(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shard = ((mix(keys) >> _U(32)) * _U(shards) >> _U(32)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        return keys[order], np.searchsorted(shard[order], np.arange(shards + 1))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of():
             for unit, rows, _ in un.each_unit(batches):
-                h = grams(rows)[2]
-                h.sort()
-                yield from un.questions(unit, h, shards, [])
+                keys, cut = asked(g for *_, g in parts(rows))
+                for s in np.flatnonzero(np.diff(cut)):
+                    yield int(s), unit, un.squeeze_sorted(keys[cut[s] : cut[s + 1]])
 
         yield from un.in_batches(rows_of())
 
     def emit_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = mix(b.column(0).to_numpy().view(np.uint64))
-            order = np.argsort(h)
-            values = [b.column(i).to_numpy()[order].astype(np.float32) for i in (1, 2)]
-            yield from un.in_batches(un.questions(-1, h[order], shards, values))
+            own = b.column(0).to_numpy().view(np.uint64)
+            order = np.argsort(own)
+            keys, cut = by_shard(own[order])
+            back = order[np.argsort(((mix(own[order]) >> _U(32)) * _U(shards) >> _U(32)).astype(np.int64), kind="stable")]
+            add, leave = (b.column(i).to_numpy()[back].astype(np.float32) for i in (1, 2))
+            yield from un.in_batches((int(s), -1, b"".join(x[cut[s] : cut[s + 1]].tobytes() for x in (keys, add, leave))) for s in np.flatnonzero(np.diff(cut)))
 
     def answer(ids: list[int], blobs: list[bytes]) -> list[bytes | None]:
         """The shard's n-grams, which come as unit -1, joined with each unit's."""
-        squeeze = zstandard.ZstdCompressor(level=1).compress
         own = [b for u, b in zip(ids, blobs) if u == -1]
         sizes = [len(b) // 16 for b in own]
         h = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(b, np.uint64, n) for b, n in zip(own, sizes))])
@@ -198,67 +231,84 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
             if u == -1 or not len(h):
                 out.append(None)
                 continue
-            q = np.frombuffer(b, np.uint64)
+            q = un.unsqueeze_sorted(b, np.uint64)
             at = np.minimum(np.searchsorted(h, q), len(h) - 1)
             row = np.where(h[at] == q, order[at] + 1, 0)
-            out.append(squeeze(add[row].tobytes() + back[row].tobytes()))
+            out.append(un.squeeze(np.concatenate([add[row], back[row]])))
         return out
 
-    asked = units.mapInArrow(emit, un.QUESTION).unionAll(model.mapInArrow(emit_model, un.QUESTION))
-    answers = persist(un.ask(asked, shards, answer), "kn-answers")
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("log_ppl", T.DoubleType()), T.StructField("worst_word", T.DoubleType())])
+    questions = units.mapInArrow(emit, un.QUESTION).unionAll(model.mapInArrow(emit_model, un.QUESTION))
+    answers = persist(un.ask(questions, shards, answer), "kn-answers")
+    sweep(docs.sparkSession)
+    own = [("unit_id", T.LongType()), ("nth", T.IntegerType()), ("n_words", T.LongType()), ("n_bytes", T.LongType()), ("log_ppl", T.DoubleType()), ("worst_word", T.DoubleType())]
+    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(*x) for x in own)])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for _, rows, more in un.each_unit(batches):
-            g, lang, h, inverse, known = grams(rows)
-            order = np.argsort(h)
-            edges = un.shard_of(h[order], shards)
-            add, back = np.zeros(len(h), np.float32), np.ones(len(h), np.float32)
+        for unit, rows, more in un.each_unit(batches):
+            held = list(parts(rows))
+            keys, cut = asked(g for *_, g in held)
+            add, back = np.zeros(len(keys), np.float32), np.ones(len(keys), np.float32)
             for s, blob in un.answer_map(more["answers"]).items():
-                part = order[edges[s] : edges[s + 1]]
-                both = np.frombuffer(unpack(blob), np.float32).reshape(2, -1)
-                add[part], back[part] = both
-            p = np.full(len(g.keys), 1.0 / ALPHABET)
-            for k in range(ORDER):
-                p = np.where(known[k], add[inverse[k]] + back[inverse[ORDER + k]] * p, p)
-            word = np.bincount(g.owner, np.log(p)[g.window], len(g.steps))
-            text = g.words.text_of_word()
-            sums = np.bincount(text, word[g.word], len(rows))
-            steps = np.bincount(text, g.steps[g.word], len(rows))
-            worst = np.zeros(len(rows))
-            np.maximum.at(worst, text, (-word / g.steps)[g.word])
-            ok = (steps > 0) & (lang >= 0)
-            ppl = np.divide(-sums, steps, out=np.zeros(len(rows)), where=ok)
-            yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in keep), pa.array(g.words.counts, pa.int64()), pa.array(steps.astype(np.int64)), pa.array(ppl, mask=~ok), pa.array(worst, mask=~ok)], names=schema.names)
-
-    return un.answered(units, answers).mapInArrow(judge, schema)
-
-
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = (),
-             fit_rows: int = FIT_ROWS, spread: float = SPREAD) -> DataFrame:
-    """Returns ``id_col, lang_col, carry.., n_words, n_bytes, log_ppl, worst_word, word_limit, limit, kept``, a row for each row.
-
-    ``limit`` is 0 where the worst word lies above ``word_limit``.
-
-    A null language is a language of its own. Null or wordless text, and texts in
-    a language without trusted documents, have no perplexity and are kept, as
-    nothing speaks against them. Repeated rows are judged alike. Input columns
-    named like an output column give way to it.
+                add[cut[s] : cut[s + 1]], back[cut[s] : cut[s + 1]] = un.unsqueeze(blob, np.float32).reshape(2, -1)
+            order = np.argsort(keys)
+            keys, add, back = keys[order], add[order], back[order]
+            for part, lang, g in held:
+                k = len(lang)
+                full, context, known = orders(g.keys)
+                p = np.full(len(g.keys), 1.0 / ALPHABET)
+                for f, c, long in zip(full, context, known):
+                    p = np.where(long, add[np.searchsorted(keys, f)] + back[np.searchsorted(keys, c)] * p, p)
+                word = np.add.reduceat(-np.log(p)[g.window], g.first) if len(g.first) else np.empty(0)
+                text = g.words.text_of_word()
+                sums, worst = np.bincount(text, word, k), np.zeros(k)
+                np.maximum.at(worst, text, word / g.steps)
+                ok = (g.bytes_of > 0) & (lang >= 0)
+                ppl = np.divide(sums, g.bytes_of, out=np.zeros(k), where=ok)
+                yield pa.RecordBatch.from_arrays([*(rows.field(c).slice(part.start, k) for c in keep), pa.array(np.full(k, unit)), pa.array(np.arange(part.start, part.start + k), pa.int32()),
+                                                  pa.array(g.words.counts, pa.int64()), pa.array(g.bytes_of.astype(np.int64)), pa.array(ppl, mask=~ok), pa.array(worst, mask=~ok)], names=schema.names)
+
+    return persist(un.answered(units, answers).mapInArrow(judge, schema), "perplexities"), units
+
+
+def _judged(scored: DataFrame, labels: DataFrame, id_col: str, lang_col: str) -> DataFrame:
+    """``scored`` with ``score, limit, word_limit, kept``."""
+    score = F.col("log_ppl") - SHORT / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))
+    scored = scored.withColumn("score", score)
+    marked = scored.select(id_col, _lang(lang_col).alias("l"), "score", "worst_word").join(trusted_ids(labels, id_col), id_col)
+    high = lambda c, held: F.percentile_approx(F.when(F.col("held") == held, F.col(c)), QUANTILE, 10_000)
+    pick = lambda c: F.when(F.count_if(F.col("held") & F.col(c).isNotNull()) >= LEAST_HELD, high(c, True)).otherwise(F.greatest(high(c, True), high(c, False) + LEAVE))
+    limits = marked.groupBy("l").agg(pick("score").alias("limit"), pick("worst_word").alias("word_limit"))
+    out = scored.join(F.broadcast(limits), _lang(lang_col) == F.col("l"), "left").drop("l")  # a row a language of the labelled rows
+    return out.withColumn("kept", F.coalesce((F.col("score") <= F.col("limit")) & (F.col("worst_word") <= F.col("word_limit")), F.lit(True)))
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """Returns ``id_col, lang_col, n_words, n_bytes, log_ppl, worst_word, score, limit, word_limit, kept``, a row for each row.
+
+    A null language is a language of its own, the empty one. Null or wordless
+    text, and texts in a language without trusted documents, have no perplexity
+    and are kept, as nothing speaks against them. Repeated rows are judged alike;
+    a score equal to a limit is kept. Texts of any length are scored whole. Other
+    columns, whatever their names, are not read. Empty documents give an empty
+    table, and with empty labels all documents are kept.
     """
-    keep = tuple(dict.fromkeys([id_col, lang_col, *(c for c in carry if c not in ("n_words", "n_bytes", "log_ppl", "worst_word", "word_limit", "limit", "kept"))]))
     model, langs = fit(docs, labels, id_col, text_col, lang_col, fit_rows)
-    scored = persist(perplexities(docs, model, langs, id_col, text_col, lang_col, keep), "perplexities")
-    # a null language and an empty one have one model
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
-    q = scored.groupBy(lang.alias("l")).agg(F.percentile_approx("log_ppl", [0.05, 0.5], 10_000).alias("q"))
-    marked = scored.select(id_col, lang.alias("l"), "log_ppl", "worst_word").join(trusted_ids(labels, id_col), id_col, "left_semi")
-    high = lambda c: F.percentile_approx(c, LABELLED, 10_000)
-    q = q.join(marked.groupBy("l").agg(high("log_ppl").alias("labelled"), (high("worst_word") + WORD_LEAVE).alias("word_limit")), "l", "left")
-    q50, q05 = F.col("q")[1], F.col("q")[0]
-    limit = F.least(q50 + F.greatest(F.lit(LEAST), spread * (q50 - q05)), F.greatest(F.col("labelled"), q50 + MEDIAN_LEAVE))
-    limits = q.select("l", "word_limit", limit.alias("limit"))
-    out = scored.join(F.broadcast(limits), lang == F.col("l"), "left").drop("l")  # a row a language
-    out = out.withColumn("limit", F.when(F.col("worst_word") > F.col("word_limit"), 0.0).otherwise(F.col("limit")))
-    leave = F.when(F.col("limit") > 0, SHORT / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))).otherwise(0.0)
-    return out.withColumn("kept", F.coalesce(F.col("log_ppl") <= F.col("limit") + leave, F.lit(True)))
+    scored, units = perplexities(docs.select(id_col, text_col, lang_col), model, langs, id_col, text_col, lang_col, (id_col, lang_col))
+    free(model)
+    return _judged(scored.drop("unit_id", "nth"), labels, id_col, lang_col)
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, with all columns; texts are read where they were staged, only row numbers move."""
+    model, langs = fit(docs, labels, id_col, text_col, lang_col, fit_rows)
+    scored, units = perplexities(docs, model, langs, id_col, text_col, lang_col, (id_col, lang_col))
+    free(model)
+    picks = _judged(scored, labels, id_col, lang_col).filter("kept").groupBy("unit_id").agg(F.collect_list("nth").alias("picks"))
+
+    names = docs.columns
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows, more in un.each_unit(batches):
+            yield pa.RecordBatch.from_arrays(rows.take(pa.array(sorted(more["picks"]), pa.int64())).flatten(), names=names)
+
+    return units.join(picks, "unit_id").select("unit_id", "rows", "picks").mapInArrow(take, docs.schema)

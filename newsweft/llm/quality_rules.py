@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
@@ -128,3 +129,10 @@ def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
         trim()
 
     return docs.select(*docs.columns).mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``assess`` keeps, with all columns as they are, whatever their names."""
+    safe = {c: f"carried_{i}" if c in T.StructType.fromDDL(FIELDS).names else c for i, c in enumerate(docs.columns)}
+    held = assess(docs.select(*[F.col(c).alias(n) for c, n in safe.items()]), safe[text_col]).filter("kept")
+    return held.select(*[F.col(n).alias(c) for c, n in safe.items()])

@@ -1,11 +1,15 @@
 """Substring dedup with a count-min prefilter.
 
-Pass 1 merges the sketches of all partitions into one count-min sketch whose
-cells saturate at two: it overestimates how often a window occurs, so a window
-with a cell below two is certainly unique. Pass 2 groups exactly, by 96 bits of
-hash, only the windows estimated to be repeated, and pass 3 removes words.
-The sketch takes ``cells_per_window`` cells a window up to ``max_cells``;
-beyond that it lets more windows through to the exact pass and loses none.
+Pass 1 sketches how often windows occur. Each unit of documents has a sketch of
+its own windows, sparse, as the cells that it hits; the sketches are merged by
+ranges of cells, and a range answers to each unit which of its cells were hit
+twice or more by all. The count is never too small, so a window with a cell hit
+once is certainly unique. Pass 2 groups exactly, by 96 bits of hash, only the
+windows estimated to be repeated, and pass 3 removes words.
+
+The sketch has ``cells_per_window`` cells a window at every size of the input,
+lies in ranges of 2**20 cells and is never gathered, so what passes the filter
+is the same share of unique windows whatever the input.
 """
 
 from __future__ import annotations
@@ -14,23 +18,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import units as un
-from .scratch import persist
+from .scratch import persist, sweep
 from .words import Words, mix, window_starts, windows
 
 WINDOW = 13
 #: Bytes of text a word takes at least, on average, in the estimate of windows.
 BYTES_A_WORD = 6
+#: Rows of the sketch, and cells of a row for each window.
 DEPTH = 2
-CELLS_A_WINDOW = 1.5
-#: Cells of a row of the sketch at most: 2 rows of 2**29 bits are 128 MB.
-MAX_CELLS = 1 << 29
-CELLS_A_SHARD = 1 << 20
+CELLS_A_WINDOW = 2.0
+#: Cells of a range, which one task merges.
+RANGE = 1 << 20
 _OTHER_BASE = 0xD1342543DE82EF95
 _ROWS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
@@ -46,71 +50,50 @@ def _hashes(texts: list[bytes | None], window: int) -> tuple[Words, np.ndarray,
     return w, at, first, second
 
 
-def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return ((h ^ (h >> np.uint64(32))) * _ROWS[row] >> np.uint64(64 - bits)).astype(np.uint32)
-
-
-def build_sketch(units: DataFrame, text_col: str, id_col: str, window: int, bits: int, depth: int = DEPTH) -> list[np.ndarray]:
-    """Of each row of the sketch, a packed bit for each cell: whether it was hit twice or more.
-
-    A partition's sketch travels as compressed gaps between its cells; one task
-    for each range of cells merges them as they stream in. The result has
-    depth * 2**bits bits, bounded by MAX_CELLS, whatever the input.
-    """
-    width = min(CELLS_A_SHARD, 1 << bits)
-    per_row = (1 << bits) // width
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-
-        def flush(held: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
-            h = np.concatenate(held)
-            for row in range(depth):
-                cells = _cells(h, row, bits)
-                cells.sort()
-                new = np.concatenate([[True], cells[1:] != cells[:-1]])
-                only = cells[new]
-                twice = np.diff(np.append(np.flatnonzero(new), len(cells))) > 1
-                cut = np.searchsorted(only, np.arange(per_row + 1, dtype=np.uint64) * np.uint64(width))
-                for s in np.flatnonzero(np.diff(cut)):
-                    part = only[cut[s] : cut[s + 1]]
-                    gaps = np.diff(part, prepend=np.uint32(s * width)).astype(np.uint32)
-                    yield row * per_row + int(s), len(part), pack(gaps.tobytes() + np.packbits(twice[cut[s] : cut[s + 1]]).tobytes())
-
-        held, n = [], 0
-        for _, rows, _ in un.each_unit(batches):
-            h = _hashes(_ordered_texts(rows, text_col, id_col), window)[2]
-            held.append(h)
-            n += len(h)
-            if n >= 3 << 20:
-                yield from un.in_batches(flush(held))
-                held, n = [], 0
-        if n:
-            yield from un.in_batches(flush(held))
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        shard, hits = None, np.zeros(width, np.uint8)
-        for b in batches:
-            for s, n, x in zip(*(c.to_pylist() for c in b.columns)):
-                if s != shard and shard is not None:
-                    yield un.question_batch([(shard, 0, np.packbits(hits >= 2).tobytes())])
-                    hits[:] = 0
-                shard, x = s, unpack(x)
-                cells = np.cumsum(np.frombuffer(x, np.uint32, n), dtype=np.int64)
-                twice = np.unpackbits(np.frombuffer(x, np.uint8, offset=4 * n), count=n)
-                hits[cells] = np.minimum(hits[cells] + 1 + twice, 2)
-        if shard is not None:
-            yield un.question_batch([(shard, 0, np.packbits(hits >= 2).tobytes())])
-        un.trim()
-
-    out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(depth)]
-    merged = (units.select("unit_id", "rows").mapInArrow(emit, un.QUESTION).repartition(min(depth * per_row, 4096), "shard")
-              .sortWithinPartitions("shard").mapInArrow(merge, un.QUESTION))
-    for r in merged.toLocalIterator():
-        row, s = divmod(r["shard"], per_row)
-        out[row][s * width // 8 : (s + 1) * width // 8] = np.frombuffer(r["blob"], np.uint8)
-    return out
+def _cells(h: np.ndarray, row: int, ranges: int) -> np.ndarray:
+    """Cell of each hash in a row of ``ranges`` ranges: the number of the range, then 20 bits of the place in it."""
+    x = mix(h ^ _ROWS[row])
+    return (((x >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)) << np.uint64(20)) | (x & np.uint64(RANGE - 1))
+
+
+def sketch_of(h: np.ndarray, ranges: int, depth: int = DEPTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The sparse sketch of some windows: for each range that they hit its number, the places hit, and which of them twice."""
+    for row in range(depth):
+        cells = _cells(h, row, ranges)
+        cells.sort()
+        new = np.concatenate([[True], cells[1:] != cells[:-1]])
+        only = cells[new]
+        twice = np.diff(np.append(np.flatnonzero(new), len(cells))) > 1
+        cut = np.searchsorted(only, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(20))
+        for s in np.flatnonzero(np.diff(cut)):
+            part = slice(cut[s], cut[s + 1])
+            yield row * ranges + int(s), (only[part] & np.uint64(RANGE - 1)).astype(np.uint32), twice[part]
+
+
+def merge(_: list[int], blobs: list[bytes]) -> list[bytes]:
+    """Merge a range's sparse sketches; for each a bit a place: whether all of them together hit it twice or more."""
+    hits, places = np.zeros(RANGE, np.uint8), []
+    for b in blobs:
+        n = int.from_bytes(b[:4], "little")
+        at = un.unsqueeze_sorted(b[4 + (n + 7) // 8 :], np.uint32)
+        twice = np.unpackbits(np.frombuffer(b, np.uint8, (n + 7) // 8, 4), count=n)
+        hits[at] = np.minimum(hits[at] + 1 + twice, 2)
+        places.append(at)
+    return [np.packbits(hits[at] >= 2).tobytes() for at in places]
+
+
+def suspects(h: np.ndarray, ranges: int, answers: dict[int, bytes], depth: int = DEPTH) -> np.ndarray:
+    """Places of the windows that every row of the merged sketch says occur twice or more."""
+    at = np.arange(len(h))
+    for row in range(depth):
+        cells = _cells(h, row, ranges)
+        only = np.unique(cells)
+        cut = np.searchsorted(only, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(20))
+        seen = np.zeros(len(only), bool)
+        for s in np.flatnonzero(np.diff(cut)):
+            seen[cut[s] : cut[s + 1]] = np.unpackbits(np.frombuffer(answers[row * ranges + int(s)], np.uint8), count=cut[s + 1] - cut[s])
+        at = at[seen[np.searchsorted(only, cells[at])]]
+    return at
 
 
 def _ordered_texts(rows: pa.StructArray, text_col: str, id_col: str) -> list[bytes | None]:
@@ -119,14 +102,6 @@ def _ordered_texts(rows: pa.StructArray, text_col: str, id_col: str) -> list[byt
     return [t if ok else None for t, ok in zip(un.texts_of(rows, text_col), ids)]
 
 
-def _suspects(h: np.ndarray, sketch: list[np.ndarray], bits: int) -> np.ndarray:
-    at = np.arange(len(h))
-    for row, seen in enumerate(sketch):
-        cell = _cells(h[at], row, bits)
-        at = at[(seen[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1]
-    return at
-
-
 def _groups(h: np.ndarray, g: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by (h, g, doc), where a new (h, g) starts in it, and the group of each place in it."""
     order = np.lexsort((doc, g, h))
@@ -137,41 +112,55 @@ def _groups(h: np.ndarray, g: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
-                     window: int = WINDOW, max_cells: int = MAX_CELLS) -> DataFrame:
+                     window: int = WINDOW, cells_per_window: float = CELLS_A_WINDOW) -> DataFrame:
     """Remove passages that start, word for word, in a document with a smaller id.
 
-    Returns ``id_col``, ``text_col`` (kept words joined by a space), ``n_words``,
-    ``n_removed`` and the ``carry`` columns; an input column named like an output
-    column gives way to it. A row for each row: null text has no words and gives
-    an empty text; rows with a null id are neither sources nor cut; rows that
-    share an id never cut each other, and repeated rows are cut alike.
+    Returns ``id_col`` (an integer), ``text_col`` (kept words joined by a space),
+    ``n_words``, ``n_removed`` and the ``carry`` columns; an input column named
+    like an output column gives way to it. A row for each row: null text has no
+    words and gives an empty text; rows with a null id are neither sources nor
+    cut; rows that share an id never cut each other, and repeated rows are cut
+    alike. Texts are cut whole, whatever their length; one longer than a unit is
+    a unit of its own. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
     carry = tuple(c for c in carry if c not in (id_col, text_col, "n_words", "n_removed"))
     used = docs.select(id_col, text_col, *carry)
     total = un.text_bytes(used, text_col)
     estimate = max(1, total // BYTES_A_WORD)
-    bits = int(np.clip(np.ceil(np.log2(estimate * CELLS_A_WINDOW)), 12, np.log2(max_cells)))
+    ranges = max(1, int(estimate * cells_per_window) // RANGE + (cells_per_window >= 1))
     units = un.stage(used, text_col, total_bytes=total)
-    sketch = spark.sparkContext.broadcast(build_sketch(units, text_col, id_col, window, bits))
     shards = un.shards_for(estimate / 2)
+    spark = docs.sparkSession
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of():
+            for unit, rows, _ in un.each_unit(batches):
+                h = _hashes(_ordered_texts(rows, text_col, id_col), window)[2]
+                if len(h):
+                    for s, at, twice in sketch_of(h, ranges):
+                        yield s, unit, len(at).to_bytes(4, "little") + np.packbits(twice).tobytes() + un.squeeze_sorted(at)
 
-    def local(rows: pa.StructArray):
+        yield from un.in_batches(rows_of())
+
+    merged = persist(un.ask(units.mapInArrow(sketch, un.QUESTION), DEPTH * ranges, merge), "sketch-answers")
+    sweep(spark)
+
+    def local(rows: pa.StructArray, answers: dict[int, bytes]):
         """The unit's suspect windows by hash: words, starts, documents, group of each, and for each group hash, bits, smallest id."""
-        ids = rows.field(id_col).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(rows.field(id_col).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
         w, at, h, g = _hashes(_ordered_texts(rows, text_col, id_col), window)
-        sus = _suspects(h, sketch.value, bits)
+        sus = suspects(h, ranges, answers)
         at, h, g = at[sus], h[sus], g[sus]
         row = np.searchsorted(w.bounds, at, "right") - 1
-        doc = np.nan_to_num(ids[row]).astype(np.int64) if len(row) else np.empty(0, np.int64)
+        doc = ids[row]
         order, new, group = _groups(h, g, doc)
         first = order[new]
         return w, at[order], row[order], doc[order], group, h[first], g[first], doc[first]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of():
-            for unit, rows, _ in un.each_unit(batches):
-                *_, h, g, low = local(rows)
+            for unit, rows, more in un.each_unit(batches):
+                *_, h, g, low = local(rows, un.answer_map(more["answers"]))
                 yield from un.questions(unit, h, shards, [g, low])
 
         yield from un.in_batches(rows_of())
@@ -188,17 +177,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         cuts = np.cumsum([0, *sizes])
         return [np.packbits(part).tobytes() if (part := smaller[a:b]).any() else None for a, b in zip(cuts, cuts[1:])]
 
-    answers = persist(un.ask(units.mapInArrow(emit, un.QUESTION), shards, answer), "substring-answers")
+    exact = persist(un.ask(un.answered(units, merged).mapInArrow(emit, un.QUESTION), shards, answer), "substring-answers")
+    sweep(spark)
+    # Shards of the exact stage are told from ranges of the sketch by their sign.
+    both = merged.unionByName(exact.withColumn("shard", -1 - F.col("shard")))
     schema = T.StructType([docs.schema[id_col], T.StructField(text_col, T.StringType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), *(docs.schema[c] for c in carry)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows, more in un.each_unit(batches):
-            w, at, row, doc, group, h, _, low = local(rows)
+            answers = un.answer_map(more["answers"])
+            w, at, row, doc, group, h, _, low = local(rows, answers)
             smaller, edges = np.zeros(len(h), bool), un.shard_of(h, shards)
-            for s, bits_ in un.answer_map(more["answers"]).items():
-                n = edges[s + 1] - edges[s]
-                smaller[edges[s] : edges[s + 1]] = np.unpackbits(np.frombuffer(bits_, np.uint8), count=n).astype(bool)
+            for s, bits in answers.items():
+                if s < 0:
+                    a, z = edges[-1 - s], edges[-s]
+                    smaller[a:z] = np.unpackbits(np.frombuffer(bits, np.uint8), count=z - a)
             hit = at[smaller[group] | (low[group] < doc)] if len(at) else at
             change = np.zeros(len(w.starts) + 1, np.int64)
             np.add.at(change, hit, 1)
@@ -208,24 +202,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             texts = un.texts_of(rows, text_col)
             out, n_words, n_gone = [], [], []
             for i in range(len(rows)):
-                if not valid[i]:
-                    plain = (texts[i] or b"").split()
-                    out.append(b" ".join(plain))
-                    n_words.append(len(plain))
-                    n_gone.append(0)
-                    continue
-                a, b = w.bounds[i], w.bounds[i + 1]
-                words, removed = (texts[i] or b"").split(), int(gone[a:b].sum())
+                words = (texts[i] or b"").split()
+                removed = int(gone[w.bounds[i] : w.bounds[i + 1]].sum()) if valid[i] else 0
+                n_words.append(len(words))
+                n_gone.append(removed)
                 if removed:
-                    words = [words[j] for j in np.flatnonzero(~gone[a:b])]
+                    words = [words[j] for j in np.flatnonzero(~gone[w.bounds[i] : w.bounds[i + 1]])]
                 out.append(b" ".join(words))
-                n_words.append(int(b - a))
-                n_gone.append(removed)
             yield pa.RecordBatch.from_arrays(
                 [rows.field(id_col), pa.array(out, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), *(rows.field(c) for c in carry)],
                 names=schema.names)
 
-    return un.answered(units, answers).mapInArrow(cut, schema)
+    return un.answered(units, both).mapInArrow(cut, schema)
 
 
 def digest(result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,25 @@ def shards_for(n_hashes: float) -> int:
     return max(1, int(n_hashes / SHARD_HASHES) + 1)
 
 
+def squeeze(a: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, which compress well where the high bytes are alike."""
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+
+
+def unsqueeze(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
+def squeeze_sorted(a: np.ndarray) -> bytes:
+    """Ascending unsigned numbers by their gaps."""
+    return squeeze(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def unsqueeze_sorted(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(unsqueeze(data, kind), dtype=kind)
+
+
 def stage(docs: DataFrame, text_col: str, unit_bytes: int = UNIT_BYTES, total_bytes: int | None = None) -> DataFrame:
     """``unit_id long, rows array<struct<all columns>>``, written once, bucketed by unit_id.
 
