@@ -1,66 +1,5 @@
-"""Corpus pipeline: five stages applied one after another to ``documents``.
+"""The corpus pipeline's stages, their run, and SQL for it; defined in ``newsweft.llm.pipeline``."""
 
-All stages but the last return the columns of documents; a stage sees all that
-the one before it kept, and its decisions take effect.
-"""
+from newsweft.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from newsweft.llm import near_dedup, packing, quality_lm, quality_rules, substring_dedup
-from newsweft.llm.scratch import persist
-
-#: Near duplicates share 80 % of their shingles of so many words.
-SHINGLE = 5
-
-
-def drop_unlikely_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents whose perplexity lies above their language's limit go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality_lm.classify(docs, labels, carry=tuple(docs.columns))
-    return scored.filter("kept").select(*docs.columns)
-
-
-def drop_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that fail the base rule or a compression band go."""
-    return quality_rules.assess(docs).filter("kept").select(*docs.columns)
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group the document with the smallest id stays."""
-    groups = near_dedup.near_duplicates(docs, shingle=SHINGLE)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
-def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Substring dedup: passages that start in a document of a smaller id go; n_chars follows the text."""
-    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = substring_dedup.dedup_substrings(docs, carry=carry)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
-
-
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing: the place of every piece of every document in sequences of 1024 tokens."""
-    return packing.pack(docs, with_ids=False)
-
-
-STAGES = [
-    ("quality classifier", drop_unlikely_text),
-    ("quality rules", drop_by_rules),
-    ("near dedup", drop_near_duplicates),
-    ("substring dedup", drop_repeated_passages),
-    ("best-fit packing", pack_sequences),
-]
-#: Compression, language models and tokenizers can't be expressed in SQL; tests/llm compares with brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        docs = out if name == STAGES[-1][0] else persist(out, name.replace(" ", "-"))
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
