@@ -316,46 +316,118 @@ def test_quality_rules_partial_junk(spark, sf_dir, size):
 
 
 def test_lm_scoring(docs, rows, empty):
+    """Against a plain walk with back-off, token by token; and runs of any length carry the same state."""
     tokens = [(i, [x.lower() for x in split(t)] + [1]) for i, t, *_ in rows]
     out = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
-    c, b = collections.Counter(), collections.Counter()
+    c, b, d = collections.Counter(), collections.Counter(), collections.Counter()
     for i, w in tokens:
         if not out(i):
             c.update(w)
             b.update(zip([1, *w], w))
-    n, v, mu = sum(c.values()), len(c), lm_scoring.MU
+            d.update(zip([1, *w], w, w[1:]))
+    n, v, m2, m3 = sum(c.values()), len(c), lm_scoring.MU2, lm_scoring.MU3
     p = lambda x: (c[x] + 0.5) / (n + 0.5 * (v + 1))
-    want = sorted((str(i), out(i), len(w), sum(c[x] > 0 for x in w), n, sum(math.log10(p(x)) for x in w), sum(math.log10((b[h, x] + mu * p(x)) / (c[h] + mu)) for h, x in zip([1, *w], w))) for i, w in tokens)
+
+    def walk(w):
+        total, state = 0.0, (1,) if c[1] else ()
+        for x in w:
+            while True:
+                if len(state) == 2:
+                    count, of, m = d[(*state, x)], b[state], m3
+                elif state:
+                    count, of, m = b[(*state, x)], c[state[0]], m2
+                else:
+                    total += math.log10(p(x))
+                    state = (x,) if c[x] else ()
+                    break
+                if count:
+                    two = (b[state[-1], x] + m2 * p(x)) / (c[state[-1]] + m2)
+                    total += math.log10(two if len(state) == 1 else (count + m3 * two) / (of + m3))
+                    state = (state[-1], x) if b[state[-1], x] >= lm_scoring.LEAST else (x,)
+                    break
+                total += math.log10(m / (of + m))
+                state = state[1:]
+        return total
+
+    want = sorted((str(i), out(i), len(w), sum(c[x] > 0 for x in w), n, sum(math.log10(p(x)) for x in w), walk(w)) for i, w in tokens)
     got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm_scoring.score(docs).collect())
     for a, e in zip(got, want, strict=True):
         assert a[:5] == e[:5] and a[5:] == pytest.approx(e[5:], rel=1e-9)
     assert lm_scoring.score(empty).count() == 0
 
 
-def test_fingerprints(docs, rows, empty):
-    order = sorted((r for r in rows if r[0] is not None), key=lambda r: -r[0])
-    by = collections.defaultdict(set)
-    for k, (i, t, *_) in enumerate(order):
-        t = t or ""
-        after = (order[k + 1][1] if k + 1 < len(order) else "") or ""
-        n = len(t) // 3
-        by[i].add(hashlib.sha256((t[: len(t) - n] + after[:n]).encode()).hexdigest())
-    got = fingerprints.fingerprint_pairs(docs, parts=5).collect()
-    assert len(got) == len(rows)
-    ids = {r.doc_id for r in got}
-    last = min(i for i in ids if i is not None)
-    for r in got:
-        if r.doc_id is not None and r.doc_id != last:  # the smallest id is followed by the row without one
+def test_automaton_runs():
+    r = np.random.default_rng(1)
+    t = lm_scoring.Tokens([b" ".join(b"w%d" % x for x in r.integers(0, 40, k)) for k in (3000, 0, 1, 2, 255, 700)])
+    words, pairs = r.integers(0, 9, len(t.word_keys)) * 100.0, r.integers(0, 4, len(t.pair_keys)) * 1.0
+    a, b = t.pair_words
+    pairs[(words[a] == 0) | (words[b] == 0)] = 0
+    t.triples(pairs >= 2)
+    triples = np.minimum(r.integers(0, 3, len(t.triple_keys)), pairs[t.triple_pair])
+    triples[pairs[np.lexsort((b, a))][np.searchsorted(np.sort(a * len(words) + b), b[t.triple_pair] * len(words) + t.triple_word)] == 0] = 0
+    m = lm_scoring.Automaton(t, words, pairs, triples, 1000, 50, 300.0, 20.0, 2)
+    whole = m.walk(t, 1 << 20)
+    for run in (3, 64, 256):
+        assert np.allclose(m.walk(t, run), whole, rtol=0, atol=1e-12)
+
+
+def test_fingerprints(spark, docs, rows, empty):
+    """Next documents, edited texts and, from the hashes in each fingerprint, every estimate; ids spread evenly, heaped and one."""
+    for kw in ({"parts": 1}, {"parts": 5}, {"parts": 40}):
+        got = fingerprints.fingerprint_pairs(docs, **kw).collect()
+        assert len(got) == len(rows)
+        order = sorted((r for r in rows if r[0] is not None), key=lambda r: -r[0])
+        by = collections.defaultdict(set)
+        for k, (i, t, *_) in enumerate(order):
+            after = ((order[k + 1][1] if k + 1 < len(order) else rows[-2][1]) or "")  # the row without an id comes last
+            t = t or ""
+            by[i].add(hashlib.sha256((t[: len(t) - len(t) // 3] + after[: len(t) // 3]).encode()).hexdigest())
+        t, after = rows[-2][1], order[0][1] or ""
+        by[None].add(hashlib.sha256((t[: len(t) - len(t) // 3] + after[: len(t) // 3]).encode()).hexdigest())
+        for r in got:
             assert r.edited_sha256 in by[r.doc_id]
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-    text = dict((i, t or "") for i, t, *_ in rows)
-    prints = collections.defaultdict(set)
+    text = {i: t or "" for i, t, *_ in rows}
+    prints = {r.doc_id: r.fingerprint for r in got}
+    assert len({(*split(text[i]), f) for i, f in prints.items()}) == len({tuple(split(text[i])) for i in prints}) == len(set(prints.values()))
+    times = collections.Counter(r[0] for r in order)
+    follows = {a[0]: b[0] for a, b in zip(order, order[1:]) if times[a[0]] == 1}
     for r in got:
-        prints[text[r.doc_id]].add(r.fingerprint)
-    assert all(len(p) == 1 for p in prints.values())
+        a, b, c = (f.split() for f in (r.fingerprint, r.edited_fingerprint, prints[follows.get(r.doc_id, r.doc_id)]))
+        for other, near, inside in ((b, r.near_edited, r.contained_edited), *([(c, r.near_next, r.contained_next)] if r.doc_id in follows else [])):
+            x, y = set(a[1:]), set(other[1:])
+            assert near == (1.0 if a[0] == other[0] else len(x & y) / len(x | y) if x | y else 0.0)
+            assert inside == (1.0 if a[0] == other[0] else len(x & y) / len(x) if x else 0.0)
+    heaped = [(7, f"hot {i}", *rows[0][2:]) for i in range(300)] + [(i * 1000, f"t{i}", *rows[0][2:]) for i in range(30)] + [(None, f"n{i}", *rows[0][2:]) for i in range(50)]
+    out = fingerprints.with_next(spark.createDataFrame(heaped, SCHEMA), "doc_id", "text", 60).select("id", "text", "next_text").collect()
+    after = {r.text: r.next_text for r in out}
+    seen, at, chain = set(), heaped[329][1], []
+    while at not in seen:
+        seen.add(at)
+        chain.append(at)
+        at = after[at]
+    assert len(chain) == len(out) == len(heaped)  # one ring through all rows, in descending id
+    ids = {t: i for i, t, *_ in heaped}
+    key = [-math.inf if ids[t] is None else ids[t] for t in chain]
+    assert key == sorted(key, reverse=True)
     assert fingerprints.fingerprint_pairs(empty).count() == 0
 
 
+def test_fingerprints_estimate(spark):
+    """Against exact resemblance and containment, of texts of unequal length too; merged sketches are sketches of both texts."""
+    r = random.Random(4)
+    words_ = [f"w{r.randint(0, 10**6)}" for _ in range(6000)]
+    pairs = [(words_[:4000], words_[1000:5000]), (words_[:400], words_[:5000]), (words_[:3000], words_[3000:])]
+    d = spark.createDataFrame([(i, " ".join(a), " ".join(b), " ".join(a + b[:4]) if i == 2 else "") for i, (a, b) in enumerate(pairs)], "i int, a string, b string, c string")
+    for c in "abc":
+        d = fingerprints.with_sketch(d, c, f"s{c}")
+    a, b = F.col("sa"), F.col("sb")
+    got = d.select("i", fingerprints.likeness(a, b).alias("near"), fingerprints.containment(a, b).alias("inside"), fingerprints.merge(a, b)["kept"].alias("m"), "sa.kept", F.col("sb.kept").alias("b")).orderBy("i").collect()
+    for row, (x, y) in zip(got, pairs):
+        x, y = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (x, y))
+        assert row.near == pytest.approx(len(x & y) / len(x | y), abs=0.06) and row.inside == pytest.approx(len(x & y) / len(x), abs=0.06)
+        assert row.m == sorted(set(row.kept) | set(row.b)) and len(row.kept) * fingerprints.SCALE == pytest.approx(len(x), rel=0.3)
+
+
 def test_quality_lm(spark, docs, rows, empty):
     """Perplexities, limits and verdicts against a plain implementation of the same interpolated model."""
     top = quality_lm.ORDER
