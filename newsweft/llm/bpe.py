@@ -270,7 +270,8 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Returns ``id_col``, ``n_tokens``, ``ids_sha256`` (of decimal ids joined by
     commas), ``decoded_sha256`` and, with ``outputs``, ``ids array<int>`` and
     ``decoded``. One row for each row, repeated ones too; null text counts as
-    empty, a null id is kept as it is.
+    empty, a null id is kept as it is. Other columns, whatever their names, are
+    not read; repeated rows get equal rows; an empty table gives an empty one.
 
     Documents of more than ``long_text`` characters are cut into leaves that are
     rows of their own, encoded by any task, and joined again document by document.

@@ -138,7 +138,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     Returns a row for each piece: ``id_col, piece, start, length, ids_crc32,
     sequence_id, offset`` and, with ``with_ids``, ``ids``. The first piece of a
     document may be short, the others are whole. Null text is empty, so its piece
-    is the end id alone; repeated rows and rows of one id are packed one by one.
+    is the end id alone; repeated rows and rows of one id are packed one by one,
+    and pieces of equal length take places in the order of their tasks and rows.
+    Other columns, whatever their names, are not read; an empty table gives an
+    empty one.
     """
     spark = ship(docs.sparkSession)
     cut = persist(pieces(docs, id_col, text_col, path or bpe.default_tokenizer(), size, end_id, with_ids), "pieces")

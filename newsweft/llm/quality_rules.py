@@ -100,7 +100,8 @@ def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Input columns named like one of those give way to it. Null or wordless text
     has zero counts and fails the base rule; each row is judged alone, so repeated
-    rows get equal verdicts and an empty table gives an empty one.
+    rows get equal verdicts and an empty table gives an empty one. Texts of any
+    length are compressed whole; a ratio equal to a limit of its band is kept.
     """
     ship(docs.sparkSession)
     extra = T.StructType.fromDDL(FIELDS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, fingerprints, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, warc
+from .oracles import ORACLE_SQL  # noqa: F401  registered beside the queries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,5 +64,3 @@ QUERIES = {f.__name__: f for f in (
     op9_lm_scoring,
     op10_fingerprints,
 )}
-
-ORACLE_SQL: dict[str, str] = {}

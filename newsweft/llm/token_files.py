@@ -1,8 +1,8 @@
 """Token-ID files: ids bit-packed at fixed width in blocks, with offsets for random access.
 
-A shard file holds, little-endian: the magic, five u64 (bits an id, ids a
-block, documents, ids, blocks), the ids before each document and in all
-(u64), the document ids (i64), the byte at which each block starts (u64), then
+A shard file holds, little-endian: the magic, six u64 (bits an id, ids a
+block, documents, ids, blocks, documents without an id, which come first), the
+ids before each document and in all (u64), the document ids (i64), the byte at which each block starts (u64), then
 the blocks. An id takes the bits that the largest id of the vocabulary needs;
 bit k of id i of a block is bit i * bits + k of its bytes.
 """
@@ -26,7 +26,7 @@ from . import bpe
 from .scratch import new_path, persist
 from .units import text_bytes, trim
 
-MAGIC = b"NWTOKEN1"
+MAGIC = b"NWTOKEN2"
 BLOCK = 4096
 SHARD_BYTES = 24 << 20
 END_ID = 0
@@ -49,13 +49,13 @@ def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
     return raw.astype(np.uint32) @ (np.uint32(1) << np.arange(bits, dtype=np.uint32))
 
 
-def write_shard(out, doc_ids: np.ndarray, ids: list[np.ndarray], bits: int, block: int = BLOCK) -> int:
+def write_shard(out, doc_ids: np.ndarray, ids: list[np.ndarray], bits: int, block: int = BLOCK, nameless: int = 0) -> int:
     """Write one shard to a binary file; returns its number of ids."""
     before = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype("<u8")
     n = int(before[-1])
     flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
     blocks = [pack(flat[a : a + block], bits) for a in range(0, n, block)]
-    out.write(MAGIC + struct.pack("<5Q", bits, block, len(ids), n, len(blocks)))
+    out.write(MAGIC + struct.pack("<6Q", bits, block, len(ids), n, len(blocks), nameless))
     out.write(before.tobytes() + doc_ids.astype("<i8").tobytes())
     out.write(np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")[: len(blocks)].tobytes())
     for b in blocks:
@@ -70,11 +70,11 @@ class ShardReader:
         self.file = file
         if file.read(8) != MAGIC:
             raise ValueError("not a token shard")
-        self.bits, self.block, self.n_docs, self.n_ids, n_blocks = struct.unpack("<5Q", file.read(40))
+        self.bits, self.block, self.n_docs, self.n_ids, n_blocks, self.nameless = struct.unpack("<6Q", file.read(48))
         self.before = np.frombuffer(file.read(8 * (self.n_docs + 1)), "<u8").astype(np.int64)
         self.doc_ids = np.frombuffer(file.read(8 * self.n_docs), "<i8")
         self.offsets = np.frombuffer(file.read(8 * n_blocks), "<u8").astype(np.int64)
-        self.base = 48 + 8 * (2 * self.n_docs + 1 + n_blocks)
+        self.base = 56 + 8 * (2 * self.n_docs + 1 + n_blocks)
 
     def ids(self, first: int, last: int) -> np.ndarray:
         """Ids at places first..last-1, reading only the blocks that hold them."""
@@ -118,9 +118,10 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                  end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode all texts and write them in ascending id order; returns the manifest.
 
-    Null text is empty, so only the end id is written; null ids come first and
-    are written as the smallest long; rows of equal ids are ordered by a hash of
-    their text. A retried task writes another file and only the manifest's files count.
+    Null text is empty, so only the end id is written; null ids come first; rows
+    of equal ids are ordered by a hash of their text. Texts of any length are
+    encoded whole; other columns, whatever their names, are not read; an empty
+    table writes no file. A retried task writes another file and only the manifest's files count.
     """
     ship(docs.sparkSession)
     path = path or bpe.default_tokenizer()
@@ -129,12 +130,13 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     dealt = keyed.repartitionByRange(shards, "k", "h").sortWithinPartitions("k", "h")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids = [], []
+        keys, ids, nameless = [], [], 0
         bits = bits_for(bpe.encoder(path).tok.get_vocab_size(with_added_tokens=True))
         end = np.array([end_id], np.uint32)
         small = np.uint16 if bits <= 16 else np.uint32
         for part, got in bpe.encode_batches(batches, path, 1):
-            keys.append(part.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False))
+            nameless += part.column(0).null_count
+            keys.append(part.column(0).fill_null(0).to_numpy(zero_copy_only=False))
             flat = np.concatenate([y for x in got for y in (x, end)]).astype(small)
             ids += np.split(flat, np.cumsum([len(x) + 1 for x in got])[:-1])
         if not ids:
@@ -142,7 +144,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         shard = TaskContext.get().partitionId()
         to = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex[:8]}.tok"
         with open_path(to, "w") as out:
-            n = write_shard(out, np.concatenate(keys), ids, bits)
+            n = write_shard(out, np.concatenate(keys), ids, bits, nameless=nameless)
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([to]), pa.array([len(ids)], pa.int64()), pa.array([n], pa.int64())], names=["shard", "path", "docs", "ids"])
         keys = ids = None
         trim()
@@ -172,7 +174,7 @@ def read_tokens(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                         flat = r.ids(first, int(r.before[end]))
                         cuts = r.before[at : end + 1] - first
                         raw, keys = memoryview(flat.tobytes()), r.doc_ids[at:end]
-                        none = keys == np.iinfo(np.int64).min
+                        none = np.arange(at, end) < r.nameless
                         out = [pa.array(keys, pa.int64(), mask=none), pa.array(start + r.before[at:end], pa.int64()), pa.array(np.diff(cuts), pa.int64()),
                                pa.array([zlib.crc32(raw[4 * i : 4 * j]) for i, j in zip(cuts, cuts[1:])], pa.int64())]
                         if with_ids:

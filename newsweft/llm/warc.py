@@ -2,8 +2,8 @@
 
 Each record is a gzip member of its own. The reader deals byte ranges of the
 archives to tasks; a task scans its range for gzip magic, takes a place as a
-member only if it decodes to a WARC header, and reads the records that start
-inside its range, whatever their end.
+member only if it decodes to a WARC header and is followed by another member or
+the end, and reads the records that start inside its range, whatever their end.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ MAGIC = b"\x1f\x8b\x08"
 SPLIT = 8 << 20
 ARCHIVE_BYTES = 64 << 20
 READ = 1 << 20
-#: Decoded bytes that show whether a place is a member.
-PROBE = 9
+#: Rows of one payload are dealt over so many tasks where they meet its first row.
+SALTS = 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -62,16 +62,18 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     Of rows with equal payloads of at least ``least`` bytes the one with the
     smallest id is the response and the others revisit it; rows that repeat that
     id are responses too, and a null id is larger than any and never referred to.
-    Null html is an empty payload. A retried task writes other files; only those
-    of the manifest count.
+    Null html is an empty payload. Payloads of any length are one record; other
+    columns, whatever their names, are not read; an empty table writes nothing.
+    A retried task writes other files; only those of the manifest count.
     """
     ship(pages.sparkSession)
     body = F.coalesce(F.col(html_col).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
-    rows = rows.withColumn("key", F.sha2("body", 256))
-    # min() is summed up before the shuffle, so a payload of a third of all pages costs one row a task.
-    first = rows.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "first")
-    joined = rows.join(first, "key", "left")
+    rows = rows.withColumn("key", F.sha2("body", 256)).withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
+    # min() is summed up before the shuffle, so a payload of a third of all pages costs SALTS rows a task.
+    parts = rows.groupBy("key", "salt").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = parts.groupBy("key").agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.collect_list("salt").alias("salts")).filter("n > 1")
+    joined = rows.join(first.select("key", "first", F.explode("salts").alias("salt")), ["key", "salt"], "left")
     refers = F.when((F.octet_length("body") >= least) & ((F.col("id") > F.col("first")) | F.col("id").isNull()), F.col("first"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,16 +106,21 @@ class Members:
 
     def __init__(self, file, start: int, end: int):
         self.file, self.at, self.end = file, start, end
+        self.base, self.held = 0, b""
 
     def _read(self, at: int, n: int) -> bytes:
-        self.file.seek(at)
-        return self.file.read(n)
+        """Bytes from a place on, read once for neighbouring places: at least one if the file has any there."""
+        i = at - self.base
+        if not 0 <= i < len(self.held) or (i + n > len(self.held) and n <= 64):
+            self.file.seek(at)
+            self.base, self.held, i = at, self.file.read(READ), 0
+        return self.held[i : i + n]
 
     def _decode(self, at: int) -> tuple[bytes, int] | None:
         """The member at a place and the place behind it; None if it is none."""
         d, parts, first, pos = zlib.decompressobj(31), [], True, at
         while not d.eof:
-            data = self._read(pos, READ if not first else 1 << 14)
+            data = self._read(pos, 1 << 14 if first else 1 << 18)
             if not data:
                 return None
             pos += len(data)
@@ -126,48 +133,52 @@ class Members:
                 if len(head) >= 7 and not head.startswith(b"WARC/1."):
                     return None
                 first = len(head) < 7
-        return b"".join(parts), pos - len(d.unused_data)
+        behind = pos - len(d.unused_data)
+        return (b"".join(parts), behind) if self._read(behind, 3) in (MAGIC, b"") else None
 
     def __iter__(self) -> Iterator[bytes]:
-        buf, base, at = b"", self.at, self.at
+        at = self.at
         while at < self.end:
-            i = buf.find(MAGIC, at - base)
+            data = self._read(at, min(READ, self.end - at + 2))
+            if len(data) < 3:
+                return
+            i = data.find(MAGIC)
             if i < 0:
-                base = max(at, base + len(buf) - 2)
-                buf = self._read(base, READ + 2)
-                if len(buf) < 3:
-                    return
-                i = buf.find(MAGIC)
-                if i < 0:
-                    at = base + len(buf) - 2
-                    if len(buf) < READ + 2:
-                        return
-                    buf = buf[-2:]
-                    base = at
-                    continue
-            at = base + i
-            if at >= self.end:
+                at += len(data) - 2
+            elif at + i >= self.end:
                 return
-            if member := self._decode(at):
+            elif member := self._decode(at + i):
                 yield member[0]
                 at = member[1]
-                if at > base + len(buf):
-                    base, buf = at, b""
             else:
-                at += 1
+                at += i + 1
 
 
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields by lower-case name, and the block; of an HTTP message its body."""
     head, _, rest = member.partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:] if ": " in x)
-    return fields, rest[: int(fields["Content-Length"])]
+    lines = (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])
+    fields = {k.strip().lower(): v.strip() for k, colon, v in lines if colon}
+    size = fields.get("content-length", "")
+    block = rest[: int(size)] if size.isdigit() else rest.removesuffix(b"\r\n\r\n")
+    if fields.get("content-type", "").startswith("application/http") and fields.get("warc-type") == "response":
+        block = block.partition(b"\r\n\r\n")[2]
+    return fields, block
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.lstrip("-").isdigit() else None
 
 
 FIELDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT) -> DataFrame:
-    """Records of all archives of a manifest: ``FIELDS`` and, with ``with_payload``, ``payload binary`` (null in revisits)."""
+    """Records of all archives of a manifest: ``FIELDS`` and, with ``with_payload``, ``payload binary`` (null in revisits).
+
+    Fields that a record doesn't say are null; archives of other writers have no
+    page_id and no refers_to. An empty manifest gives an empty table.
+    """
     ship(manifest.sparkSession)
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long"))
     ranges = manifest.select("path", F.explode(starts).alias("start"))
@@ -179,11 +190,10 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT
             with open_path(to, "r") as f:
                 for member in Members(f, start, start + split):
                     h, body = parse(member)
-                    ref = h.get("X-Refers-To-Page")
-                    # Of a response, from the body itself; of a revisit, what its header says of the full payload.
-                    size, sha = (len(body), digest32(body)) if ref is None else (int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"))
-                    yield (int(h["X-Page-Id"]) if h.get("X-Page-Id") else None, h.get("WARC-Target-URI"), size, sha, h["WARC-Type"],
-                           int(ref) if ref is not None else None, body if ref is None else None)
+                    kind, ref = h.get("warc-type"), _number(h.get("x-refers-to-page"))
+                    # Of a revisit, what its header says of the full payload; else from the body itself.
+                    size, sha = (len(body), digest32(body)) if kind != "revisit" else (_number(h.get("x-payload-length")), h.get("warc-payload-digest", "").removeprefix("sha1:") or None)
+                    yield _number(h.get("x-page-id")), h.get("warc-target-uri"), size, sha, kind, ref, body if kind != "revisit" else None
 
         def batch(rows: list) -> pa.RecordBatch:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
@@ -197,7 +207,7 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT
                 held, size = [], 0
                 for r in rows_of(to, start):
                     held.append(r)
-                    size += r[2] if with_payload else 0
+                    size += len(r[6] or b"") if with_payload else 0
                     if len(held) >= 2000 or size >= 8 << 20:
                         yield batch(held)
                         held, size = [], 0
