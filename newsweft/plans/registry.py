@@ -22,3 +22,18 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def literal(columns: str, rows: list[tuple]) -> str:
+    """SQL for literal rows, for queries over fixed boundary rows: ``columns`` as ``name TYPE, ..``."""
+
+    def one(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool) or not isinstance(v, str):
+            return str(v)
+        return "'" + v.replace("'", "''") + "'"
+
+    named = [c.split() for c in columns.split(",")]
+    body = ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)
+    return f"SELECT {', '.join(f'CAST({n} AS {t}) AS {n}' for n, t in named)} FROM (VALUES {body}) v({', '.join(n for n, _ in named)})"

@@ -88,7 +88,7 @@ def test_amounts(spark):
     assert values(spark, ["計100億チャット（約1円）です", "10億ドル（約390億円）", None], lambda c: amounts.drop_foreign_yen(amounts.fix_yen(c))) == ["計100億チャット（約3億7000万円）です", "10億ドル", None]
     assert values(spark, ["ကျပ် ၁၂ဒသမ၅ သန်း"], amounts.normalize_amount_text) == ["ကျပ် 12.5 သန်း"]
     got = values(spark, ["ကျပ် 12.5 သန်း", "12 သန်း people", None], amounts.amount_facts)
-    assert [[(f.raw, f.kyat) for f in x] for x in got] == [[("12.5 သန်း", 12_500_000)], [], []]
+    assert [[(f.raw, f.ja) for f in x] for x in got] == [[("12.5 သန်း", "1250万チャット（約46万2500円）")], [], []]
 
 
 def test_html_and_json(spark):
