@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import units as un
-from .scratch import persist, sweep
+from .scratch import free, persist, sweep
 from .words import Words, mix, window_starts, windows
 
 WINDOW = 13
@@ -83,17 +83,21 @@ def merge(_: list[int], blobs: list[bytes]) -> list[bytes]:
 
 
 def suspects(h: np.ndarray, ranges: int, answers: dict[int, bytes], depth: int = DEPTH) -> np.ndarray:
-    """Places of the windows that every row of the merged sketch says occur twice or more."""
-    at = np.arange(len(h))
+    """Whether every row of the merged sketch says that a window occurs twice or more."""
+    sus = np.ones(len(h), bool)
     for row in range(depth):
         cells = _cells(h, row, ranges)
-        only = np.unique(cells)
+        order = np.argsort(cells)
+        cells = cells[order]
+        new = np.ones(len(cells), bool)
+        new[1:] = cells[1:] != cells[:-1]
+        only = cells[new]
         cut = np.searchsorted(only, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(20))
         seen = np.zeros(len(only), bool)
         for s in np.flatnonzero(np.diff(cut)):
             seen[cut[s] : cut[s + 1]] = np.unpackbits(np.frombuffer(answers[row * ranges + int(s)], np.uint8), count=cut[s + 1] - cut[s])
-        at = at[seen[np.searchsorted(only, cells[at])]]
-    return at
+        sus[order] &= seen[np.cumsum(new) - 1]
+    return sus
 
 
 def _ordered_texts(rows: pa.StructArray, text_col: str, id_col: str) -> list[bytes | None]:
@@ -145,23 +149,26 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     merged = persist(un.ask(units.mapInArrow(sketch, un.QUESTION), DEPTH * ranges, merge), "sketch-answers")
     sweep(spark)
 
-    def local(rows: pa.StructArray, answers: dict[int, bytes]):
-        """The unit's suspect windows by hash: words, starts, documents, group of each, and for each group hash, bits, smallest id."""
+    def local(rows: pa.StructArray, filtered):
+        """The unit's suspect windows by hash: words, starts, documents, group of each, and for each group hash, bits, smallest id; last, which windows are suspect."""
         ids = pc.fill_null(rows.field(id_col).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
         w, at, h, g = _hashes(_ordered_texts(rows, text_col, id_col), window)
-        sus = suspects(h, ranges, answers)
+        sus = filtered(h)
         at, h, g = at[sus], h[sus], g[sus]
         row = np.searchsorted(w.bounds, at, "right") - 1
         doc = ids[row]
         order, new, group = _groups(h, g, doc)
         first = order[new]
-        return w, at[order], row[order], doc[order], group, h[first], g[first], doc[first]
+        return w, at[order], row[order], doc[order], group, h[first], g[first], doc[first], sus
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of():
             for unit, rows, more in un.each_unit(batches):
-                *_, h, g, low = local(rows, un.answer_map(more["answers"]))
+                got = un.answer_map(more["answers"])
+                *_, h, g, low, sus = local(rows, lambda h: suspects(h, ranges, got))  # noqa: B023
                 yield from un.questions(unit, h, shards, [g, low])
+                if len(h):  # what passed the filter comes back with the answers, so that it is worked out once
+                    yield shards + unit % shards, unit, un.squeeze(np.packbits(sus))
 
         yield from un.in_batches(rows_of())
 
@@ -177,21 +184,21 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         cuts = np.cumsum([0, *sizes])
         return [np.packbits(part).tobytes() if (part := smaller[a:b]).any() else None for a, b in zip(cuts, cuts[1:])]
 
-    exact = persist(un.ask(un.answered(units, merged).mapInArrow(emit, un.QUESTION), shards, answer), "substring-answers")
+    exact = persist(un.ask(un.answered(units, merged).mapInArrow(emit, un.QUESTION), shards, answer, notes=True), "substring-answers")
+    free(merged)
     sweep(spark)
-    # Shards of the exact stage are told from ranges of the sketch by their sign.
-    both = merged.unionByName(exact.withColumn("shard", -1 - F.col("shard")))
     schema = T.StructType([docs.schema[id_col], T.StructField(text_col, T.StringType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), *(docs.schema[c] for c in carry)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows, more in un.each_unit(batches):
             answers = un.answer_map(more["answers"])
-            w, at, row, doc, group, h, _, low = local(rows, answers)
+            marks = next((un.unsqueeze(b, np.uint8) for s, b in answers.items() if s >= shards), np.empty(0, np.uint8))
+            w, at, row, doc, group, h, _, low, _ = local(rows, lambda h: np.unpackbits(marks, count=len(h)).astype(bool) if len(marks) else np.zeros(len(h), bool))  # noqa: B023
             smaller, edges = np.zeros(len(h), bool), un.shard_of(h, shards)
             for s, bits in answers.items():
-                if s < 0:
-                    a, z = edges[-1 - s], edges[-s]
+                if s < shards:
+                    a, z = edges[s], edges[s + 1]
                     smaller[a:z] = np.unpackbits(np.frombuffer(bits, np.uint8), count=z - a)
             hit = at[smaller[group] | (low[group] < doc)] if len(at) else at
             change = np.zeros(len(w.starts) + 1, np.int64)
@@ -213,7 +220,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [rows.field(id_col), pa.array(out, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), *(rows.field(c) for c in carry)],
                 names=schema.names)
 
-    return un.answered(units, both).mapInArrow(cut, schema)
+    return un.answered(units, exact).mapInArrow(cut, schema)
 
 
 def digest(result: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -147,11 +147,13 @@ def in_batches(rows: Iterator[tuple[int, int, bytes]], most: int = 8 << 20) -> I
         yield question_batch(held)
 
 
-def ask(asked: DataFrame, shards: int, answer: Callable[[list[int], list[bytes]], list[bytes | None]], summary: bool = False) -> DataFrame:
+def ask(asked: DataFrame, shards: int, answer: Callable[[list[int], list[bytes]], list[bytes | None]], summary: bool = False, notes: bool = False) -> DataFrame:
     """``shard, unit_id, blob``: the blobs of a shard, of all units, answered together by one task.
 
     ``answer`` gets unit ids and blobs; blobs answered by None stay unanswered.
-    With ``summary`` it adds one more blob, about the shard, for unit -1.
+    With ``summary`` it adds one more blob, about the shard, for unit -1. With
+    ``notes``, blobs of shards from ``shards`` on are units' notes to themselves
+    and come back as they are.
 
     A shard is a range of hashes and each unit sends a hash once, so a shard's
     rows are bounded by the units times its width, hot words included.
@@ -159,7 +161,8 @@ def ask(asked: DataFrame, shards: int, answer: Callable[[list[int], list[bytes]]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> Iterator[tuple[int, int, bytes]]:
-            for u, out in zip([*units, -1] if summary else units, answer(units, blobs)):
+            got = blobs if notes and shard >= shards else answer(units, blobs)
+            for u, out in zip([*units, -1] if summary else units, got):
                 if out is not None:
                     yield shard, u, out
 
