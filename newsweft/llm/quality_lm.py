@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from ..session import ship
 from . import units as un
-from .scratch import free, persist, sweep
-from .words import Words, mix
+from .scratch import free, persist
+from .words import mix
 
 ORDER = 5
 #: Labelled rows to fit on at most.
@@ -49,6 +49,18 @@ SLICE = 2 << 20
 _U = np.uint64
 _SIZE, _LANG = 40, 48  # bits below the length and the language of a key
 _BYTES = (1 << _SIZE) - 1
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def packed(a: np.ndarray) -> np.ndarray:
+    """Weights in (0, 1] as 16 bits on a scale of logarithms, to 1 part in 4096; 0 for none."""
+    with np.errstate(divide="ignore"):
+        return np.where(a > 0, np.clip(np.rint(-np.log(a) * 4096), 0, 65534) + 1, 0).astype(np.uint16)
+
+
+def unpacked(a: np.ndarray) -> np.ndarray:
+    return np.where(a > 0, np.exp((1.0 - a) / 4096), 0.0)
 
 
 def slices(texts: list[bytes | None], most: int = SLICE) -> Iterator[slice]:
@@ -75,29 +87,44 @@ class Grams:
 
     Words are parted by one blank whatever white space the text has, and one
     stands before the first. ``keys`` are the distinct (language, length, bytes),
-    ``window`` that of each byte predicted, ``first`` the place of each word.
+    ``window`` that of each byte predicted, ``first`` the place of each word,
+    ``steps`` its bytes with the blank, ``text`` its text; ``counts`` words and
+    ``bytes_of`` bytes of each text.
     """
 
     def __init__(self, texts: list[bytes | None], langs: np.ndarray):
-        self.words = w = Words(texts)
-        size = w.ends - w.starts + 1
-        total = np.concatenate([[0], np.cumsum(size)])
-        self.first, self.steps = total[:-1], size
-        owner = np.repeat(np.arange(len(size)), size)
-        byte = np.frombuffer(w.data, np.uint8)[np.arange(total[-1]) - total[:-1][owner] + w.starts[owner]]
-        byte[total[1:] - 1] = 0x20  # the byte behind a word may be any white space
-        byte = byte.astype(np.uint64)
-        start = total[w.bounds]  # where each text begins
-        self.bytes_of = np.diff(start)
-        text = np.repeat(np.arange(len(texts)), self.bytes_of)
-        place = np.arange(total[-1]) - start[:-1][text] + 1
-        gram = byte.copy()
+        texts = [t or b"" for t in texts]
+        raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        space = _SPACE[raw]
+        start = np.flatnonzero(~space & np.append(True, space[:-1]))
+        end = np.flatnonzero(space & np.append(False, ~space[:-1]))
+        keep = ~space
+        keep[end] = True  # one byte behind each word, taken as a blank
+        byte = np.where(space, np.uint8(0x20), raw)[keep]
+        self.steps = end - start + 1
+        total = np.concatenate([[0], np.cumsum(self.steps)])
+        self.first = total[:-1]
+        text_at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        bounds = np.searchsorted(start, text_at)
+        self.counts, self.bytes_of = np.diff(bounds), np.diff(total[bounds])
+        self.text = np.repeat(np.arange(len(texts)), self.counts)
+        # Before each text stand zeros and a blank, so windows at its start have zeros where nothing stands.
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), self.bytes_of)
+        at = np.arange(len(byte)) + (ORDER - 1) * (text + 1)
+        stream = np.zeros(len(byte) + (ORDER - 1) * len(texts), np.uint64)
+        stream[at] = byte
+        first = total[bounds][:-1]
+        some = self.bytes_of > 0
+        stream[(first + (ORDER - 1) * np.arange(1, len(texts) + 1) - 1)[some]] = 0x20
+        gram = stream.copy()
         for k in range(1, ORDER):
-            prev = np.zeros_like(byte)
-            prev[k:] = byte[: len(byte) - k]
-            gram |= np.where(place > k, prev, np.where(place == k, _U(0x20), _U(0))) << _U(8 * k)
-        length = np.minimum(place + 1, ORDER).astype(np.uint64)
-        self.keys, self.window = distinct((langs.astype(np.uint64)[text] << _U(_LANG)) | (length << _U(_SIZE)) | gram)
+            gram[k:] |= stream[: len(stream) - k] << _U(8 * k)
+        # A window that reaches back into the text before is cut at its own text's start.
+        key = gram[at] | (langs.astype(np.uint64) << _U(_LANG))[text] | _U(ORDER << _SIZE)
+        for j in range(ORDER - 2):  # a text's first bytes have shorter windows: of two bytes and more
+            short = first[self.bytes_of > j] + j
+            key[short] = (key[short] & ~_U(((1 << _LANG) - 1) ^ ((1 << 8 * (j + 2)) - 1))) | _U((j + 2) << _SIZE)
+        self.keys, self.window = distinct(key)
 
 
 def orders(keys: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
@@ -234,12 +261,12 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
             q = un.unsqueeze_sorted(b, np.uint64)
             at = np.minimum(np.searchsorted(h, q), len(h) - 1)
             row = np.where(h[at] == q, order[at] + 1, 0)
-            out.append(un.squeeze(np.concatenate([add[row], back[row]])))
+            inner = (q >> _U(_SIZE)) & _U(7) < _U(ORDER)  # the longest n-grams are no contexts
+            out.append(un.squeeze(np.concatenate([packed(add[row]), packed(back[row[inner]])])))
         return out
 
     questions = units.mapInArrow(emit, un.QUESTION).unionAll(model.mapInArrow(emit_model, un.QUESTION))
-    answers = persist(un.ask(questions, shards, answer), "kn-answers")
-    sweep(docs.sparkSession)
+    answers = un.ask(questions, shards, answer)
     own = [("unit_id", T.LongType()), ("nth", T.IntegerType()), ("n_words", T.LongType()), ("n_bytes", T.LongType()), ("log_ppl", T.DoubleType()), ("worst_word", T.DoubleType())]
     schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(*x) for x in own)])
 
@@ -249,7 +276,9 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
             keys, cut = asked(g for *_, g in held)
             add, back = np.zeros(len(keys), np.float32), np.ones(len(keys), np.float32)
             for s, blob in un.answer_map(more["answers"]).items():
-                add[cut[s] : cut[s + 1]], back[cut[s] : cut[s + 1]] = un.unsqueeze(blob, np.float32).reshape(2, -1)
+                n, got = cut[s + 1] - cut[s], unpacked(un.unsqueeze(blob, np.uint16))
+                inner = cut[s] + np.flatnonzero((keys[cut[s] : cut[s + 1]] >> _U(_SIZE)) & _U(7) < _U(ORDER))
+                add[cut[s] : cut[s + 1]], back[inner] = got[:n], got[n:]
             order = np.argsort(keys)
             keys, add, back = keys[order], add[order], back[order]
             for part, lang, g in held:
@@ -259,13 +288,13 @@ def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: st
                 for f, c, long in zip(full, context, known):
                     p = np.where(long, add[np.searchsorted(keys, f)] + back[np.searchsorted(keys, c)] * p, p)
                 word = np.add.reduceat(-np.log(p)[g.window], g.first) if len(g.first) else np.empty(0)
-                text = g.words.text_of_word()
+                text = g.text
                 sums, worst = np.bincount(text, word, k), np.zeros(k)
                 np.maximum.at(worst, text, word / g.steps)
                 ok = (g.bytes_of > 0) & (lang >= 0)
                 ppl = np.divide(sums, g.bytes_of, out=np.zeros(k), where=ok)
                 yield pa.RecordBatch.from_arrays([*(rows.field(c).slice(part.start, k) for c in keep), pa.array(np.full(k, unit)), pa.array(np.arange(part.start, part.start + k), pa.int32()),
-                                                  pa.array(g.words.counts, pa.int64()), pa.array(g.bytes_of.astype(np.int64)), pa.array(ppl, mask=~ok), pa.array(worst, mask=~ok)], names=schema.names)
+                                                  pa.array(g.counts, pa.int64()), pa.array(g.bytes_of.astype(np.int64)), pa.array(ppl, mask=~ok), pa.array(worst, mask=~ok)], names=schema.names)
 
     return persist(un.answered(units, answers).mapInArrow(judge, schema), "perplexities"), units
 

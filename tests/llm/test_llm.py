@@ -547,7 +547,7 @@ def test_quality_lm(spark, docs, rows, empty):
         want.append((str(i), len(w), sum(w) / len(w) if w else -1.0, worst(t, w) if w else -1.0))
     got = quality_lm.classify(docs, labels).collect()
     for a, e in zip(sorted((str(r.doc_id), r.n_bytes, -1.0 if r.log_ppl is None else r.log_ppl, -1.0 if r.worst_word is None else r.worst_word) for r in got), sorted(want), strict=True):
-        assert a[:2] == e[:2] and a[2:] == pytest.approx(e[2:], rel=1e-4)
+        assert a[:2] == e[:2] and a[2:] == pytest.approx(e[2:], rel=1e-3, abs=3e-4)  # weights travel as 16 bits
     by_lang = collections.defaultdict(lambda: ([], []))
     for r in got:
         if r.doc_id in held and r.log_ppl is not None:
