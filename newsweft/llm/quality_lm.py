@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..session import ship
 from . import units as un
-from .scratch import free, persist
+from .scratch import free, persist, sweep
 from .words import mix
 
 ORDER = 5
@@ -170,13 +170,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     langs = [r["lang"] for r in raw.select("lang").distinct().orderBy("lang").collect()]  # at most fit_rows
     number = F.create_map(*[F.lit(x) for i, l in enumerate(langs) for x in (l, i)]) if langs else F.create_map().cast("map<string,int>")
     raw = raw.select(number[F.col("lang")].alias("lang"), F.shiftright("gram", _SIZE).alias("size"), F.col("gram").bitwiseAND(_BYTES).alias("g"), "n")
-    adds, backs, above = [], [], None
+    adds, backs, above, written = [], [], None, [raw]
     for k in range(ORDER, 0, -1):
         own = raw.filter(F.col("size") == k).select("lang", "g", "n")
         if above is not None:  # below the top: how many bytes stand before it
             cont = above.groupBy("lang", F.col("g").bitwiseAND((1 << (8 * k)) - 1).alias("g")).agg(F.count(F.lit(1)).alias("n"))
             own = own.unionByName(cont).groupBy("lang", "g").agg(F.sum("n").alias("n"))
         own = persist(own, f"grams{k}")
+        written.append(own)
         n = lambda i: F.sum(F.when(F.col("n") == i, 1.0).otherwise(0.0))
         d = own.groupBy("lang").agg(*[n(i).alias(f"n{i}") for i in (1, 2, 3, 4)])
         y = F.coalesce(F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")), F.lit(0.5))
@@ -195,7 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     for x in [*adds[1:], *backs]:
         both = both.unionByName(x)
     model = both.groupBy("key").agg(F.coalesce(F.max("add"), F.lit(0.0)).alias("add"), F.coalesce(F.max("back"), F.lit(1.0)).alias("back"))
-    return persist(model, "kn-model"), langs
+    model = persist(model, "kn-model")
+    free(*written)
+    return model, langs
 
 
 def perplexities(docs: DataFrame, model: DataFrame, langs: list[str], id_col: str, text_col: str, lang_col: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
@@ -322,6 +325,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     table, and with empty labels all documents are kept.
     """
     model, langs = fit(docs, labels, id_col, text_col, lang_col, fit_rows)
+    sweep(docs.sparkSession)  # what fitting has shuffled
     scored, units = perplexities(docs.select(id_col, text_col, lang_col), model, langs, id_col, text_col, lang_col, (id_col, lang_col))
     free(model)
     return _judged(scored.drop("unit_id", "nth"), labels, id_col, lang_col)
@@ -330,6 +334,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, with all columns; texts are read where they were staged, only row numbers move."""
     model, langs = fit(docs, labels, id_col, text_col, lang_col, fit_rows)
+    sweep(docs.sparkSession)  # what fitting has shuffled
     scored, units = perplexities(docs, model, langs, id_col, text_col, lang_col, (id_col, lang_col))
     free(model)
     picks = _judged(scored, labels, id_col, lang_col).filter("kept").groupBy("unit_id").agg(F.collect_list("nth").alias("picks"))
