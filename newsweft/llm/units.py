@@ -95,7 +95,9 @@ def stage(docs: DataFrame, text_col: str, unit_bytes: int = UNIT_BYTES, total_by
         trim()
 
     total = text_bytes(docs, text_col) if total_bytes is None else total_bytes
-    return persist_bucketed(docs.mapInArrow(cut, schema), "units", "unit_id", max(1, min(100_000, total // (4 * unit_bytes) + 1)))
+    # With fewer buckets than shuffle partitions Spark would move the bucketed side too.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return persist_bucketed(docs.mapInArrow(cut, schema), "units", "unit_id", max(least, min(100_000, total // (4 * unit_bytes) + 1)))
 
 
 def each_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.StructArray, dict]]:
