@@ -76,3 +76,25 @@ def absolute(base: Column, link: Column) -> Column:
 
 def amp(u: Column) -> Column:
     return F.concat(canonical(u), F.lit("/amp/"))
+
+
+def publisher_link(link: Column, final: Column, host_end: str) -> Column:
+    """A publisher's address behind an aggregator's link: from the address in its token, else ``final``, where the link leads; blank if another host's.
+
+    A link that is no aggregator's is taken as it is.
+    """
+    link = F.coalesce(link, F.lit(""))
+    token = F.regexp_extract(link, r"/articles/([^/?#]+)", 1)
+    padded = F.rpad(F.translate(token, "-_", "+/"), F.ceil(F.length(token) / 4).cast("int") * 4, F.lit("="))
+    inside = F.regexp_extract(F.decode(F.try_to_binary(padded, F.lit("base64")), "ISO-8859-1"), r"""(https?://[^\s"'<>\x00-\x1f\x7f-\xff]+)""", 1)
+    direct = F.when(F.contains(host(link), F.lit("news.google.com")), F.coalesce(F.when(inside != "", inside), final, F.lit(""))).otherwise(link)
+    return F.when(F.endswith(host(direct), F.lit(host_end)), direct).otherwise("")
+
+
+def canonical_in(u: Column, base: str, section: str) -> Column:
+    """An address of one section of a site: of its host, single slashes, one at the end, no query; blank if it lies elsewhere."""
+    u = F.regexp_replace(strip(F.coalesce(u, F.lit(""))), r"^view-source:\s*", "")
+    u = F.when(F.startswith(u, F.lit("/")), F.concat(F.lit(base), u)).otherwise(u)
+    clean = canonical_slash(u)
+    bare = base.split("://")[1].removeprefix("www.")
+    return F.when(F.endswith(host(u), F.lit(bare)) & F.startswith(path(clean), F.lit(section)), clean).otherwise("")

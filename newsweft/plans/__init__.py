@@ -1,6 +1,6 @@
 """The query catalogue; importing this registers every query."""
 
-from . import articles, content, editorial, records
+from . import articles, collection, content, editorial, records
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "articles", "content", "editorial", "records"]
+__all__ = ["ORACLE_SQL", "QUERIES", "articles", "collection", "content", "editorial", "records"]
