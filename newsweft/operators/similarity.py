@@ -1,45 +1,10 @@
-"""Scored self and theta joins over character grams, and duplicate components."""
+"""Duplicate components."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import grams
-
-
-def gram_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, text: str, block: str, least: float) -> DataFrame:
-    """``a_id, b_id, sim`` of pairs in one block whose containment of 3..5-grams is at least ``least``.
-
-    Shared grams are counted by an equi-join on block and gram, whose counts are
-    summed up before the second shuffle; hot grams are left to the skew join.
-    """
-    def gram_rows(df: DataFrame, i: str) -> DataFrame:
-        # The set is a column of its own first: beside explode() its size would be worked out again for each gram.
-        sets = df.select(F.col(i), F.col(block).alias("_b"), grams(F.col(text)).alias("_s"))
-        return sets.select(i, "_b", "_s", F.size("_s").alias("_n")).select(i, "_b", "_n", F.explode("_s").alias("_g"))
-
-    x = gram_rows(a, a_id).withColumnRenamed(a_id, "_x").withColumnRenamed("_n", "_nx")
-    y = gram_rows(b, b_id).withColumnRenamed(b_id, "_y").withColumnRenamed("_n", "_ny")
-    both = x.join(y, ["_b", "_g"]).groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_c"), F.first("_nx").alias("_nx"), F.first("_ny").alias("_ny"))
-    sim = F.col("_c") / F.least("_nx", "_ny")
-    return both.withColumn("sim", sim).filter(F.col("sim") >= least).select(F.col("_x").alias(a_id), F.col("_y").alias(b_id), "sim")
-
-
-def scored_context(pairs: list[tuple[DataFrame, str, float]], left: str, right: str, sims: DataFrame, factor: float) -> DataFrame:
-    """``left, right, score, reasons``: fixed points for each exact match and ``factor`` times similarity, added up."""
-    parts = [p.select(left, right, F.lit(points).alias("points"), F.lit(why).alias("why")) for p, why, points in pairs]
-    parts.append(sims.select(left, right, (F.col("sim") * factor).alias("points"), F.lit("text").alias("why")))
-    all_ = parts[0]
-    for p in parts[1:]:
-        all_ = all_.unionByName(p)
-    return all_.groupBy(left, right).agg(F.sum("points").alias("score"), F.array_join(F.array_sort(F.collect_set("why")), ",").alias("reasons"))
-
-
-def top_context(scored: DataFrame, left: str, right: str, most: int) -> DataFrame:
-    w = Window.partitionBy(left).orderBy(F.desc("score"), right)
-    return scored.withColumn("rn", F.row_number().over(w).cast("long")).filter(F.col("rn") <= most)
-
 
 def components(edges: DataFrame, a: str, b: str, checkpoint: bool = True, most_rounds: int = 50) -> DataFrame:
     """``node, component`` with the smallest reachable node, by pointer jumping on minimum labels.

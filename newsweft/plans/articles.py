@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
-from ..operators import dedupe, joins, similarity, windows
+from ..operators import context, dedupe, joins, similarity, windows
 from .registry import query, table
 
 KEYWORDS = ["tion", "lich", "ment", "ción"]
@@ -186,50 +186,80 @@ def union_fallback_stage(spark, sf_dir):
 
 
 _GRAMS = "list_distinct(flatten([list_transform(range(1, length(k) - 1), lambda i: substr(k, i, 3)), list_transform(range(1, length(k) - 2), lambda i: substr(k, i, 4)), list_transform(range(1, length(k) - 3), lambda i: substr(k, i, 5))]))"
-_KEYED = "WITH " + ARTICLES + r""", k AS (SELECT doc_id, lang, source, date, title, url, regexp_replace(lower(title), '[\s|:,.()\[\]"''!?/\\-]+', '', 'g') AS k FROM articles WHERE length(title) BETWEEN 20 AND 200), g AS (SELECT *, """ + _GRAMS + """ AS g FROM k)"""
+_KEY = r"""regexp_replace(lower({}), '[\s|:,.()\[\]"''!?/\\-]+', '', 'g')"""
+_KEYED = "WITH " + ARTICLES + f""", k AS (SELECT doc_id, source, date, title, body, url, {_KEY.format('title')} AS tk, {_KEY.format('body')} AS k FROM articles), g AS MATERIALIZED (SELECT *, {_GRAMS} AS g FROM k)"""
+_SIM = "coalesce(CAST(len(list_intersect(a.g, b.g)) AS DOUBLE) / nullif(CAST(least(len(a.g), len(b.g)) AS DOUBLE), 0), 0)"
+_SQUEEZED = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
 
 
-def _keyed(spark, sf_dir):
-    a = articles(spark, sf_dir).filter(F.length("title").between(20, 200))
-    return a.select("doc_id", "lang", "source", "date", "title", "url", text.normalize_key(F.col("title"), fold=False).alias("k"))
+def _cut(c: str, n: int) -> str:
+    t = _SQUEEZED.format(c)
+    return f"CASE WHEN length({t}) > {n} THEN substr({t}, 1, {n}) || '…' ELSE {t} END"
 
 
-@query(_KEYED + """ SELECT a.doc_id AS doc_id, b.doc_id AS other_id, round(CAST(len(list_intersect(a.g, b.g)) AS DOUBLE) / CAST(least(len(a.g), len(b.g)) AS DOUBLE), 6) AS sim
- FROM g a JOIN g b ON a.date = b.date AND a.doc_id < b.doc_id WHERE len(a.g) > 0 AND len(b.g) > 0 AND CAST(len(list_intersect(a.g, b.g)) AS DOUBLE) / CAST(least(len(a.g), len(b.g)) AS DOUBLE) >= 0.18""")
+def _budget(item: str, fields: int) -> str:
+    """SQL of the last steps of a context: best six of each, and of these as many as the budget holds."""
+    return f""", r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, other_id) AS rn FROM q WHERE score > 0),
+ z AS (SELECT *, sum(length(CAST(to_json({item}) AS VARCHAR)) + {2 * fields - 1}) OVER (PARTITION BY doc_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS run FROM r WHERE rn <= 6)
+ SELECT doc_id, other_id, round(score, 2) AS score, reason, CAST(rn AS BIGINT) AS rn FROM z WHERE rn = 1 OR run <= 2600"""
+
+
+def _rest(c) -> Column:
+    """What stands behind the first line."""
+    at = F.instr(c, "\n")
+    return F.when(at > 0, F.substring(c, at + 1, F.length(c))).otherwise("")
+
+
+_REST = "CASE WHEN instr({0}, chr(10)) > 0 THEN substr({0}, instr({0}, chr(10)) + 1) ELSE '' END"
+
+
+def _sides(spark, sf_dir) -> DataFrame:
+    a = articles(spark, sf_dir)
+    return context.sides(a, F.col("date"), F.col("doc_id"), F.col("title"), _rest(F.col("body")), F.col("url"), F.lit(""))
+
+
+@query(_KEYED + f""" SELECT a.doc_id AS doc_id, b.doc_id AS other_id, round({_SIM}, 6) AS sim FROM g a JOIN g b ON a.date = b.date AND a.doc_id < b.doc_id WHERE {_SIM} >= 0.18""")
 def ngram_containment(spark, sf_dir):
-    k = _keyed(spark, sf_dir)
-    p = similarity.gram_pairs(k, k.withColumnRenamed("doc_id", "other_id"), "doc_id", "other_id", "k", "date", 0.18)
-    return p.filter("doc_id < other_id").select("doc_id", "other_id", F.round("sim", 6).alias("sim"))
+    """Whole texts of a day."""
+    p = context.pairs(_sides(spark, sf_dir), None, "grp").filter((F.col("id") < F.col("other")) & (F.col("sim") >= context.LEAST))
+    return p.select(F.col("id").alias("doc_id"), F.col("other").alias("other_id"), F.round("sim", 6).alias("sim"))
 
 
-@query(_KEYED + """, p AS (SELECT a.doc_id, b.doc_id AS other_id, CASE WHEN a.k = b.k THEN 60.0 ELSE 0.0 END AS t, CASE WHEN a.source = b.source THEN 10.0 ELSE 0.0 END AS s,
- coalesce(CAST(len(list_intersect(a.g, b.g)) AS DOUBLE) / nullif(CAST(least(len(a.g), len(b.g)) AS DOUBLE), 0), 0) AS sim FROM g a JOIN g b ON a.date = b.date AND a.lang = b.lang AND a.doc_id <> b.doc_id),
- q AS (SELECT doc_id, other_id, t + s + CASE WHEN sim >= 0.18 THEN sim * 40 ELSE 0 END AS score FROM p)
- SELECT doc_id, other_id, round(score, 2) AS score, CAST(rn AS BIGINT) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, other_id) AS rn FROM q WHERE score > 0) WHERE rn <= 6""")
+_SAME_ITEM = f"{{'row_index': other_id, 'date_key': strftime(date, '%Y%m%d'), 'media': source, 'headline': {_cut('title', 180)}, 'summary': {_cut(_REST.format('body'), 320)}, 'url': {_cut('url', 220)}, 'match_reason': reason, 'match_score': round(score, 2)}}"
+
+
+@query(_KEYED + f""", p AS (SELECT a.doc_id, b.doc_id AS other_id, b.date, b.source, b.title, b.body, b.url, a.tk <> '' AND a.tk = b.tk AS t, {_SIM} AS sim FROM g a JOIN g b ON a.date = b.date AND a.doc_id <> b.doc_id),
+ q AS (SELECT *, CASE WHEN t THEN 60.0 ELSE 0.0 END + CASE WHEN sim >= 0.18 THEN sim * 40 ELSE 0 END AS score, concat_ws(',', CASE WHEN t THEN 'title_exact' END, CASE WHEN sim >= 0.18 THEN 'text_similarity=' || printf('%.2f', sim) END) AS reason FROM p)""" + _budget(_SAME_ITEM, 8))
 def same_day_context(spark, sf_dir):
-    k = _keyed(spark, sf_dir)
-    o = k.select(F.col("doc_id").alias("other_id"), "date", "lang", F.col("source").alias("os"), F.col("k").alias("ok"))
-    same = lambda keys, cond: k.join(o, keys).filter((F.col("doc_id") != F.col("other_id")) & cond).select("doc_id", "other_id")
-    titles = same(["date", "lang"], F.col("k") == F.col("ok"))
-    sources = same(["date", "lang"], F.col("source") == F.col("os"))
-    kk = k.withColumn("block", F.concat_ws("|", "date", "lang"))
-    sims = similarity.gram_pairs(kk, kk.withColumnRenamed("doc_id", "other_id"), "doc_id", "other_id", "k", "block", 0.18).filter("doc_id <> other_id")
-    s = similarity.scored_context([(titles, "title", 60.0), (sources, "source", 10.0)], "doc_id", "other_id", sims, 40.0)
-    top = similarity.top_context(s.withColumn("score", F.round("score", 6)), "doc_id", "other_id", 6)
-    return top.select("doc_id", "other_id", F.round("score", 2).alias("score"), "rn")
+    """The best six others of the day by address, title and text, within the budget of characters."""
+    found = context.pairs(_sides(spark, sf_dir), None, "grp", most=context.ITEMS)
+    a = articles(spark, sf_dir)
+    others = a.select(F.col("doc_id").alias("other"), F.date_format("date", "yyyyMMdd").alias("day"), "source", context.short(F.col("title"), context.HEADLINE).alias("headline"),
+                      context.short(_rest(F.col("body")), context.SUMMARY).alias("summary"), context.short(F.col("url"), context.URL).alias("link"))
+    fields = {"row_index": F.col("other"), "date_key": F.col("day"), "media": F.col("source"), "headline": F.col("headline"), "summary": F.col("summary"), "url": F.col("link")}
+    out = context.context(found, others, fields)
+    return out.select(F.col("id").alias("doc_id"), F.col("other").alias("other_id"), F.round("score", 2).alias("score"), "reason", "rn")
 
 
-_ARCH = r"""b AS (SELECT item_id, regexp_replace(lower(substr(text, 1, 120)), '[\s|:,.()\[\]"''!?/\\-]+', '', 'g') AS k FROM benchmark), bg AS (SELECT item_id, """ + _GRAMS + """ AS g FROM b)"""
+_ARCH = f"""b AS (SELECT item_id, text, {_KEY.format("split_part(text, chr(10), 1)")} AS tk, {_KEY.format('text')} AS k FROM benchmark), bg AS MATERIALIZED (SELECT *, {_GRAMS} AS g FROM b)"""
+_ARCH_ITEM = f"{{'archive_row_index': other_id, 'date_key': '', 'media': '', 'headline': {_cut('split_part(text, chr(10), 1)', 180)}, 'summary': {_cut(_REST.format('text'), 320)}, 'duplicate_key_q': '', 'url': '', 'match_reason': reason, 'match_score': round(score, 2)}}"
 
 
-@query("WITH c AS (SELECT doc_id, regexp_replace(lower(substr(text, 1, 160)), '[\\s|:,.()\\[\\]\"''!?/\\\\-]+', '', 'g') AS k FROM documents WHERE doc_id % 2 = 0 AND n_chars < 1500), cg AS (SELECT doc_id, " + _GRAMS + " AS g FROM c), " + _ARCH + """
- SELECT doc_id, item_id, round(CAST(len(list_intersect(cg.g, bg.g)) AS DOUBLE) / CAST(least(len(cg.g), len(bg.g)) AS DOUBLE), 6) AS sim FROM cg, bg WHERE least(len(cg.g), len(bg.g)) > 0
- AND CAST(len(list_intersect(cg.g, bg.g)) AS DOUBLE) / CAST(least(len(cg.g), len(bg.g)) AS DOUBLE) >= 0.6""")
+@query("WITH c AS (SELECT doc_id, " + _KEY.format("trim(split_part(text, chr(10), 1), ' ')") + " AS tk, " + _KEY.format("text") + " AS k FROM documents JOIN labels USING (doc_id) WHERE quality = 0), cg AS MATERIALIZED (SELECT *, " + _GRAMS + " AS g FROM c), " + _ARCH
+       + f""", p AS (SELECT a.doc_id, b.item_id AS other_id, b.text, a.tk <> '' AND a.tk = b.tk AS t, {_SIM} AS sim FROM cg a CROSS JOIN bg b),
+ q AS (SELECT *, CASE WHEN t THEN 60.0 ELSE 0.0 END + CASE WHEN sim >= 0.18 THEN sim * 40 ELSE 0 END AS score, concat_ws(',', CASE WHEN t THEN 'title_exact' END, CASE WHEN sim >= 0.18 THEN 'text_similarity=' || printf('%.2f', sim) END) AS reason FROM p)""" + _budget(_ARCH_ITEM, 9))
 def archive_context(spark, sf_dir):
-    """Current articles whose re-check flag is set, here every even short one, against the archive."""
-    c = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0 AND n_chars < 1500").select("doc_id", text.normalize_key(F.substring("text", 1, 160), fold=False).alias("k"), F.lit(1).alias("b"))
-    b = table(spark, sf_dir, "benchmark").select("item_id", text.normalize_key(F.substring("text", 1, 120), fold=False).alias("k"), F.lit(1).alias("b"))
-    return similarity.gram_pairs(c, b, "doc_id", "item_id", "k", "b", 0.6).select("doc_id", "item_id", F.round("sim", 6).alias("sim"))
+    """Articles whose re-check flag is set, here those labelled as poor, against the archive; whole texts of both."""
+    flagged = table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id")
+    c = articles(spark, sf_dir).join(flagged, "doc_id")
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.substring_index("text", "\n", 1).alias("title"), _rest(F.col("text")).alias("rest"))
+    none = F.lit("")
+    left = context.sides(c, F.lit(1), F.col("doc_id"), F.col("title"), _rest(F.col("body")), none, none)
+    found = context.pairs(left, context.sides(b, F.lit(1), F.col("item_id"), F.col("title"), F.col("rest"), none, none), "grp", most=None)
+    others = b.select(F.col("item_id").alias("other"), context.short(F.col("title"), context.HEADLINE).alias("headline"), context.short(F.col("rest"), context.SUMMARY).alias("summary"))
+    fields = {"archive_row_index": F.col("other"), "date_key": none, "media": none, "headline": F.col("headline"), "summary": F.col("summary"), "duplicate_key_q": none, "url": none}
+    out = context.context(found, others, fields)
+    return out.select(F.col("id").alias("doc_id"), F.col("other").alias("other_id"), F.round("score", 2).alias("score"), "reason", "rn")
 
 
 _EDGES = "e AS (SELECT a.doc_id AS u, b.doc_id AS v FROM (SELECT doc_id, text FROM documents) a JOIN (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text) b USING (text) WHERE a.doc_id <> b.doc_id UNION ALL SELECT doc_id, doc_id + 1 FROM documents WHERE doc_id % 17 < 2 AND doc_id + 1 IN (SELECT doc_id FROM documents))"
@@ -300,9 +330,9 @@ def left_two_key_fallback(spark, sf_dir):
 
 
 @query("""SELECT lang, gram, df, tf FROM (SELECT lang, gram, count(DISTINCT doc_id) AS df, count(*) AS tf FROM (SELECT doc_id, lang, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS gram
- FROM (SELECT doc_id, lang, lower(substr(trim(split_part(text, chr(10), 1), ' '), 1, 200)) AS t FROM documents)) GROUP BY ALL) WHERE df >= 2""")
+ FROM (SELECT doc_id, lang, lower(trim(split_part(text, chr(10), 1), ' ')) AS t FROM documents)) GROUP BY ALL) WHERE df >= 2""")
 def gram_frequencies(spark, sf_dir):
-    t = articles(spark, sf_dir).select("doc_id", "lang", F.lower(F.substring("title", 1, 200)).alias("t")).filter(F.length("t") >= 3)
+    t = articles(spark, sf_dir).select("doc_id", "lang", F.lower("title").alias("t")).filter(F.length("t") >= 3)
     g = t.select("doc_id", "lang", F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.substring(F.col("t"), i, F.lit(3)))).alias("gram"))
     per = g.groupBy("lang", "gram", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf")).filter("df >= 2")

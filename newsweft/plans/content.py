@@ -29,19 +29,19 @@ def html_links(spark, sf_dir):
 _ESC = "replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-@query("WITH " + ARTICLES + r" SELECT source, doc_id, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title, url AS link FROM articles WHERE doc_id % 2 = 0")
+@query("WITH " + ARTICLES + r" SELECT source, doc_id, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title, url AS link FROM articles")
 def rss_items(spark, sf_dir):
-    a = articles(spark, sf_dir).filter("doc_id % 2 = 0")
+    a = articles(spark, sf_dir)
     safe = F.replace(F.replace(F.replace("title", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     feed = a.select("source", "doc_id", F.concat(F.lit("<rss><channel><item><title>"), safe, F.lit("</title><link>"), "url", F.lit("</link></item></channel></rss>")).alias("body"))
     return feeds.rss_items(feed).select("source", "doc_id", "title", "link")
 
 
-@query("WITH " + ARTICLES + " SELECT source, doc_id, doc_id AS id, url AS link FROM articles WHERE doc_id % 3 = 0")
+@query("WITH " + ARTICLES + " SELECT source, doc_id, doc_id AS id, url AS link, trim(regexp_replace(regexp_replace(title, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM articles")
 def rest_posts(spark, sf_dir):
-    a = articles(spark, sf_dir).filter("doc_id % 3 = 0")
+    a = articles(spark, sf_dir)
     post = F.to_json(F.array(F.struct(F.col("doc_id").alias("id"), F.col("url").alias("link"), F.struct(F.col("title").alias("rendered")).alias("title"), F.col("title").alias("excerpt"))))
-    return feeds.rest_posts(a.select("source", "doc_id", post.alias("body"))).select("source", "doc_id", "id", "link")
+    return feeds.rest_posts(a.select("source", "doc_id", post.alias("body"))).select("source", "doc_id", "id", "link", "title")
 
 
 @query("SELECT page_id, CAST(min(CASE WHEN page_id % 3 = 0 THEN 2 ELSE 1 END) AS INTEGER) AS stage_rank FROM pages GROUP BY page_id")
