@@ -1,37 +1,71 @@
-"""Character TF-IDF and weighted logistic regression with explanations."""
+"""The article model: character TF-IDF branches and metadata, weighted logistic regression, explanations."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import grams, squeeze
+from ..functions.numbers import length_bin, probability_score
+from ..functions.text import squeeze
+
+#: Text columns of the model with their features and weights, the metadata's weight, gram sizes, rows a gram is in at least.
+BRANCHES = {"headline_a": (20_000, 1.2), "headline_final": (20_000, 1.3), "headline_body": (20_000, 1.2), "summary": (40_000, 1.0)}
+METADATA, METADATA_WEIGHT = "generic_metadata", 0.6
+SIZES, MIN_DF = (2, 3, 4, 5, 6), 2
+#: Labels of branches in explanations, and characters kept of a feature and of all.
+LABELS = {"headline_a": "E列", "headline_final": "F列", "headline_body": "G列", "summary": "I列", METADATA: "メタ情報"}
+UNKNOWN, NOTHING, NAME_LIMIT, REASON_LIMIT, TOP = "不明", "該当なし", 45, 3000, 8
+LEAST = 1e-12
+
+
+def gram_counts(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = SIZES) -> DataFrame:
+    """``key, gram, n``: how often each row has each gram, in lower case and single blanks.
+
+    Every place gives one gram of each size, so the work grows with the text.
+    """
+    clean = df.select(key, F.lower(squeeze(F.coalesce(text, F.lit("")))).alias("t")).filter(F.col("t") != "")
+    # A text's characters are split once; places past the end have shorter grams, which are dropped.
+    places = clean.select(key, F.split("t", "").alias("c")).select(key, F.posexplode(F.transform("c", lambda _, i: F.slice(F.col("c"), i + 1, max(sizes)))).alias("at", "w"))
+    grams = places.select(key, F.explode(F.array(*[F.when(F.size("w") >= n, F.array_join(F.slice("w", 1, n), "")) for n in sizes])).alias("gram")).filter("gram IS NOT NULL")
+    return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def tfidf(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = (2, 3, 4, 5, 6), min_df: int = 2, features: int = 20_000, weight: float = 1.0) -> DataFrame:
+def tfidf(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = SIZES, min_df: int = MIN_DF, features: int = 20_000, weight: float = 1.0) -> DataFrame:
     """``key, gram, value``: sublinear tf, smoothed idf, unit length for each row, times the branch's weight.
 
     The vocabulary is the ``features`` most frequent grams of at least ``min_df``
     rows; counts are summed up before they are shuffled.
     """
-    clean = df.select(key, F.lower(squeeze(F.coalesce(text, F.lit("")))).alias("t"))
-    rows = clean.select(key, "t", F.explode(grams(F.col("t"), sizes)).alias("gram"))
-    # Occurrences, overlapping ones too: cut places by the lengths of what split() leaves would miss those.
-    tf = rows.select(key, "gram", F.size(F.filter(F.sequence(F.lit(1), F.length("t") - F.length("gram") + 1), lambda i: F.substring(F.col("t"), i, F.length("gram")) == F.col("gram"))).alias("n"))
+    tf = gram_counts(df, key, text, sizes)
     stats = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total")).filter(F.col("df") >= min_df)
-    vocabulary = stats.orderBy(F.desc("total"), "gram").limit(features)
+    vocabulary = stats.orderBy(F.desc("total"), "gram").limit(features).select("gram", "df")
     n = df.count()
-    w = tf.join(vocabulary, "gram").select(key, "gram", ((1 + F.log(F.col("n").cast("double"))) * (F.log((1.0 + n) / (1 + F.col("df"))) + 1)).alias("v"))
+    w = tf.join(F.broadcast(vocabulary), "gram")  # at most ``features`` rows
+    w = w.select(key, "gram", ((1 + F.log(F.col("n").cast("double"))) * (F.log((1.0 + n) / (1 + F.col("df"))) + 1)).alias("v"))
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(key)))
     return w.select(key, "gram", (F.col("v") / norm * weight).alias("value"))
 
 
-def hashed_features(df: DataFrame, text: str, sizes: tuple[int, ...] = (2, 3, 4), size: int = 1 << 14):
-    """A hashed gram vector: fixed width, so no vocabulary has to be gathered."""
-    from pyspark.ml.feature import HashingTF
+def metadata(df: DataFrame, key: str) -> DataFrame:
+    """``key, gram, value`` of the numeric metadata: has an address, has a duplicate key, lengths in bins of 20 and 80."""
+    flag = lambda c: (F.coalesce(F.col(c), F.lit("")) != "").cast("double")
+    bins = lambda c, width: length_bin(F.coalesce(F.col(c), F.lit("")), width).cast("double")
+    values = {"has_url": flag("url"), "has_duplicate_key": flag("duplicate_key"), **{f"{c}_len_bin": bins(c, 20) for c in ("headline_a", "headline_final", "headline_body")}, "summary_len_bin": bins("summary", 80)}
+    pairs = F.array(*[F.struct(F.lit(n).alias("gram"), v.alias("v")) for n, v in values.items()])
+    return df.select(key, F.explode(pairs).alias("p")).filter("p.v <> 0").select(key, F.col("p.gram").alias("gram"), (F.col("p.v") * METADATA_WEIGHT).alias("value"))
 
-    g = df.withColumn("_g", grams(F.lower(squeeze(F.coalesce(text, F.lit("")))), sizes))
-    return HashingTF(inputCol="_g", outputCol="features", numFeatures=size, binary=True).transform(g).drop("_g")
+
+def features(df: DataFrame, key: str, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
+    """``key, feature, value`` of all branches and the metadata; a feature is named ``branch:gram:weight=w``."""
+    name = lambda branch, w: F.concat(F.lit(f"{branch}:"), F.col("gram"), F.lit(f":weight={w:g}"))
+    out = metadata(df, key).select(key, name(METADATA, METADATA_WEIGHT).alias("feature"), "value")
+    for branch, (most, w) in branches.items():
+        own = tfidf(df.filter(F.coalesce(branch, F.lit("")) != ""), key, branch, features=most, weight=w) if branch in df.columns else None
+        if own is not None:
+            out = out.unionByName(own.select(key, name(branch, w).alias("feature"), "value"))
+    return out
 
 
 def balanced_weights(df: DataFrame, label: str, weight: str) -> DataFrame:
@@ -41,21 +75,102 @@ def balanced_weights(df: DataFrame, label: str, weight: str) -> DataFrame:
     return df.join(F.broadcast(by), label).crossJoin(F.broadcast(total)).withColumn("_w", F.col(weight) * F.col("_t") / (2.0 * F.col("_k"))).drop("_k", "_t")
 
 
-def train(df: DataFrame, label: str, weight: str, most_rounds: int = 50):
-    """A weighted balanced logistic regression, or the constant share of positives where there is one class."""
-    from pyspark.ml.classification import LogisticRegression
+@dataclass
+class Model:
+    """Coefficients by feature (a table) and intercept; or, without coefficients, the constant share of positives."""
 
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # two classes
+    coefficients: DataFrame | None
+    intercept: float
+    constant: float | None = None
+
+
+def train(rows: DataFrame, values: DataFrame, key: str, label: str, weight: str, most_rounds: int = 100) -> Model:
+    """Weighted, balanced logistic regression on ``values`` of the labelled ``rows``; a constant where there is one class, fewer than two rows or no feature. No rows are an error."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}  # two classes
     n = sum(counts.values())
-    if len([k for k in counts if k is not None]) < 2:
-        return counts.get(1, 0) / n if n else 0.0
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_w", regParam=1.0 / max(1, n), maxIter=most_rounds, standardization=False)
-    return lr.fit(balanced_weights(df, label, weight))
-
-
-def top_contributions(values: DataFrame, coefficients: DataFrame, key: str, n: int = 8) -> DataFrame:
-    """The ``n`` largest positive and negative products of value and coefficient of each row."""
-    c = values.join(coefficients, "gram").select(key, "gram", (F.col("value") * F.col("coefficient")).alias("contribution")).filter(F.abs("contribution") > 1e-12)
-    side = c.withColumn("positive", F.col("contribution") > 0)
-    w = Window.partitionBy(key, "positive").orderBy(F.desc(F.abs("contribution")), "gram")
-    return side.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    if not n:
+        raise ValueError("no training rows")
+    names = values.select("feature").distinct()
+    # As many numbers as the branches have features: numbering them is one small task.
+    index = names.withColumn("i", F.row_number().over(Window.orderBy("feature")) - 1).cache()
+    size = index.count()
+    if len(counts) < 2 or n < 2 or not size:
+        return Model(None, 0.0, counts.get(1, 0) / n)
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    @F.udf(VectorUDT())
+    def vector(xs):
+        return SparseVector(size, sorted((x["i"], x["value"]) for x in xs or []))
+
+    by_row = values.join(F.broadcast(index), "feature").groupBy(key).agg(F.collect_list(F.struct("i", "value")).alias("xs"))  # a row's features are bounded
+    table = balanced_weights(rows.select(key, label, weight), label, weight).join(by_row, key, "left").withColumn("features", vector("xs"))
+    total = table.agg(F.sum("_w")).first()[0]
+    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_w", regParam=1.0 / max(1e-9, total), maxIter=most_rounds, standardization=False).fit(table)
+    coefficients = rows.sparkSession.createDataFrame([(i, float(c)) for i, c in enumerate(lr.coefficients.toArray())], "i int, coefficient double")
+    return Model(index.join(coefficients, "i").select("feature", "coefficient"), float(lr.intercept))
+
+
+def contributions(values: DataFrame, model: Model, key: str) -> DataFrame:
+    """``key, feature, contribution`` of every value."""
+    return values.join(F.broadcast(model.coefficients), "feature").select(key, "feature", (F.col("value") * F.col("coefficient")).alias("contribution"))
+
+
+def decisions(rows: DataFrame, parts: DataFrame | None, model: Model, key: str) -> DataFrame:
+    """``key, decision, probability, score``: the sum of contributions and the intercept; a constant model gives its share."""
+    if parts is None or model.constant is not None:
+        return rows.select(key, F.lit(None).cast("double").alias("decision"), F.lit(model.constant).alias("probability")).withColumn("score", probability_score(F.col("probability")))
+    d = parts.groupBy(key).agg(F.sum("contribution").alias("s"))
+    out = rows.select(key).join(d, key, "left").select(key, (F.coalesce("s", F.lit(0.0)) + model.intercept).alias("decision"))
+    return out.withColumn("probability", 1 / (1 + F.exp(-F.col("decision")))).withColumn("score", probability_score(F.col("probability")))
+
+
+def top_contributions(parts: DataFrame, key: str, n: int = TOP) -> DataFrame:
+    """``key, feature, contribution, positive, rn``: the ``n`` largest of either sign, of at least LEAST."""
+    side = parts.filter(F.abs("contribution") > LEAST).withColumn("positive", F.col("contribution") > 0)
+    w = Window.partitionBy(key, "positive").orderBy(F.desc(F.abs("contribution")), "feature")
+    return side.withColumn("rn", F.row_number().over(w).cast("long")).filter(F.col("rn") <= n)
+
+
+def split_name(feature: Column) -> Column:
+    """``struct<source, raw, weight>`` of a feature's name; unknown where it has no branch."""
+    f = F.coalesce(feature, F.lit(""))
+    has = F.contains(f, F.lit(":weight="))
+    bare = F.when(has, F.regexp_replace(f, r"(?s):weight=(?!.*:weight=).*$", "")).otherwise(f)
+    weight = F.when(has, F.substring_index(f, ":weight=", -1).try_cast("double"))
+    cut = F.instr(bare, ":")
+    source = F.when(cut > 0, F.substring(bare, F.lit(1), cut - 1)).otherwise("unknown")
+    raw = F.when(f == "", "unknown").when(cut > 0, F.substring(bare, cut + 1, F.length(bare))).otherwise(bare)
+    return F.struct(source.alias("source"), raw.alias("raw"), weight.alias("weight"))
+
+
+def label_of(source: Column) -> Column:
+    m = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
+    return F.coalesce(F.try_element_at(m, source), F.when(source != "", source), F.lit(UNKNOWN))
+
+
+def display_name(feature: Column) -> Column:
+    """``label:gram``; line breaks shown, single blanks, cut."""
+    parts = split_name(feature)
+    raw = squeeze(F.replace(F.replace(parts["raw"], F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")))
+    cut = F.when(F.length(raw) > NAME_LIMIT, F.concat(F.substring(raw, 1, NAME_LIMIT), F.lit("…"))).otherwise(raw)
+    return F.concat(label_of(parts["source"]), F.lit(":"), cut)
+
+
+def reasons(top: DataFrame, key: str) -> DataFrame:
+    """``key, up, down``: ``label:gram(+0.123)`` of each side, largest first, joined and cut; a text where there is none."""
+    named = top.withColumn("r", F.struct("rn", F.concat(display_name(F.col("feature")), F.lit("("), F.format_string("%+.3f", "contribution"), F.lit(")")).alias("t")))
+    side = lambda keep: F.array_sort(F.collect_list(F.when(keep, F.col("r"))))["t"]
+    text = lambda c: F.when(F.size(c) > 0, F.substring(F.array_join(c, " / "), 1, REASON_LIMIT)).otherwise(NOTHING)
+    return named.groupBy(key).agg(side(F.col("positive")).alias("u"), side(~F.col("positive")).alias("d")).select(key, text(F.col("u")).alias("up"), text(F.col("d")).alias("down"))
+
+
+def detail_json(decision: Column, probability: Column, score: Column, up: Column, down: Column, note: Column, limit: int = 45_000) -> Column:
+    """What is stored of a prediction: numbers to six digits; cut to what a cell holds."""
+    return F.substring(F.to_json(F.struct(score.alias("score"), F.round(probability, 6).alias("probability"), F.round(decision, 6).alias("decision_value"), up.alias("positive_reasons"),
+                                          down.alias("negative_reasons"), note.alias("note")), {"ignoreNullFields": "false"}), 1, limit)
+
+
+def aligned(rows: DataFrame, outputs: DataFrame, key: str, blank: dict[str, Column]) -> DataFrame:
+    """A row for each input row in its place: outputs where there are some, blanks elsewhere."""
+    return rows.select(key).join(outputs, key, "left").select(key, *[F.coalesce(F.col(c), v).alias(c) for c, v in blank.items()])

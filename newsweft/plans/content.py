@@ -10,7 +10,7 @@ from ..session import shared_folder
 from ..sources import feeds, sinks
 from ..streaming import incremental
 from .articles import ARTICLES, articles
-from .registry import query, table
+from .registry import literal, query, table
 
 
 @query()
@@ -60,26 +60,95 @@ def lenient_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", json_text.lenient(noisy, "k long")["k"].alias("k"))
 
 
-@query("WITH " + ARTICLES + """, t AS (SELECT doc_id, lower(trim(regexp_replace(substr(title, 1, 60), '\\s+', ' ', 'g'))) AS t FROM articles), g AS (SELECT doc_id, unnest(list_concat(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3)))) AS gram FROM t),
- tf AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY ALL), v AS (SELECT gram, count(*) AS df, sum(n) AS total FROM tf GROUP BY gram HAVING count(*) >= 2 ORDER BY total DESC, gram LIMIT 500),
+@query("WITH " + ARTICLES + """, t AS (SELECT doc_id, lower(trim(regexp_replace(title, '\\s+', ' ', 'g'))) AS t FROM articles), g AS (SELECT doc_id, unnest(flatten(list_transform([2, 3, 4, 5, 6], lambda n: list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))))) AS gram FROM t),
+ tf AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY ALL), v AS (SELECT gram, count(*) AS df, sum(n) AS total FROM tf GROUP BY gram HAVING count(*) >= 2 ORDER BY total DESC, gram LIMIT 20000),
  w AS (SELECT doc_id, gram, (1 + ln(CAST(n AS DOUBLE))) * (ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS v FROM tf JOIN v USING (gram))
  SELECT doc_id, gram, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) * 1.2, 5) AS value FROM w""")
 def tfidf_features(spark, sf_dir):
-    a = articles(spark, sf_dir).select("doc_id", F.substring("title", 1, 60).alias("t"))
-    return ml.tfidf(a, "doc_id", "t", (2, 3), 2, 500, 1.2).select("doc_id", "gram", F.round("value", 5).alias("value"))
+    """One branch with the model's own parameters over whole titles."""
+    most, weight = ml.BRANCHES["headline_a"]
+    return ml.tfidf(articles(spark, sf_dir).select("doc_id", "title"), "doc_id", "title", features=most, weight=weight).select("doc_id", "gram", F.round("value", 5).alias("value"))
+
+
+def _records(spark, sf_dir):
+    """Labelled articles as records of the model: headline, the rest as summary, address."""
+    from .articles import _rest
+
+    a = articles(spark, sf_dir)
+    d = a.select("doc_id", F.col("title").alias("headline_a"), F.lit("").alias("headline_final"), F.lit("").alias("headline_body"), _rest(F.col("body")).alias("summary"), "url", F.lit("").alias("duplicate_key"))
+    label = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"), F.lit(1.0).alias("weight"))
+    return d.join(label, "doc_id")
+
+
+def _model(spark, sf_dir):
+    rows = _records(spark, sf_dir)
+    target = shared_folder(spark, "model-values")
+    ml.features(rows, "doc_id").write.parquet(target)
+    values = spark.read.schema("doc_id long, feature string, value double").parquet(target)
+    return rows, values, ml.train(rows, values, "doc_id", "label", "weight")
 
 
 @query()
 def lr_scores(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 400).alias("t")).join(table(spark, sf_dir, "labels"), "doc_id")
-    rows = ml.hashed_features(d.withColumn("label", F.col("quality").cast("double")).withColumn("weight", F.lit(1.0)), "t")
-    model = ml.train(rows, "label", "weight", 20)
-    if isinstance(model, float):
-        return rows.select("doc_id", F.lit(round(100 * model)).cast("int").alias("score"))
-    from pyspark.ml.functions import vector_to_array
-
-    p = vector_to_array("probability")[1]
-    return model.transform(rows).select("doc_id", F.bround(p * 100).cast("int").alias("score"))
+    """All four branches and the metadata of whole records; no SQL twin: a regression has none."""
+    rows, values, model = _model(spark, sf_dir)
+    parts = ml.contributions(values, model, "doc_id") if model.constant is None else None
+    return ml.decisions(rows, parts, model, "doc_id").select("doc_id", "score")
+
+
+@query()
+def explain(spark, sf_dir):
+    """Why a record has its score: the eight largest contributions of either sign, and the stored detail."""
+    rows, values, model = _model(spark, sf_dir)
+    parts = ml.contributions(values, model, "doc_id")
+    r = ml.decisions(rows, parts, model, "doc_id").join(ml.reasons(ml.top_contributions(parts, "doc_id"), "doc_id"), "doc_id", "left")
+    up, down = (F.coalesce(c, F.lit(ml.NOTHING)) for c in ("up", "down"))
+    return r.select("doc_id", "score", up.alias("up"), down.alias("down"), ml.detail_json(F.col("decision"), F.col("probability"), F.col("score"), up, down, F.lit("")).alias("detail"))
+
+
+@query("""SELECT l_orderkey, p_name AS feature, contribution, positive, CAST(rn AS BIGINT) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, positive ORDER BY abs(contribution) DESC, p_name) AS rn FROM
+ (SELECT l_orderkey, p_name || '#' || l_linenumber AS p_name, l_quantity * (p_size - 25) AS contribution, l_quantity * (p_size - 25) > 0 AS positive FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE abs(contribution) > 1e-12) WHERE rn <= 2""")
+def top_contributions(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_size")
+    c = table(spark, sf_dir, "lineitem").join(p, "l_partkey").select("l_orderkey", F.concat("p_name", F.lit("#"), F.col("l_linenumber").cast("string")).alias("feature"), (F.col("l_quantity") * (F.col("p_size") - 25)).alias("contribution"))
+    return ml.top_contributions(c, "l_orderkey", 2)
+
+
+_NAMES = [
+    ("headline_a:ab:c:weight=1.2", "headline_a", "ab:c", 1.2, "E列:ab:c"), ("generic_metadata:has_url:weight=0.6", "generic_metadata", "has_url", 0.6, "メタ情報:has_url"), ("plain", "unknown", "plain", None, "unknown:plain"),
+    ("", "unknown", "unknown", None, "unknown:unknown"), ("other:x\ny", "other", "x\ny", None, "other:x\\ny"), ("summary:" + "a" * 50 + ":weight=x", "summary", "a" * 50, None, "I列:" + "a" * 45 + "…"),
+]
+
+
+@query(literal("feature VARCHAR, source VARCHAR, raw VARCHAR, weight DOUBLE, shown VARCHAR", _NAMES))
+def feature_names(spark, sf_dir):
+    f = spark.createDataFrame([r[:1] for r in _NAMES], "feature string")
+    return f.select("feature", ml.split_name(F.col("feature")).alias("s"), ml.display_name(F.col("feature")).alias("shown")).select("feature", "s.source", "s.raw", "s.weight", "shown")
+
+
+_TOP = [(1, "summary:a:weight=1", 0.5), (1, "summary:b:weight=1", -0.25), (1, "headline_a:c:weight=1.2", 1.0), (2, "summary:z:weight=1", -0.1), (2, "summary:0:weight=1", 0.0)]
+
+
+@query(literal("id INTEGER, up VARCHAR, down VARCHAR", [(1, "E列:c(+1.000) / I列:a(+0.500)", "I列:b(-0.250)"), (2, "該当なし", "I列:z(-0.100)")]))
+def reason_texts(spark, sf_dir):
+    return ml.reasons(ml.top_contributions(spark.createDataFrame(_TOP, "id int, feature string, contribution double"), "id"), "id")
+
+
+_META = [(1, "x" * 45, "", None, "s" * 1000, "u", ""), (2, None, None, None, None, None, "k")]
+
+
+@query(literal("id INTEGER, gram VARCHAR, value DOUBLE", [(1, "has_url", 0.6), (1, "headline_a_len_bin", 1.2), (1, "summary_len_bin", 6.0), (2, "has_duplicate_key", 0.6)]))
+def metadata_features(spark, sf_dir):
+    d = spark.createDataFrame(_META, "id int, headline_a string, headline_final string, headline_body string, summary string, url string, duplicate_key string")
+    return ml.metadata(d, "id").select("id", "gram", F.round("value", 6).alias("value"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey % 100 AS INTEGER) ELSE NULL END AS score, CASE WHEN o_orderkey % 7 = 0 THEN 'scored' ELSE '' END AS note FROM orders")
+def output_alignment(spark, sf_dir):
+    """Only some rows are scored; every row keeps its place, with blanks."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    done = o.filter("o_orderkey % 7 = 0").select("o_orderkey", (F.col("o_orderkey") % 100).cast("int").alias("score"), F.lit("scored").alias("note"))
+    return ml.aligned(o, done, "o_orderkey", {"score": F.lit(None).cast("int"), "note": F.lit("")})
 
 
 @query("SELECT event_id, user_id, event_type FROM events")
