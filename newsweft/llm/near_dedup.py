@@ -3,9 +3,10 @@
 Documents of one word sequence are one class. In each of ``TREES`` independent
 trees a class follows its minwise tokens: at the root it goes to the child of
 its minwise shingle under the tree's first coordinate; a child of more than
-``NODE`` classes branches again, under one or two coordinates chosen by its path
-(1.375 on average, so a pair at the threshold is expected to share 1.1 children
-a level). Nodes of at most ``NODE`` classes are compared exhaustively by their signatures; each
+``NODE`` classes branches again, under coordinates chosen by its path: under one
+the first time, which shows whether it shrinks, then under one or two (1.5 on
+average, so a pair at the threshold is expected to share 1.2 children a level).
+Nodes of at most ``NODE`` classes are compared exhaustively by their signatures; each
 group of likely neighbours is then linked on full shingle sets. A large node
 that keeps STUCK of its parent, or is still large at the last level, holds near
 copies of each other: its members are linked to its first one, and those that
@@ -133,8 +134,9 @@ def _roots(reps: DataFrame, trees: int) -> DataFrame:
     return reps.select("rep", "signature").mapInArrow(work, NODE_ROW)
 
 
-def _branch(big: DataFrame) -> DataFrame:
-    """Children of nodes: the minwise token under a coordinate chosen by the node's path, in three nodes of eight also under a second one."""
+def _branch(big: DataFrame, level: int) -> DataFrame:
+    """Children of nodes: the minwise token under a coordinate chosen by the node's path; from level 1 on, in half of the nodes also under a second one."""
+    also = 0 if level == 0 else 4
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,7 +146,7 @@ def _branch(big: DataFrame) -> DataFrame:
             c = (pick % np.uint64(COORDINATES)).astype(np.int64)
             second = (c + 1 + ((pick >> np.uint64(16)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
             for k, at in enumerate((c, second)):
-                use = np.flatnonzero((pick >> np.uint64(40)) % np.uint64(8) < 3) if k else np.arange(len(path))
+                use = np.flatnonzero((pick >> np.uint64(40)) % np.uint64(8) < also) if k else np.arange(len(path))
                 child = mix((path ^ mix(sig[np.arange(len(path)), at] + np.uint64(1))) + np.uint64(k))[use].view(np.int64)
                 rows = pa.array(use)
                 yield pa.RecordBatch.from_arrays([pa.array(child), b.column(1).take(rows), b.column(2).take(rows)], names=["path", "rep", "was"])
@@ -323,7 +325,7 @@ def _labels(units: DataFrame, cls: DataFrame, shingle: int, percent: int, trees:
         big = large.filter(~held)
         if level == levels or big.isEmpty():
             break
-        nodes = persist(_sized(_branch(big.join(sigs, "rep"))), "nodes")
+        nodes = persist(_sized(_branch(big.join(sigs, "rep"), level)), "nodes")
         written.append(nodes)
         leaves.append(nodes.filter(F.col("n") <= node))
     small, rest = leaves[0], stuck[0]

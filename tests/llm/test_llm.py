@@ -107,8 +107,8 @@ def test_near_dedup_recall_at_the_last_level(spark):
     sigs = spark.createDataFrame(rows, "rep long, signature binary").cache()
     both = lambda d: d.groupBy("path", F.shiftright("rep", 1).alias("pair")).count().filter("count = 2").select("path", F.lit(2).cast("long").alias("n"), F.explode(F.array(2 * F.col("pair"), 2 * F.col("pair") + 1)).alias("rep")).cache()
     nodes = both(near_dedup._roots(sigs, near_dedup.TREES))
-    for _ in range(near_dedup.LEVELS):
-        nodes = both(near_dedup._branch(nodes.join(sigs, "rep")))
+    for level in range(near_dedup.LEVELS):
+        nodes = both(near_dedup._branch(nodes.join(sigs, "rep"), level))
     missed = pairs - nodes.select(F.shiftright("rep", 1)).distinct().count()
     print("missed", missed, "of", pairs)
     assert missed <= pairs // 1000
