@@ -39,6 +39,12 @@ YEN_BRACKET = r"（\s*(?:約)?\s*[0-9０-９,，兆億万.]+(?:円|えん)\s*）
 #: A kyat amount with yen behind it; a point is no part of the amount.
 KYAT_YEN = re.compile(r"([0-9０-９兆億万,\s，]+チャット)（約[^）]*円）")
 
+#: An amount of kyat in text, number or currency first.
+CURRENCY = r"(?:မြန်မာ(?:့)?(?:နိုင်ငံ)?\s*)?(?:ငွေ\s*)?ကျပ်(?:ငွေ)?"
+DIGITS, SCALE, TRAIL = r"[0-9၀-၉][0-9၀-၉,.]*", r"(?:သောင်း|သိန်း|သန်း)", r"(?:\s*(?:ကျော်|လောက်|ခန့်))?"
+NUMBER_FIRST = rf"{DIGITS}\s*(?:{SCALE})?\s*(?:{CURRENCY}){TRAIL}"
+CURRENCY_FIRST = rf"(?:{CURRENCY})\s*(?:{SCALE})?\s*{DIGITS}{TRAIL}"
+
 _NUMBER = r"\d+(?:[,，]\d{3})*(?:\.\d+)?"
 _LADDER = ((10**12, "兆"), (10**8, "億"), (10**4, "万"))
 
@@ -118,6 +124,13 @@ def drop_foreign_yen(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)({FOREIGN}\s*[0-9０-９,，兆億万.]+)\s*{YEN_BRACKET}", "$1")
 
 
+def kyat_amount(c: Column) -> Column:
+    """The first amount of kyat with the number in front, else the first with the currency in front; blank without one."""
+    c = F.coalesce(c, F.lit(""))
+    first = F.regexp_extract(c, f"({NUMBER_FIRST})", 1)
+    return F.when(first != "", first).otherwise(F.regexp_extract(c, f"({CURRENCY_FIRST})", 1))
+
+
 FACTS = T.ArrayType(T.StructType([T.StructField("raw", T.StringType()), T.StructField("ja", T.StringType())]))
 
 

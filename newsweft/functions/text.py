@@ -12,8 +12,38 @@ from pyspark.sql import types as T
 SPACE = r"(?U)\s+"
 #: Punctuation that keys ignore.
 KEY_PUNCTUATION = r"""(?U)[\s\x{3000}|｜:：,，.。()（）\[\]「」『』、"'’‘“”!?！？/\\-]+"""
+#: What a cell holds, and the mark of a cut one; marks of cut full texts in either form.
 CELL_LIMIT = 48_000
-CELL_SUFFIX = "…(truncated)"
+CELL_SUFFIX = "\n\n[… セル内文字数上限のため省略 …]"
+FULL_SUFFIX, FULL_SUFFIX_WITHIN = "\n\n[…本文が長いためここまでを翻訳]", "…（本文が長いためここまでを翻訳）"
+#: Spellings made one before texts are compared, in order.
+REPLACEMENTS = [
+    ("ミンアンフライイン", "ミンアウンフライン"),
+    ("ミンアウン・フライン", "ミンアウンフライン"),
+    ("アウン・サン・スー・チー", "アウンサンスーチー"),
+    ("アウン・サン・スーチー", "アウンサンスーチー"),
+    ("キヤット", "チャット"),
+    ("Kyat", "チャット"),
+    ("kyat", "チャット"),
+    ("Ｋ", "K"),
+]
+#: Lines that are no text of an article.
+NO_TEXT = [
+    r"^(?:Photo|Image|Video|Graphic|Map|Caption)[:：\)]",
+    r"^\((?:Photo|Image|Video|Graphic|Map)\)\s*$",
+    r"^(?:Credit|Credits|Source|Sources|Via|Courtesy of)[:：]",
+    r"^(?:With reporting by|Reported by|Reporting by|Edited by|Compiled by|Translation|Translator|Translated by).*$",
+    r"^(?:ဓာတ်ပုံ|ရုပ်ပုံ)[:：]",
+    r"^(?:ရင်းမြစ်)[:：]",
+    r"^(?:ဘာသာပြန်|ဘာသာပြန်သူ|တည်းဖြတ်)[:：]",
+    r"^(?:BBC Burmese|DVB|Myanmar Now|The Irrawaddy|Khit Thit Media|Mizzima|RFA Burmese|VOA Burmese|Eleven Media|Frontier Myanmar|Reuters|AP|Associated Press|AFP|SCMP)\s*$",
+    r"^(?:[#＃][^\s#]+(?:\s+|$)){3,}$",
+    r"^(?:Save my name, email, and website.*)$",
+    r"^(?:Leave a comment|Post a Comment|Your email address will not be published).*$",
+    r"^(?:PDF)\s*$",
+    r"""^[\s\-/–—•·|\\\(\)\[\]{}“”"'«»。、．…／]+$""",
+    r"^(?:##.*)$",
+]
 
 
 def strip(c: Column) -> Column:
@@ -49,7 +79,7 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
-def normalize_input(c: Column, replacements: list[tuple[str, str]] = (), fold: bool = True) -> Column:
+def normalize_input(c: Column, replacements: list[tuple[str, str]] = tuple(REPLACEMENTS), fold: bool = True) -> Column:
     """NFKC unless ``fold`` is off, controls to blanks, squeezed, then literal replacements in order."""
     c = text(c)
     c = squeeze(without_controls(nfkc(c) if fold else c))
@@ -87,6 +117,60 @@ def compact_lines(c: Column, drop: list[str]) -> Column:
     return F.array_join(lines, "\n\n")
 
 
+def compact_body(c: Column) -> Column:
+    """The text lines of a body: NFC, single blanks, without lines that are no text, a blank line between."""
+    return compact_lines(nfc(F.coalesce(c, F.lit(""))), [f"(?iu){p}" for p in NO_TEXT])
+
+
+def cut_full(c: Column, limit: int, within: bool = False) -> Column:
+    """Full text up to a limit: the mark stands behind the limit, or ``within`` it; then a limit of 0 is none."""
+    c = F.coalesce(c, F.lit(""))
+    if within:
+        if limit <= 0:
+            return c
+        return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, max(0, limit - len(FULL_SUFFIX_WITHIN))), F.lit(FULL_SUFFIX_WITHIN))).otherwise(c)
+    return F.when(F.length(c) > limit, F.concat(F.regexp_replace(F.substring(c, 1, limit), r"(?U)\s+$", ""), F.lit(FULL_SUFFIX))).otherwise(c)
+
+
+def as_html_lines(c: Column) -> Column:
+    return F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit("<br>"))
+
+
+def without_category_c(c: Column) -> Column:
+    """Control and format characters go, line ends too, and no-break spaces are blanks."""
+    return F.regexp_replace(F.regexp_replace(c, "\u00a0|&nbsp;", " "), r"\p{C}", "")
+
+
+def payload_text(c: Column) -> Column:
+    """Bytes of a payload as text; what is no UTF-8 becomes the replacement character."""
+    return F.coalesce(F.make_valid_utf8(c.cast("string")), F.lit(""))
+
+
+NBSP = "\u00a0"
+_PROPER = r"[A-Z][A-Za-z0-9&.\-]{1,20}"
+_JOINING = r"(?:for|of|and|the|in|on|at|by|from|to|with|without|against|between)"
+_CJK = r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}"
+
+
+def held_together(c: Column) -> Column:
+    """Names of two and three words, and words around a joining word, get no-break blanks, but in addresses; invisible characters go."""
+    c = F.regexp_replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), r"[\x{200B}\x{200C}\x{200D}\x{FEFF}]", "")
+    parts = F.regexp_extract_all(c, F.lit(r"(?s)(https?://\S+|(?:(?!https?://\S).)+)"), F.lit(1))
+
+    def one(x: Column) -> Column:
+        t = F.regexp_replace(x, rf"(?i)\b({_PROPER})\s+({_JOINING})\s+({_PROPER})\b", f"$1{NBSP}$2{NBSP}$3")
+        t = F.regexp_replace(t, rf"\b({_PROPER}) ({_PROPER}) ({_PROPER})\b", f"$1{NBSP}$2{NBSP}$3")
+        t = F.regexp_replace(t, rf"\b({_PROPER}) ({_PROPER})\b", f"$1{NBSP}$2")
+        return F.when(x.rlike("^https?://"), x).otherwise(t)
+
+    return F.array_join(F.transform(parts, one), "")
+
+
+def latin_before_cjk(c: Column) -> Column:
+    """The blank between a Latin character and a Chinese or Japanese one does not break."""
+    return F.regexp_replace(c, rf"([A-Za-z0-9]) ([{_CJK}])", f"$1{NBSP}$2")
+
+
 def drop_hashtags(c: Column) -> Column:
     return F.regexp_replace(c, r"(?:(?<=\s)|^)#[^\s#]+", "")
 
@@ -142,13 +226,6 @@ def replace_after_first(c: Column, mark: str, full: str, short: str) -> Column:
     return F.when(F.size(parts) > 1, F.concat(parts[0], F.lit(full), rest)).otherwise(c)
 
 
-def apply_rules(c: Column, rules: list[tuple[str, str]]) -> Column:
-    """Regular-expression replacements in order, without regard to case."""
-    for pattern, to in rules:
-        c = F.regexp_replace(c, f"(?iu){pattern}", to)
-    return c
-
-
 def last_block(c: Column, marker: str, stops: list[str]) -> Column:
     """Text after the last marker, up to the first line that starts with a stop."""
     tail = F.substring_index(c, marker, -1)

@@ -27,7 +27,7 @@ def collapse_runs(df: DataFrame, by: list[str], order: list[str], value: str) ->
     return df.withColumn("_p", F.lag(value).over(w)).filter(~F.col(value).eqNullSafe(F.col("_p")) | F.col("_p").isNull()).drop("_p")
 
 
-def identity_key(url: Column, q: Column, title_key: Column) -> Column:
-    """What ties an article to its manual ranking: url, else the duplicate key, else 180 characters of title."""
+def identity_key(url: Column, q: Column, title_key: Column, row: Column | None = None) -> Column:
+    """What ties an article to its manual ranking: url, else the duplicate key, else 180 characters of title; without any, its row alone."""
     return F.when(url != "", F.concat(F.lit("url:"), url)).when(q != "", F.concat(F.lit("q:"), q)).when(
-        title_key != "", F.concat(F.lit("title:"), F.substring(title_key, 1, 180))).otherwise("")
+        title_key != "", F.concat(F.lit("title:"), F.substring(title_key, 1, 180))).otherwise(F.lit("") if row is None else F.concat(F.lit("row:"), row.cast("string")))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+from .windows import numbered
+
 
 def components(edges: DataFrame, a: str, b: str, checkpoint: bool = True, most_rounds: int = 50) -> DataFrame:
     """``node, component`` with the smallest reachable node, by pointer jumping on minimum labels.
@@ -16,9 +19,7 @@ def components(edges: DataFrame, a: str, b: str, checkpoint: bool = True, most_r
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null")
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     if checkpoint and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="newsweft-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark, "components"))
     both = both.checkpoint() if checkpoint else both
     label = both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
     for _ in range(most_rounds):
@@ -36,6 +37,5 @@ def components(edges: DataFrame, a: str, b: str, checkpoint: bool = True, most_r
 def duplicate_labels(comp: DataFrame, prefix: str = "重複", offset: int = 0) -> DataFrame:
     """Components of two and more, numbered by their smallest member: ``node, component, label``."""
     sized = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # One row a component: numbering needs their order, not the members'.
-    num = sized.withColumn("label", F.format_string(f"{prefix}%03d", F.row_number().over(Window.orderBy("component")) + offset)).select("component", "label")
+    num = numbered(sized.select("component"), [], ["component"]).select("component", F.format_string(f"{prefix}%03d", F.col("rn") + offset).alias("label"))
     return comp.join(num, "component").select("node", "component", "label")

@@ -49,7 +49,7 @@ def nfkc_text(spark, sf_dir):
     return d.select("doc_id", F.length("n").alias("n_chars"), F.sha2("n", 256).alias("nfkc_sha256"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN length(text) > 1000 THEN regexp_replace(substr(text, 1, 1000 - 12), '\s+$', '') || '…(truncated)' ELSE text END AS cell FROM documents""")
+@query(r"""SELECT doc_id, CASE WHEN length(text) > 1000 THEN regexp_replace(substr(text, 1, 1000 - length(chr(10) || chr(10) || '[… セル内文字数上限のため省略 …]')), '\s+$', '') || chr(10) || chr(10) || '[… セル内文字数上限のため省略 …]' ELSE text END AS cell FROM documents""")
 def clip_cells(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.clip_cell(F.col("text"), 1000).alias("cell"))
 
@@ -78,10 +78,10 @@ def keyword_flags(spark, sf_dir):
     return a.select("doc_id", _any(["title", "body"], KEYWORDS).alias("hit_full"), _any(["both"], REGION).alias("is_region"), F.contains(F.lower("title"), F.lit("rights reserved")).alias("excluded_title"))
 
 
-@query("WITH " + ARTICLES + f""" SELECT source, reason, count(*) AS n FROM (SELECT source, CASE WHEN date <> DATE '2024-01-05' THEN 'date_mismatch' WHEN title = '' THEN 'no_title'
+@query("WITH " + ARTICLES + f""" SELECT source, reason, count(*) AS n FROM (SELECT source, CASE WHEN date IS NULL THEN 'no_date' WHEN date <> DATE '2024-01-05' THEN 'date_mismatch' WHEN title = '' THEN 'no_title'
  WHEN contains(lower(title), 'rights reserved') THEN 'excluded_title' WHEN length(body) < 50 THEN 'no_body' WHEN NOT ({_HIT}) THEN 'keyword_miss' ELSE 'accepted' END AS reason FROM articles) GROUP BY ALL""")
 def reject_reason_counts(spark, sf_dir):
-    reason = (F.when(F.col("date") != F.lit("2024-01-05").cast("date"), "date_mismatch").when(F.col("title") == "", "no_title")
+    reason = (F.when(F.col("date").isNull(), "no_date").when(F.col("date") != F.lit("2024-01-05").cast("date"), "date_mismatch").when(F.col("title") == "", "no_title")
               .when(F.contains(F.lower("title"), F.lit("rights reserved")), "excluded_title").when(F.length("body") < 50, "no_body")
               .when(~_any(["title", "body"], KEYWORDS), "keyword_miss").otherwise("accepted"))
     return articles(spark, sf_dir).select("source", reason.alias("reason")).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))

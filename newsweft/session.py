@@ -50,6 +50,10 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster shares; a local one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="newsweft-")
+    """A new folder below the one the cluster shares; a local one only in local mode where none is configured."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="newsweft-")
     return f"{root.rstrip('/')}/newsweft-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

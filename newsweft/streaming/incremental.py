@@ -11,12 +11,18 @@ def file_stream(spark: SparkSession, folder: str, glob: str, like: DataFrame) ->
 
 
 def append_new(stream: DataFrame, key: str, target: str, checkpoint: str) -> None:
-    """Append rows whose key the target doesn't hold; a batch that is run again adds nothing."""
+    """Append rows whose key the target doesn't hold; a batch that is run again adds nothing. Rows without a key are not stored.
+
+    Of the target only files within the batch's range of keys are read.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
-        spark, new = df.sparkSession, df.dropDuplicates([key])
+        spark, new = df.sparkSession, df.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        low, high = new.agg(F.min(key), F.max(key)).first()
+        if low is None:
+            return
         try:
-            known = spark.read.schema(df.schema).parquet(target).select(key)
+            known = spark.read.schema(df.schema).parquet(target).filter(F.col(key).between(low, high)).select(key)
         except Exception as e:  # nothing is there before the first batch
             if "PATH_NOT_FOUND" not in str(e):
                 raise
