@@ -270,6 +270,42 @@ def article(html: Column, site: str) -> Column:
     return run(html)
 
 
+def _first_text(selectors: tuple[str, ...]):
+    @F.pandas_udf(T.StringType())
+    def run(s: pd.Series) -> pd.Series:
+        def one(x: str | None) -> str:
+            page = parse(x)
+            return next((t for q in selectors if (n := page.first(q)) is not None and (t := n.text())), "")
+
+        return s.map(one)
+
+    return run
+
+
+def category(html: Column) -> Column:
+    """The label of the category that a page names first; blank without one."""
+    return _first_text(("ul.td-category li.entry-category a", "ul.td-category a"))(html)
+
+
+def in_section(html: Column, names: tuple[str, ...], slugs: tuple[str, ...]) -> Column:
+    """Whether a page says that it belongs to a section: by its linked data, or by a category link near its heading."""
+    wanted, paths = {clean(n).lower() for n in names}, tuple(f"/category/{s}" for s in slugs)
+
+    @F.pandas_udf(T.BooleanType())
+    def run(s: pd.Series) -> pd.Series:
+        def one(x: str | None) -> bool:
+            page = parse(x)
+            for n in jsonld(page):
+                own = n.get("articleSection") or []
+                if wanted & {clean(str(v)).lower() for v in (own if isinstance(own, list) else [own])}:
+                    return True
+            return any(p in a.attrs["href"].lower() for a in page.find("header a[href], .entry-category a[href], .post-categories a[href]") for p in paths)
+
+        return s.map(one)
+
+    return run(html)
+
+
 def scoped_body(url: Column, html: Column) -> Column:
     """Body for full text: the domain's scopes, then general ones, then the page; without comments, tags and boilerplate."""
 

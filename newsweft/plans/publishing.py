@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import amounts, config, dates, json_text, responses, terminology, text
-from ..operators import dedupe, layout, rate, rerank
+from ..functions import amounts, config, dates, json_text, responses, sites, terminology, text
+from ..operators import dedupe, layout, prompts, rate, rerank
 from ..session import shared_folder
-from ..sources import scans, sinks
+from ..sources import feeds, scans, sinks
 from .registry import literal, query, table
 
 # --- second scores ---
@@ -465,6 +465,52 @@ def hostile_json(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _LENIENT], "id int, t string").select("id", json_text.lenient(F.col("t"), "k long")["k"].alias("k"))
 
 
+_CACHES = [("new", '[{"item_id": "1", "url": "https://x/a/", "body": "one"}, {"item_id": "1", "url": "https://x/a", "body": "two"}, {"item_id": "", "url": "https://x/b", "body": " "}]'), ("old", '{"https://x/c": {"title": "t", "body": "three"}}'), ("bad", "{nothing"), ("text", "x")]
+
+
+@query(literal("file VARCHAR, pos INTEGER, url VARCHAR, body VARCHAR", [("new", 0, "https://x/a/", "one"), ("new", 1, "https://x/a", "two"), ("new", 2, "https://x/b", " "), ("old", 0, "https://x/c", "three")]))
+def cache_forms(spark, sf_dir):
+    return feeds.cache_entries(spark.createDataFrame(_CACHES, "file string, body string")).select("file", "pos", "url", "body")
+
+
+@query(literal("id VARCHAR, body VARCHAR, cached BOOLEAN", [("1", "one", True), ("9", "two", True), ("3", "fetched", False), ("4", "", False)]))
+def cached_bodies(spark, sf_dir):
+    """The first entry of an id, the last of an address, else what is fetched; blank bodies are never taken."""
+    cache = feeds.cache_entries(spark.createDataFrame(_CACHES[:1], "file string, body string"))
+    wanted = spark.createDataFrame([("1", "https://x/none"), ("9", "https://x/a#f"), ("3", "https://x/b"), ("4", "https://x/d")], "id string, url string")
+    fetched = spark.createDataFrame([("https://x/b", "fetched"), ("https://x/d", " ")], "url string, body string")
+    return feeds.read_through(wanted, cache, fetched).select("id", "body", "cached")
+
+
+_SECTIONED = [(1, '<ul class="td-category"><li class="entry-category"><a href="/m">Movies</a></li></ul>', "Movies", False), (2, '<ul class="td-category"><a href="/category/whim/x">W</a></ul><div class="entry-category"><a href="/en/category/Whim">w</a></div>', "W", True),
+              (3, '<script type="application/ld+json">{"@type": "Article", "articleSection": ["News", "Doh  Athan"]}</script>', "", True), (4, None, "", False)]
+
+
+@query(literal("id INTEGER, category VARCHAR, excluded BOOLEAN", [(r[0], *r[2:]) for r in _SECTIONED]))
+def page_sections(spark, sf_dir):
+    h = F.col("html")
+    return spark.createDataFrame([r[:2] for r in _SECTIONED], "id int, html string").select("id", sites.category(h).alias("category"), sites.in_section(h, ("doh athan", "whim"), ("doh-athan", "whim")).alias("excluded"))
+
+
+@query(literal("id INTEGER, t VARCHAR", [(1, "text"), (2, "a  b"), (3, None)]))
+def noise_phrases(spark, sf_dir):
+    rows = spark.createDataFrame([(1, " text BBC  Burmese"), (2, "a bbc burmese b"), (3, None)], "id int, t string")
+    return rows.select("id", terminology.without_phrases(F.col("t"), [r"BBC\s*Burmese"]).alias("t"))
+
+
+@query("SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'")
+def entries_of_day(spark, sf_dir):
+    return scans.on_day(table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("d")), "d", "2024-01-05").select("event_id")
+
+
+@query(literal("id INTEGER, rules VARCHAR", [(1, "title:\n- Bago => Bago City\nbody:\n- က => か\n- Bago => バゴー"), (2, "")]))
+def prompt_rules(spark, sf_dir):
+    """Terms of a glossary that an article has, as rules for its title and body."""
+    g = spark.createDataFrame([("က", "", "か", ""), ("", "Bago", "バゴー", "Bago City")], "mm string, en string, body_ja string, title_ja string")
+    a = spark.createDataFrame([(1, "in bago", "က and BAGO"), (2, "x", None)], "id int, title string, body string")
+    return prompts.rules(a, g, "id").select("id", "rules")
+
+
 _NFKC = [(1, "ﬁ①Ａ", "fi1A"), (2, "é", "é"), (3, "㌔", "キロ"), (4, "　", " "), (5, None, None), (6, "😀", "😀")]
 
 

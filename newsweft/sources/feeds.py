@@ -41,5 +41,35 @@ def usable_payloads(fetches: DataFrame, keys: list[str], blocked: str = r"(?i)(j
     return ok.groupBy(*keys).agg(F.min_by(F.struct("body", "stage_rank", "attempt"), F.struct("stage_rank", "attempt")).alias("r")).select(*keys, "r.body", "r.stage_rank", "r.attempt")
 
 
+CACHE = "item_id string, source string, url string, title string, body string, body_ja string"
+
+
+def cache_entries(files: DataFrame, body: str = "body") -> DataFrame:
+    """``pos`` and the entries of body caches in JSON: a list of entries, or the older map by address; anything else gives none."""
+    entry = "struct<" + CACHE.replace(" string", ":string") + ">"
+    listed = files.withColumn("_l", F.when(F.startswith(F.trim(body), F.lit("[")), F.from_json(body, f"array<{entry}>")))
+    older = F.when(F.startswith(F.trim(body), F.lit("{")), F.from_json(body, f"map<string,{entry}>"))
+    mapped = F.transform(F.map_entries(older), lambda e: F.struct(e["value"]["item_id"].alias("item_id"), e["value"]["source"].alias("source"), F.coalesce(nz(e["value"]["url"]), e["key"]).alias("url"),
+                                                                  e["value"]["title"].alias("title"), e["value"]["body"].alias("body"), e["value"]["body_ja"].alias("body_ja")))
+    rest = [c for c in files.columns if c != body]
+    return listed.withColumn("_e", F.coalesce("_l", mapped)).select(*rest, F.posexplode("_e").alias("pos", "e")).select(*rest, "pos", "e.*")
+
+
+def from_cache(wanted: DataFrame, cache: DataFrame) -> DataFrame:
+    """``wanted`` (id, url) with the cached body: of the first entry of the id, else of the last one of the address; blank bodies count as none."""
+    ok = cache.filter(nz(F.col("body")).isNotNull()).withColumn("_u", F.regexp_replace(F.substring_index(F.trim("url"), "#", 1), "/+$", ""))
+    by_id = ok.filter("coalesce(item_id, '') <> ''").groupBy(F.col("item_id").alias("id")).agg(F.min_by("body", "pos").alias("_a"))
+    by_url = ok.filter("coalesce(_u, '') <> ''").groupBy("_u").agg(F.max_by("body", "pos").alias("_b"))
+    j = wanted.withColumn("_u", F.regexp_replace(F.substring_index(F.trim("url"), "#", 1), "/+$", "")).join(by_id, "id", "left").join(by_url, "_u", "left")
+    return j.withColumn("body", F.coalesce("_a", "_b")).drop("_u", "_a", "_b")
+
+
+def read_through(wanted: DataFrame, cache: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Cached bodies, and fetched ones where there is none; ``cached`` says which."""
+    own = from_cache(wanted, cache).withColumnRenamed("body", "_own")
+    j = own.join(fetched.select("url", F.col("body").alias("_new")), "url", "left")
+    return j.withColumn("body", F.coalesce(nz(F.col("_own")), nz(F.col("_new")), F.lit(""))).withColumn("cached", F.col("_own").isNotNull()).drop("_own", "_new")
+
+
 def read_bundle(spark: SparkSession, folder: str, part: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{folder}/{part}")
