@@ -169,7 +169,13 @@ def rerank_priority_topk(spark, sf_dir):
     return p.select("doc_id", "ml", "llm", "priority", numbers.final_score(F.col("ml"), F.col("llm")).alias("final_score"), numbers.score_source(F.col("ml"), F.col("llm")).alias("score_source"))
 
 
-@query()
+_FULL = "r.rows + 1 > 25 OR r.used + o.n_chars > 180000"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
+ r AS (SELECT source, doc_id, n_chars, rn, 1 AS rows, n_chars AS used, 0 AS chunk FROM o WHERE rn = 1
+ UNION ALL SELECT o.source, o.doc_id, o.n_chars, o.rn, CASE WHEN {_FULL} THEN 1 ELSE r.rows + 1 END, CASE WHEN {_FULL} THEN o.n_chars ELSE r.used + o.n_chars END, r.chunk + CASE WHEN {_FULL} THEN 1 ELSE 0 END FROM r JOIN o ON o.source = r.source AND o.rn = r.rn + 1)
+ SELECT source, doc_id, n_chars, CAST(chunk AS BIGINT) AS chunk FROM r""")
 def write_chunks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars")
     return windows.greedy_chunks(d, ["source"], ["doc_id"], "n_chars", 25, 180_000)
@@ -314,7 +320,10 @@ def glossary_theta_join(spark, sf_dir):
     return joins.glossary_matches(articles(spark, sf_dir).select("doc_id", "title"), g, "title").select("doc_id", "mm", "en")
 
 
-@query()
+_WHOLE = r"regexp_matches(title, '(?i)(^|[^\p{L}\p{N}_])' || en || '([^\p{L}\p{N}_]|$)')"
+
+
+@query("WITH " + ARTICLES + f", g(mm, en) AS (VALUES ('', 'that'), ('', 'und'), ('မြန်မာ', 'los')) SELECT doc_id, mm, en FROM articles, g WHERE {_WHOLE}")
 def region_theta_join(spark, sf_dir):
     g = spark.createDataFrame([("", "that"), ("", "und"), ("မြန်မာ", "los")], "mm string, en string")
     return joins.region_matches(articles(spark, sf_dir).select("doc_id", "title"), g, "title").select("doc_id", "mm", "en")

@@ -168,7 +168,10 @@ def url_filters(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.article_shaped(u).alias("article"), urls.excluded(u, ["/news"]).alias("excluded"))
 
 
-@query()
+_SLUG = rf"trim(regexp_replace(regexp_replace(url_decode(regexp_replace(regexp_extract(regexp_replace({_PATH}, '/+$', ''), '([^/]*)$', 1), '(?i)\.html?$', '')), '[-_]+', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, array_to_string(list_transform(string_split({_SLUG}, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS title FROM pages")
 def slug_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.slug_title(F.col("url")).alias("title"))
 
