@@ -635,3 +635,28 @@ def test_pipeline_edge_rows(spark, sf_dir, rows):
         if name == "quality classifier":
             assert sum(x.text is None or not x.text.strip() for x in got) == 4
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_near_dedup_link_recall(spark, sf_dir):
+    """Of the links that brute force finds between every 50th document and all, those whose ends share a component."""
+    found, missed = link_recall(spark, sf_dir)
+    assert found and not missed
+
+
+def link_recall(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    component = {r.doc_id: r.component_id for r in queries.op1_near_dedup(spark, sf_dir).collect()}
+    sets, posting = {}, collections.defaultdict(list)
+    for r in rows:
+        w = (r.text or "").encode().lower().split()
+        sets[r.doc_id] = {hash(tuple(w[j : j + 4])) for j in range(max(1, len(w) - 3))} if w else set()
+        for g in sets[r.doc_id]:
+            posting[g].append(r.doc_id)
+    found = missed = 0
+    for i in (i for i in sets if i % 50 == 0):
+        shared = collections.Counter(j for g in sets[i] for j in posting[g])
+        for j, n in shared.items():
+            if j != i and 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                found += 1
+                missed += component[i] != component[j]
+    return found, missed
