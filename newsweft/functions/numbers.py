@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bound
+
 #: Fixed value: yen a kyat.
 YEN_A_KYAT = 0.0370
 
@@ -37,11 +39,6 @@ def kyat_to_yen(kyat: Column) -> Column:
 _UNITS = ((10**12, "兆"), (10**8, "億"), (10**4, "万"))
 
 
-def _bound(value: Column, of) -> Column:
-    """``of`` a value that is worked out once, however often ``of`` names it."""
-    return F.transform(F.array(value), of)[0]
-
-
 def _ladder(n: Column, unit: str, rest: Column) -> Column:
     parts, left = [], n
     for size, name in _UNITS:
@@ -57,12 +54,12 @@ def format_yen(n: Column) -> Column:
         ones = x % 10_000
         return F.when(x == 0, "0円").otherwise(_ladder(x, "円", F.when(ones > 0, ones.cast("string")).otherwise("")))
 
-    return _bound(n.cast("long"), of)
+    return bound(n.cast("long"), of)
 
 
 def format_kyat(n: Column) -> Column:
     """As yen, without what is below 10,000 if a larger unit is there; nothing for 0 and less."""
-    return _bound(n.cast("long"), lambda x: F.when(x <= 0, "").when(x < 10_000, F.concat(x.cast("string"), F.lit("チャット"))).otherwise(_ladder(x, "チャット", F.lit(""))))
+    return bound(n.cast("long"), lambda x: F.when(x <= 0, "").when(x < 10_000, F.concat(x.cast("string"), F.lit("チャット"))).otherwise(_ladder(x, "チャット", F.lit(""))))
 
 
 def parse_kyat(s: Column) -> Column:
@@ -73,7 +70,7 @@ def parse_kyat(s: Column) -> Column:
         part = lambda i, size: F.coalesce(F.regexp_extract(x, p, i).try_cast("long"), F.lit(0).cast("long")) * size
         return F.when(x.rlike(p) & x.rlike(r"\d"), part(1, 10**12) + part(2, 10**8) + part(3, 10**4) + part(4, 1))
 
-    return _bound(s, of)
+    return bound(s, of)
 
 
 def backoff_seconds(attempt: Column, base: float = 60.0, most: float = 1200.0) -> Column:

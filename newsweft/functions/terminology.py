@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import SPACE, nfkc, strip
+from .text import SPACE, bound, nfkc, strip
 
 #: Stands for a matched term until its form is chosen; a private-use character, so no text has it.
 MARK = "\ue000"
@@ -103,9 +103,9 @@ def official(source: Column) -> Column:
     return source_style(source).isin(*OFFICIAL_SOURCES)
 
 
-def _unless_error(c: Column, out: Column) -> Column:
-    """Texts that report an error stay as they are."""
-    return F.when(F.startswith(c, F.lit("ERROR:")), c).otherwise(out)
+def _unless_error(c: Column, of) -> Column:
+    """``of`` a text; texts that report an error stay as they are."""
+    return bound(c, lambda x: F.when(F.startswith(x, F.lit("ERROR:")), x).otherwise(of(x)))
 
 
 def _marked(c: Column, patterns: Sequence[str]) -> Column:
@@ -124,40 +124,51 @@ def _chosen(c: Column, full: str, short: str, shorten: bool) -> Column:
 
 
 def dkba(c: Column, shorten: bool = False) -> Column:
-    return _unless_error(c, _chosen(_marked(c, DKBA_PATTERNS), DKBA_FULL, DKBA_SHORT, shorten))
+    return _unless_error(c, lambda x: bound(_marked(x, DKBA_PATTERNS), lambda m: _chosen(m, DKBA_FULL, DKBA_SHORT, shorten)))
 
 
 def army(c: Column) -> Column:
-    out = c
-    for p in ARMY_PATTERNS:
-        out = F.regexp_replace(out, p, ARMY)
-    return _unless_error(c, out)
+    def of(x: Column) -> Column:
+        for p in ARMY_PATTERNS:
+            x = F.regexp_replace(x, p, ARMY)
+        return x
 
+    return _unless_error(c, of)
 
-def regime(c: Column, source: Column) -> Column:
-    def chain(rules: Sequence[tuple[str, str]]) -> Column:
-        out = c
-        for a, b in rules:
-            out = F.replace(out, F.lit(a), F.lit(b))
-        return out
 
-    return F.when(official(source), chain(OFFICIAL_REGIME)).otherwise(chain(OTHER_REGIME))
+def _regime(c: Column, style: str) -> Column:
+    for a, b in OFFICIAL_REGIME if style == "official" else OTHER_REGIME:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+def _leader(c: Column, style: str, headline: bool) -> Column:
+    full, short = LEADER_FORMS[style, "headline" if headline else "body"]
+
+    def of(x: Column) -> Column:
+        for p in LEADER_KNOWN:
+            x = F.regexp_replace(x, p, MARK)
+        marked = _marked(x, [LEADER_PREFIX + LEADER_NAME + LEADER_TITLE, TITLE_BEFORE + LEADER_NAME + LEADER_TITLE, LEADER_NAME + LEADER_TITLE])
+        return bound(marked, lambda m: _chosen(m, full, short, shorten=not headline))
+
+    return _unless_error(c, of)
+
+
+def _by_style(source: Column, of) -> Column:
+    return F.when(official(source), of("official")).otherwise(of("other"))
+
+
+def regime(c: Column, source: Column) -> Column:
+    return _by_style(source, lambda style: _regime(c, style))
 
 
 def leader(c: Column, source: Column, headline: bool = False) -> Column:
-    marked = c
-    for p in LEADER_KNOWN:
-        marked = F.regexp_replace(marked, p, MARK)
-    marked = _marked(marked, [LEADER_PREFIX + LEADER_NAME + LEADER_TITLE, TITLE_BEFORE + LEADER_NAME + LEADER_TITLE, LEADER_NAME + LEADER_TITLE])
-    place = "headline" if headline else "body"
-    form = lambda style: _chosen(marked, *LEADER_FORMS[style, place], shorten=not headline)
-    return _unless_error(c, F.when(official(source), form("official")).otherwise(form("other")))
+    return _by_style(source, lambda style: _leader(c, style, headline))
 
 
 def house_terms(c: Column, source: Column, headline: bool = False) -> Column:
     """All rules in their order: DKBA, leader, army, regime."""
-    out = army(leader(dkba(c, shorten=not headline), source, headline))
-    return _unless_error(c, regime(out, source))
+    return _by_style(source, lambda style: _unless_error(c, lambda x: _regime(army(_leader(dkba(x, shorten=not headline), style, headline)), style)))
 
 
 def without_current_year(c: Column, year: int) -> Column:

@@ -46,6 +46,11 @@ NO_TEXT = [
 ]
 
 
+def bound(value: Column, of) -> Column:
+    """``of`` a value that is worked out once, however often ``of`` names it; not for Python UDFs inside."""
+    return F.transform(F.array(value), of)[0]
+
+
 def strip(c: Column) -> Column:
     """Trim all Unicode white space; Spark's trim() only trims blanks."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
