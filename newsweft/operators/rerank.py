@@ -60,6 +60,19 @@ def model_usage(tries: DataFrame) -> DataFrame:
     return ok.groupBy(F.col("u.model").alias("model")).agg(F.sum("u.size").alias("n"))
 
 
+def answered(tries: DataFrame) -> DataFrame:
+    """``call, model, body``: the first answer of the first model; where its errors call for the second model, that one's; other calls stay unanswered.
+
+    ``tries`` has ``call, model, second, attempt, error, body``; ``second`` says that a try was the second model's.
+    """
+    first = F.min_by(F.struct("model", "body"), F.when(~F.col("second") & F.col("body").isNotNull(), F.col("attempt")))
+    other = F.min_by(F.struct("model", "body"), F.when(F.col("second") & F.col("body").isNotNull(), F.col("attempt")))
+    due = F.bool_or(~F.col("second") & responses.second_model(F.col("error")))
+    has = lambda second: F.count_if((F.col("second") == second) & F.col("body").isNotNull()) > 0
+    g = tries.groupBy("call").agg(first.alias("a"), other.alias("b"), due.alias("due"), has(False).alias("one"), has(True).alias("two"))
+    return g.select("call", F.when(F.col("one"), F.col("a")).when(F.col("due") & F.col("two"), F.col("b")).alias("r")).filter("r IS NOT NULL").select("call", "r.model", "r.body")
+
+
 def finals(rows: DataFrame, scored: DataFrame, key: str = "row_index") -> DataFrame:
     """``key, ml, llm, final, source, reason`` of every row; rows without result keep their first score."""
     j = rows.join(scored, key, "left")

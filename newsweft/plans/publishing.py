@@ -73,6 +73,19 @@ def context_payloads(spark, sf_dir):
     return rerank.payloads(rows, ctx, "id")
 
 
+_CALLS = [
+    (1, "one", False, 1, "HTTP 503", None), (1, "one", False, 2, None, "late"), (1, "two", True, 1, None, "other"),
+    (2, "one", False, 1, "RESOURCE_EXHAUSTED", None), (2, "two", True, 1, "HTTP 500", None), (2, "two", True, 2, None, "second"),
+    (3, "one", False, 1, "HTTP 400", None), (3, "two", True, 1, None, "not due"),
+    (4, "one", False, 1, "rate limit", None),
+]
+
+
+@query(literal("call INTEGER, model VARCHAR, body VARCHAR", [(1, "one", "late"), (2, "two", "second")]))
+def model_fallback(spark, sf_dir):
+    return rerank.answered(spark.createDataFrame(_CALLS, "call int, model string, second boolean, attempt int, error string, body string"))
+
+
 # --- dedupe answers ---
 
 _ITEMS = [("u1/", "DVB"), ("u2", "DVB"), ("u3", "Irrawaddy"), ("u4", "BBC")]

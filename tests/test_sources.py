@@ -39,3 +39,24 @@ def test_append_is_idempotent(spark, tmp_path):
     for c in ("c1", "c2"):
         incremental.append_new(incremental.file_stream(spark, src, "*.parquet", like), "k", out, str(tmp_path / c))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_combined_pdf(spark):
+    import io
+    import re
+
+    from newsweft.sources import pdf
+
+    long = "long text " * 900
+    d = spark.createDataFrame([(2, "二", "DVB", "2026-05-09", long, "https://x/(b)"), (1, "題 Title", None, None, "本文\nline", None), (3, None, None, None, None, None)], "n int, title string, source string, date string, body string, url string")
+    out = io.BytesIO()
+    n = pdf.combined(d, "n", out)
+    data = out.getvalue()
+    assert n == len(re.findall(rb"/Type /Page /", data)) > 4 and data.startswith(b"%PDF") and data.endswith(b"%%EOF\n")
+    shown = [bytes.fromhex(x.decode()).decode("utf-16-be") for x in re.findall(rb"<([0-9a-f]+)> Tj", data)]
+    assert shown[:3] == ["題 Title", "本文", "line"] and " ".join(shown[5:-1]).split() == long.split() and b"(https://x/%28b%29)" in data
+    start = int(re.search(rb"startxref\n(\d+)", data)[1])
+    for k, at in enumerate(re.findall(rb"(\d{10}) 00000 n", data[start:]), 1):
+        assert data[int(at) :].startswith(b"%d 0 obj" % k)
+    assert pdf.render([], io.BytesIO()) == 1
+    assert all(sum(pdf.advance(c) for c in x) * 10 <= 100 for x in pdf.wrapped("word 漢字漢字漢字漢字漢字漢字 unbreakablewordthatislong x", 10, 100))
