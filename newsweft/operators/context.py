@@ -52,26 +52,32 @@ def with_grams(df: DataFrame, key: str, out: str = "grams") -> DataFrame:
     return df.withColumn(out, run(F.coalesce(key, F.lit(""))))
 
 
-def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """How many grams each of ``a`` has in common with each of ``b``."""
+def _shared(a: list[np.ndarray], b: list[np.ndarray], same: bool) -> np.ndarray:
+    """How many grams each of ``a`` has in common with each of ``b``; if they are the ``same`` rows, of different rows only."""
     left, right = (np.concatenate([*x, np.empty(0, np.uint64)]) for x in (a, b))
     row, col = (np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b))
-    common, at = np.unique(left, return_inverse=True)
-    place = np.searchsorted(common, right)
-    hit = place < len(common)
-    hit[hit] = common[place[hit]] == right[hit]
-    place, col = place[hit], col[hit]
-    by_a, by_b = np.argsort(at, kind="stable"), np.argsort(place, kind="stable")
-    at, row, place, col = at[by_a], row[by_a], place[by_b], col[by_b]
+    both = np.concatenate([left, right])
+    order = np.argsort(both)
+    both = both[order]
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    gram = np.cumsum(new) - 1
+    ours = order < len(left)
+    n = gram[-1] + 1 if len(gram) else 0
+    use = (np.bincount(gram[ours], minlength=n) > 0) & (np.bincount(gram[~ours], minlength=n) > 0)
+    if same:  # a gram of one row adds to nothing but the row itself
+        use &= np.bincount(gram[ours], minlength=n) > 1
+    column, kept = np.cumsum(use) - 1, use[gram]
+    at, row = column[gram[kept & ours]], row[order[kept & ours]]
+    place, col = column[gram[kept & ~ours]], col[order[kept & ~ours] - len(left)]
     out = np.zeros((len(a), len(b)), np.float32)
-    for first in range(0, len(common), COLUMNS):
+    m, t = np.zeros((COLUMNS, len(a)), np.float32), np.zeros((COLUMNS, len(b)), np.float32)
+    for first in range(0, int(use.sum()), COLUMNS):
         x, y = (slice(*np.searchsorted(p, [first, first + COLUMNS])) for p in (at, place))
-        if x.start < x.stop and y.start < y.stop:
-            wide = min(COLUMNS, len(common) - first)
-            m, n = np.zeros((len(a), wide), np.float32), np.zeros((len(b), wide), np.float32)
-            m[row[x], at[x] - first] = 1
-            n[col[y], place[y] - first] = 1
-            out += m @ n.T
+        m[:], t[:] = 0, 0
+        m[at[x] - first, row[x]] = 1
+        t[place[y] - first, col[y]] = 1
+        out += m.T @ t
     return out
 
 
@@ -120,7 +126,7 @@ def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool,
     sets = [[np.frombuffer(g, np.uint64) for g in x["grams"]] for x in (a, b)]
     na, nb = (np.array([len(g) for g in s]) for s in sets)
     low = np.minimum(na[:, None], nb[None, :])
-    sim = np.divide(_shared(*sets).astype(float), low, out=np.zeros(low.shape), where=low > 0)
+    sim = np.divide(_shared(*sets, a is b).astype(float), low, out=np.zeros(low.shape), where=low > 0)
     points, why = np.zeros(sim.shape), {}
     for name in ("url", "dup", "title"):
         x, y = (t[name].fillna("").to_numpy(str) for t in (a, b))
