@@ -414,21 +414,23 @@ def _link_oversize(rest: DataFrame, links: DataFrame, link, node: int) -> DataFr
 
     Members are dealt into blocks and compared there and with the node's first
     member, which every block has: a row a member. Those that then are not in the
-    first member's component are compared with every block.
+    first member's component are compared with every block. What is known of a
+    node meets its members block by block, so no node is one task.
     """
     block = lambda c, n: F.pmod(F.xxhash64(c, F.lit(7)), F.ceil(n / node))
+    many = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(n / node) - 1))
+    rest = rest.withColumn("block", block(F.col("rep"), F.col("n")))
     nodes = rest.groupBy("path").agg(F.min("rep").alias("first"), F.max("n").alias("n"))
-    blocks = nodes.select(F.col("path").alias("p"), F.col("first").alias("rep"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / node) - 1)).alias("block"))
-    dealt = rest.select(F.col("path").alias("p"), "rep", block(F.col("rep"), F.col("n")).alias("block"))
+    blocks = nodes.select(F.col("path").alias("p"), F.col("first").alias("rep"), many(F.col("n")).alias("block"))
+    dealt = rest.select(F.col("path").alias("p"), "rep", "block")
     once = link(dealt.unionByName(blocks).select(F.xxhash64("p", "block").alias("path"), "rep").distinct())
     all_links = links.unionByName(once)
     comp = persist(connected_components(all_links), "components")
     of = comp.select(F.col("node").alias("rep"), "component")
-    heads = nodes.join(of.withColumnRenamed("rep", "first").withColumnRenamed("component", "head"), "first", "left").select("path", F.coalesce("head", "first").alias("head"))
-    left = rest.join(of, "rep", "left").join(heads, "path").filter(F.coalesce("component", "rep") != F.col("head")).select("path", "rep", "n")
+    heads = nodes.join(of.withColumnRenamed("rep", "first").withColumnRenamed("component", "head"), "first", "left").select("path", F.coalesce("head", "first").alias("head"), many(F.col("n")).alias("block"))
+    left = rest.join(of, "rep", "left").join(heads, ["path", "block"]).filter(F.coalesce("component", "rep") != F.col("head")).select("path", "rep", "n", "block")
     left = persist(left, "residual")
-    sizes = left.groupBy("path").agg(F.count(F.lit(1)).alias("k"))
-    many = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(n / node) - 1))
-    one = left.join(sizes, "path").select(F.col("path").alias("p"), "rep", block(F.col("rep"), F.col("k")).alias("i"), many(F.col("n")).alias("j"))
-    other = rest.join(sizes, "path").select(F.col("path").alias("p"), "rep", many(F.col("k")).alias("i"), block(F.col("rep"), F.col("n")).alias("j"))
+    sizes = left.groupBy("path").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("_n")).select("path", "k", many(F.col("_n")).alias("block"))
+    one = left.join(sizes, ["path", "block"]).select(F.col("path").alias("p"), "rep", block(F.col("rep"), F.col("k")).alias("i"), many(F.col("n")).alias("j"))
+    other = rest.join(sizes, ["path", "block"]).select(F.col("path").alias("p"), "rep", many(F.col("k")).alias("i"), F.col("block").alias("j"))
     return once.unionByName(link(one.unionByName(other).select(F.xxhash64("p", "i", "j").alias("path"), "rep").distinct()))
