@@ -145,7 +145,9 @@ def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool,
             best = np.arange(len(i)) - start[i] < most
             i, j = i[best], j[best]
         x, y = (j, i) if turn else (i, j)
-        reasons = [",".join(REASONS[n] for n in why if why[n][p, q]) for p, q in zip(x, y)]
+        # Python rounds the similarity as it is in binary; format_string() rounds its shortest decimal form.
+        near = [f"text_similarity={v:.2f}" if v >= least else "" for v in sim[x, y]]
+        reasons = [",".join(filter(None, [*(REASONS[n] for n in why if why[n][p, q]), v])) for p, q, v in zip(x, y, near)]
         yield pd.DataFrame({"id": own[i], "other": other[j], "sim": sim[x, y], "points": points[x, y], "reasons": reasons})
 
 
@@ -156,9 +158,8 @@ def context(found: DataFrame, others: DataFrame, fields: dict[str, Column], most
     """
     similar = F.col("sim") >= LEAST
     score = F.col("points") + F.when(similar, F.col("sim") * FACTOR).otherwise(0.0)
-    reason = F.concat_ws(",", F.when(F.col("reasons") != "", F.col("reasons")), F.when(similar, F.concat(F.lit("text_similarity="), F.format_string("%.2f", "sim"))))
     w = Window.partitionBy("id").orderBy(F.desc(F.round("score", 6)), "other")
-    top = found.select("id", "other", score.alias("score"), reason.alias("reason")).withColumn("rn", F.row_number().over(w).cast("long")).filter(F.col("rn") <= most)
+    top = found.select("id", "other", score.alias("score"), F.col("reasons").alias("reason")).withColumn("rn", F.row_number().over(w).cast("long")).filter(F.col("rn") <= most)
     item = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()], F.col("reason").alias("match_reason"), F.round("score", 2).alias("match_score")), {"ignoreNullFields": "false"})
     # The budget counts a blank behind each colon and comma.
     sized = top.join(others, "other").withColumn("size", F.length(item) + 2 * (len(fields) + 2) - 1)
