@@ -58,4 +58,58 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
 FROM firsts
 """
 
-ORACLE_SQL = {"op1_near_dedup": OP1, "op4_substring_dedup": OP4, "op6_warc": OP6}
+_PHRASE = "array_to_string(p.w[{}:{}], ' ')"
+
+
+def _cut(k: int) -> str:
+    """The count of a phrase's first ``k`` words and of its rest."""
+    return f"""
+  SELECT p.lang, p.phrase, {k} AS k, x.f AS l, y.f AS r FROM found p
+  JOIN counts x ON x.lang = p.lang AND x.phrase = {_PHRASE.format(1, k)} JOIN counts y ON y.lang = p.lang AND y.phrase = {_PHRASE.format(k + 1, 4)}
+  WHERE p.size > {k}"""
+
+
+OP11 = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+counts AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, any_value(w[i:i + k - 1]) AS w, k AS size, count(*) AS f
+  FROM places, range(1, 5) t(k) WHERE i + k - 1 <= len(w) GROUP BY lang, phrase, k),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang),
+found AS (SELECT * FROM counts WHERE size > 1 AND f >= 30),
+cuts AS ({_cut(1)} UNION ALL {_cut(2)} UNION ALL {_cut(3)}),
+worst AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn
+  FROM (SELECT c.*, p.f AS a, 2000000::HUGEINT * p.f // (c.l + c.r) AS score FROM cuts c JOIN found p USING (lang, phrase))),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(f) AS most
+  FROM found, range(2, 4) t(k), range(1, 4) u(i) WHERE k < size AND i + k - 1 <= size GROUP BY ALL),
+kept AS (
+  SELECT x.lang, x.phrase, x.a, x.l, x.r, t.n, x.score
+  FROM worst x JOIN totals t USING (lang) LEFT JOIN inside s ON s.lang = x.lang AND s.phrase = x.phrase
+  WHERE x.turn = 1 AND (s.most IS NULL OR 100::HUGEINT * s.most < 80::HUGEINT * x.a))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, r.vec_id AS b, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+pos AS (SELECT a, b, score, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS nth FROM s WHERE same),
+neg AS (
+  SELECT p.a, p.b AS p, n.b, p.score AS ps, n.score AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS rank
+  FROM pos p JOIN s n ON n.a = p.a AND NOT n.same AND 50::HUGEINT * p.score <= 100::HUGEINT * n.score AND 100::HUGEINT * n.score <= 95::HUGEINT * p.score
+  WHERE p.nth <= 5)
+SELECT a AS anchor_id, p AS positive_id, rank::INTEGER AS rank, b AS negative_id, ps AS positive_score, ns AS negative_score
+FROM neg WHERE rank <= 3
+"""
+
+ORACLE_SQL = {"op11_collocations": OP11, "op13_hard_negatives": OP13, "op1_near_dedup": OP1, "op4_substring_dedup": OP4, "op6_warc": OP6}

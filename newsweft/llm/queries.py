@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, warc
+from . import bpe, collocations, fingerprints, hard_negatives, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, warc
 from .oracles import ORACLE_SQL  # noqa: F401  registered beside the queries
 
 
@@ -52,6 +53,16 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_pairs(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup,
     op2_quality_lm,
@@ -63,4 +74,6 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_rules,
     op9_lm_scoring,
     op10_fingerprints,
+    op11_collocations,
+    op13_hard_negatives,
 )}
