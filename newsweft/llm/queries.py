@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, fingerprints, hard_negatives, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, warc
+from . import bpe, collocations, fingerprints, hard_negatives, lm_scoring, near_dedup, packing, quality_lm, quality_rules, substring_dedup, token_files, toxicity, warc
 from .oracles import ORACLE_SQL  # noqa: F401  registered beside the queries
 
 
@@ -57,6 +57,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -75,5 +79,6 @@ QUERIES = {f.__name__: f for f in (
     op9_lm_scoring,
     op10_fingerprints,
     op11_collocations,
+    op12_toxicity,
     op13_hard_negatives,
 )}
