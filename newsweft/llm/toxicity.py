@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -340,11 +340,13 @@ def _step(net: Network, state: dict, x: Inputs, windows: np.ndarray, labels: np.
 
 def fit_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> tuple[list[bytes], np.ndarray]:
     """At most ``rows`` labelled rows of either class outside the held-out fold, first by a hash of their id."""
-    fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("y IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
-    texts = docs.filter((fold != HELD_OUT) & (F.octet_length(text_col) <= most_bytes)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    both = texts.join(marks, "id")
-    found = [r for y in (0, 1) for r in both.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id", "text").limit(rows).collect()]
+    fold = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % FOLDS
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter((fold != HELD_OUT) & F.col("y").isin(0, 1) & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
+    first = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
+    marks = marks.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= rows).drop("nth")
+    # 2 * rows ids, so they are broadcast and no text moves that isn't fitted; repeated rows count once.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= most_bytes)
+    found = texts.join(F.broadcast(marks), "id").groupBy("id", "y").agg(F.min("text").alias("text")).orderBy("y", F.xxhash64("id"), "id").collect()
     return [r["text"].encode() for r in found], np.array([r["y"] for r in found], np.float32)
 
 
