@@ -122,6 +122,12 @@ def pairs(left: DataFrame, right: DataFrame | None, group: str, least: float = L
     return rows.groupBy(group, "lo", "hi").applyInPandas(work, PAIR)
 
 
+def _codes(x: pd.Series, y: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that are equal for equal texts, however long; -1 for blank ones."""
+    codes, _ = pd.factorize(pd.concat([x, y]).replace("", None))
+    return codes[: len(x)], codes[len(x) :]
+
+
 def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool, least: float, most: int | None) -> Iterator[pd.DataFrame]:
     sets = [[np.frombuffer(g, np.uint64) for g in x["grams"]] for x in (a, b)]
     na, nb = (np.array([len(g) for g in s]) for s in sets)
@@ -129,8 +135,8 @@ def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool,
     sim = np.divide(_shared(*sets, a is b).astype(float), low, out=np.zeros(low.shape), where=low > 0)
     points, why = np.zeros(sim.shape), {}
     for name in ("url", "dup", "title"):
-        x, y = (t[name].fillna("").to_numpy(str) for t in (a, b))
-        why[name] = (x[:, None] == y[None, :]) & (x != "")[:, None]
+        x, y = _codes(a[name], b[name])
+        why[name] = (x[:, None] == y[None, :]) & (x >= 0)[:, None]
         points += why[name] * POINTS[name]
     score = points + np.where(sim >= least, sim * FACTOR, 0.0)
     ia, ib = a["id"].to_numpy(), b["id"].to_numpy()

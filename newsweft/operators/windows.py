@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import written
 from .joins import small
 
 SALTS = 16
@@ -62,9 +59,7 @@ def numbered(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     before it, of which only counts are gathered, a row a group and range.
     """
     ranged = df.repartitionByRange(*by, *order).withColumn("_p", F.spark_partition_id())
-    path = shared_folder(df.sparkSession, "numbered")
-    ranged.write.parquet(path)
-    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    ranged = written(ranged, "numbered")
     counts = ranged.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*by, *([] if by else [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     nth = F.row_number().over(Window.partitionBy(*by, "_p").orderBy(*order))
@@ -81,31 +76,6 @@ def fixed_batches(df: DataFrame, by: list[str], order: list[str], n: int) -> Dat
     return numbered(df, by, order).withColumn("batch", F.floor((F.col("rn") - 1) / n).cast("long"))
 
 
-def greedy_chunks(df: DataFrame, by: list[str], order: list[str], size: str, most_rows: int, most_bytes: int) -> DataFrame:
-    """``chunk``: rows in order; a new one starts where rows or bytes would exceed the limits.
-
-    Sequential by nature, so each group streams through one task in batches with
-    only its running totals in memory.
-    """
-    cols = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", chunk long"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, rows, used, chunk = None, 0, 0, 0
-        for pdf in batches:
-            out = []
-            for key, n in zip(pdf[by].itertuples(index=False, name=None), pdf[size]):
-                if key != group:
-                    group, rows, used, chunk = key, 0, 0, 0
-                if rows and (rows + 1 > most_rows or used + n > most_bytes):
-                    rows, used, chunk = 0, 0, chunk + 1
-                rows, used = rows + 1, used + int(n)
-                out.append(chunk)
-            yield pdf.assign(chunk=out)
-
-    return df.repartition(*by).sortWithinPartitions(*by, *order).select(*cols).mapInPandas(run, schema)
-
-
 def manual_rank(df: DataFrame, by: list[str], key: str, order: str, adopted: Column) -> DataFrame:
     """Rank of each adopted key by its first row in the group."""
     first = df.filter(adopted).groupBy(*by, key).agg(F.min(order).alias("_first"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
-from ..operators import context, dedupe, joins, similarity, windows
+from ..operators import context, cutting, dedupe, joins, similarity, windows
 from .registry import query, table
 
 KEYWORDS = ["tion", "lich", "ment", "ción"]
@@ -178,7 +178,7 @@ _FULL = "r.rows + 1 > 25 OR r.used + o.n_chars > 180000"
  SELECT source, doc_id, n_chars, CAST(chunk AS BIGINT) AS chunk FROM r""")
 def write_chunks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars")
-    return windows.greedy_chunks(d, ["source"], ["doc_id"], "n_chars", 25, 180_000)
+    return cutting.greedy_chunks(d, ["source"], ["doc_id"], "n_chars", 25, 180_000)
 
 
 @query("WITH " + ARTICLES + """, s AS (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 1 WHEN doc_id % 3 = 0 THEN 2 ELSE 3 END AS stage FROM articles), m AS (SELECT source, date, min(stage) AS stage FROM s GROUP BY ALL)

@@ -37,7 +37,7 @@ def rss_items(spark, sf_dir):
     return feeds.rss_items(feed).select("source", "doc_id", "title", "link")
 
 
-@query("WITH " + ARTICLES + " SELECT source, doc_id, doc_id AS id, url AS link, trim(regexp_replace(regexp_replace(title, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM articles")
+@query("WITH " + ARTICLES + r" SELECT source, doc_id, doc_id AS id, url AS link, trim(regexp_replace(regexp_replace(title, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM articles")
 def rest_posts(spark, sf_dir):
     a = articles(spark, sf_dir)
     post = F.to_json(F.array(F.struct(F.col("doc_id").alias("id"), F.col("url").alias("link"), F.struct(F.col("title").alias("rendered")).alias("title"), F.col("title").alias("excerpt"))))

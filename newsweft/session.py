@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of long texts must not make huge Arrow batches.
 ARROW_BYTES = "16m"
@@ -23,6 +25,7 @@ DEFAULTS = {
 }
 
 _shipped: set[str] = set()
+_folders: list[tuple[SparkSession, str]] = []
 
 
 def get_session(app: str = "newsweft", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,4 +59,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="newsweft-")
-    return f"{root.rstrip('/')}/newsweft-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/newsweft-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    _folders.append((spark, path))
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back, which cuts its lineage; deleted when the process ends."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def release_folders() -> None:
+    """Delete the shared folders of this process; results that still read them become unreadable."""
+    while _folders:
+        spark, path = _folders.pop()
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_local_date
 from ..functions.text import nfc, nz
-from ..operators.windows import greedy_chunks
+from ..operators.cutting import greedy_chunks
 
 #: Columns of the exports and their order, rows and bytes of one write.
 EXPORT = {"メディア名": "source", "日本語タイトル": "title_ja", "発行日": "date", "URL": "url"}
@@ -60,7 +60,7 @@ def json_bytes(values: Column) -> Column:
 
 
 def write_plan(rows: DataFrame, order: str, cells: list[str], most_rows: int = CHUNK_ROWS, most_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``chunk, first, n, bytes`` of the writes of a sheet, whose first data row is 2. A sheet's rows are one sequence, bounded as a sheet is."""
+    """``chunk, first, n, bytes`` of the writes of a sheet, whose first data row is 2."""
     sized = rows.select(F.lit(0).alias("sheet"), F.col(order).cast("long").alias("row"), json_bytes(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells])).cast("long").alias("bytes"))
     c = greedy_chunks(sized, ["sheet"], ["row"], "bytes", most_rows, most_bytes)
     return c.groupBy("chunk").agg((F.min("row") + 1).alias("first"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
