@@ -187,31 +187,26 @@ def without_current_year(c: Column, year: int) -> Column:
     return run(c)
 
 
-def apply_glossary(c: Column, source_text: Column, glossary: Sequence[dict], prefer: str = "body_ja") -> Column:
-    """Terms of a glossary in output, if the source text has them; entries apply one after another.
+def apply_entries(c: Column, entries: Column) -> Column:
+    """Glossary entries in output, one after another; ``entries`` are a row's own, ``array<struct<mm, en, ja>>`` in order.
 
-    ``glossary`` rows have mm, en, body_ja, title_ja: a small table, read on the
-    driver. ``en`` is replaced where no Latin letter stands beside it.
+    ``en`` is replaced where no Latin letter stands beside it.
     """
-    rules = [(g.get("mm") or "", g.get("en") or "", g.get(prefer) or "") for g in glossary]
-    rules = [(mm, en, ja, re.compile(rf"(?<![A-Za-z]){re.escape(en)}(?![A-Za-z])") if en else None) for mm, en, ja in rules if ja and (mm or en)]
 
     @F.pandas_udf(T.StringType())
-    def run(out: pd.Series, src: pd.Series) -> pd.Series:
-        def one(t: str | None, s: str | None) -> str:
-            t, s = t or "", s or ""
-            low = s.lower()
-            for mm, en, ja, pattern in rules:
-                if (mm and mm in s) or (en and en.lower() in low):
-                    if pattern:
-                        t = pattern.sub(lambda _: ja, t)  # noqa: B023
-                    if mm:
-                        t = t.replace(mm, ja)
+    def run(out: pd.Series, entries: pd.Series) -> pd.Series:
+        def one(t: str | None, own) -> str:
+            t = t or ""
+            for e in own if own is not None else ():
+                if e["en"]:
+                    t = re.sub(rf"(?<![A-Za-z]){re.escape(e['en'])}(?![A-Za-z])", lambda _: e["ja"], t)  # noqa: B023
+                if e["mm"]:
+                    t = t.replace(e["mm"], e["ja"])
             return t
 
-        return pd.Series([one(t, s) for t, s in zip(out, src)])
+        return pd.Series([one(t, e) for t, e in zip(out, entries)])
 
-    return run(c, source_text)
+    return run(c, entries)
 
 
 def without_phrases(c: Column, phrases: Sequence[str]) -> Column:

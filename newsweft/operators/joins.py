@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.automaton import Automaton
+from ..functions.terminology import apply_entries
+from ..session import written
+
 #: Bytes up to which a side that is checked may be broadcast.
 BROADCAST_BYTES = 8 << 20
+#: Characters of needles up to which a glossary is sent as an automaton (some 60 bytes each), and those of a gram on which larger ones are joined.
+NEEDLE_CHARACTERS, ANCHOR = 2_000_000, 4
 
 
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -50,19 +57,99 @@ def overlay(old: DataFrame, new: DataFrame, key: str, cols: list[str]) -> DataFr
     return old.join(n, key, "full").select(key, *[F.coalesce(f"_n_{c}", c).alias(c) for c in cols])
 
 
-def glossary_matches(texts: DataFrame, glossary: DataFrame, text_col: str, local: str = "mm", latin: str = "en") -> DataFrame:
+def _needles(glossary: DataFrame, local: str, latin: str) -> DataFrame:
+    """``glossary`` with what is looked for: ``_mm`` literally, ``_en`` in lower case; rows with neither find nothing."""
+    named = glossary.withColumn("_mm", F.coalesce(F.col(local), F.lit(""))).withColumn("_en", F.lower(F.coalesce(F.col(latin), F.lit(""))))
+    return named.filter("_mm <> '' OR _en <> ''")
+
+
+def _by_automaton(texts: DataFrame, glossary: DataFrame, text_col: str, needles: list) -> DataFrame:
+    """Texts beside the glossary rows that occur in them; ``needles`` are the rows of ``glossary``, which is small."""
+    numbers: list[dict[str, list[int]]] = [{}, {}]
+    for i, r in enumerate(needles):
+        for found, n in zip(numbers, (r["_mm"], r["_en"])):
+            if n:
+                found.setdefault(n, []).append(i)
+    owners = [list(n.values()) for n in numbers]
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast([Automaton(list(n)) for n in numbers])  # bounded by NEEDLE_CHARACTERS
+
+    @F.pandas_udf("array<int>")
+    def hits(text: pd.Series, lower: pd.Series) -> pd.Series:
+        out: list[set[int]] = [set() for _ in text]
+        for automaton, own, column in zip(sent.value, owners, (text, lower)):
+            for t, n in zip(*automaton.find(column.tolist())):
+                out[t].update(own[n])
+        return pd.Series([sorted(x) for x in out])
+
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(needles)], "_i int, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in glossary.schema))
+    found = texts.withColumn("_i", F.explode(hits(F.coalesce(text_col, F.lit("")), F.lower(F.coalesce(text_col, F.lit(""))))))
+    return found.join(F.broadcast(rows), "_i").drop("_i", "_mm", "_en")
+
+
+def _by_grams(texts: DataFrame, glossary: DataFrame, text_col: str) -> DataFrame:
+    """As ``_by_automaton`` for a glossary of any size: a join on the gram of each needle that is rarest among needles, then a look."""
+    texts = written(texts.withColumn("_t", F.monotonically_increasing_id()), "texts")
+    glossary = written(glossary.withColumn("_i", F.monotonically_increasing_id()), "glossary")
+    cut = lambda c, n: F.transform(F.sequence(F.lit(0), F.length(c) - n), lambda i: F.substring(c, i + 1, n))
+    kinds = []
+    for needle, text in (("_mm", F.coalesce(F.col(text_col), F.lit(""))), ("_en", F.lower(F.coalesce(F.col(text_col), F.lit(""))))):
+        for n in range(1, ANCHOR + 1):
+            size = F.length(needle) == n if n < ANCHOR else F.length(needle) >= n
+            grams = glossary.filter(size).select("_i", F.col(needle).alias("needle"), F.explode(F.array_distinct(cut(F.col(needle), F.lit(n)))).alias("gram"))
+            often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+            anchors = grams.join(often, "gram").groupBy("_i").agg(F.min_by(F.struct("needle", "gram"), F.struct("often", "gram")).alias("x")).select("_i", "x.needle", "x.gram")
+            places = texts.select("_t", F.explode(F.when(F.length(text) >= n, F.array_distinct(cut(text, F.lit(n))))).alias("gram"))
+            seen = places.join(anchors, "gram").join(texts.select("_t", text.alias("text")), "_t").filter(F.contains("text", F.col("needle")))
+            kinds.append(seen.select("_t", "_i"))
+    pairs = kinds[0]
+    for k in kinds[1:]:
+        pairs = pairs.unionByName(k)
+    return texts.join(pairs.distinct(), "_t").join(glossary, "_i").drop("_t", "_i", "_mm", "_en")
+
+
+def occurrences(texts: DataFrame, glossary: DataFrame, text_col: str, local: str, latin: str, limit: int = NEEDLE_CHARACTERS) -> DataFrame:
+    """Texts beside each glossary row whose ``local`` occurs in them literally, or ``latin`` without regard to case.
+
+    A glossary of up to ``limit`` characters and as many bytes of other columns is
+    sent as an automaton that reads each text once; beyond that, texts and needles
+    meet on a shared gram. Never all pairs. Null and blank needles find nothing, null
+    texts hold nothing; repeated rows of either side stay.
+    """
+    named = _needles(glossary, local, latin)
+    size = named.agg(F.sum(F.length("_mm") + F.length("_en") + F.lit(8)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*glossary.columns)))).alias("bytes")).first()
+    if (size["n"] or 0) <= limit and (size["bytes"] or 0) <= 4 * limit:
+        return _by_automaton(texts, named, text_col, named.collect())
+    return _by_grams(texts, named, text_col)
+
+
+def glossary_matches(texts: DataFrame, glossary: DataFrame, text_col: str, local: str = "mm", latin: str = "en", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
     """Texts and the glossary rows that occur in them: ``mm`` literally, ``en`` without regard to case."""
-    hit = lambda c, t: (F.col(c) != "") & F.contains(t, F.col(c))
-    return texts.join(small(glossary), hit(local, F.col(text_col)) | ((F.col(latin) != "") & F.contains(F.lower(text_col), F.lower(latin))))
+    return occurrences(texts, glossary, text_col, local, latin, limit)
 
 
-def region_matches(texts: DataFrame, regions: DataFrame, text_col: str, local: str = "mm", latin: str = "en") -> DataFrame:
-    """As glossary_matches on whole names: no Burmese letter beside ``mm``, word ends around ``en``."""
+def region_matches(texts: DataFrame, regions: DataFrame, text_col: str, local: str = "mm", latin: str = "en", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
+    """As glossary_matches on whole names: no Burmese letter beside ``mm``, word ends around ``en``. Only what occurs is looked at by pattern."""
     quote = lambda c: F.concat(F.lit("\\Q"), F.col(c), F.lit("\\E"))
     mm = F.concat(F.lit(r"(?<![\x{1000}-\x{109F}])"), quote(local), F.lit(r"(?![\x{1000}-\x{109F}])"))
-    en = F.concat(F.lit(r"(?i)\b"), quote(latin), F.lit(r"\b"))
+    en = F.concat(F.lit(r"(?iu)\b"), quote(latin), F.lit(r"\b"))
     rule = ((F.col(local) != "") & F.rlike(text_col, mm)) | ((F.col(latin) != "") & F.rlike(text_col, en))
-    return texts.join(small(regions.dropDuplicates([local, latin])), rule)
+    return occurrences(texts, regions.dropDuplicates([local, latin]), text_col, local, latin, limit).filter(rule)
+
+
+def with_glossary(rows: DataFrame, glossary: DataFrame, out_col: str, source_col: str, order: str, prefer: str = "body_ja", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
+    """``rows`` with the glossary's terms put into ``out_col``, of those entries that occur in ``source_col``, one after another by ``order``.
+
+    ``glossary`` is a table of any size with mm, en and ``prefer``. What one row's
+    entries are together is bounded by its own text.
+    """
+    rows = written(rows.withColumn("_k", F.monotonically_increasing_id()), "rows")
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    terms = glossary.select(F.col(order).alias("_o"), blank("mm").alias("mm"), blank("en").alias("en"), blank(prefer).alias("ja")).filter("ja <> ''")
+    found = occurrences(rows.select("_k", F.col(source_col).alias("_s")), terms, "_s", "mm", "en", limit)
+    entries = found.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("_o", "mm", "en", "ja"))).alias("_e"))
+    joined = rows.join(entries, "_k", "left")
+    return joined.withColumn(out_col, apply_entries(F.col(out_col), F.col("_e"))).drop("_k", "_e")
 
 
 def unmatched(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """The query catalogue; importing this registers every query."""
 
-from . import articles, collection, content, editorial, publishing, records
+from . import articles, collection, content, editorial, matching, publishing, records
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "articles", "collection", "content", "editorial", "publishing", "records"]
+__all__ = ["ORACLE_SQL", "QUERIES", "articles", "collection", "content", "editorial", "matching", "publishing", "records"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import amounts, responses, terminology, text
+from ..operators import joins
 from .registry import literal, query
 
 _TERMS = [
@@ -69,10 +70,10 @@ _GLOSSED = [
 @query(literal("id INTEGER, t VARCHAR", [(r[0], r[4]) for r in _GLOSSED]))
 def glossary_output(spark, sf_dir):
     names = ("mm", "en", "body_ja", "title_ja")
-    rules = [dict(zip(names, g)) for g in _GLOSSARY]
+    rules = spark.createDataFrame([(i, *g) for i, g in enumerate(_GLOSSARY)], "nth int, " + ", ".join(f"{n} string" for n in names))
     rows = spark.createDataFrame([r[:4] for r in _GLOSSED], "id int, t string, src string, prefer string")
-    by = lambda p: terminology.apply_glossary(F.col("t"), F.col("src"), rules, p)
-    return rows.select("id", F.when(F.col("prefer") == "body_ja", by("body_ja")).otherwise(by("title_ja")).alias("t"))
+    by = lambda p: joins.with_glossary(rows.filter(F.col("prefer") == p), rules, "t", "src", "nth", p)
+    return by("body_ja").unionByName(by("title_ja")).select("id", "t")
 
 
 _YEN = [
