@@ -51,19 +51,33 @@ def bundle(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def score(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Train on labelled records and score the pending ones; every record keeps its place in the output."""
-    from .operators import ml
-    from .session import shared_folder
-
-    past, now = _table(spark, a.training), _table(spark, a.records)
-    both = past.drop("label", "weight").unionByName(now)
-    target = shared_folder(spark, "values")
-    ml.features(both, a.key).write.parquet(target)
-    values = spark.read.schema(both.select(a.key).schema.add("feature", "string").add("value", "double")).parquet(target)
-    model = ml.train(past, values.join(past.select(a.key), a.key, "left_semi"), a.key, "label", "weight")
-    own = values.join(now.select(a.key), a.key, "left_semi")
-    parts = ml.contributions(own, model, a.key) if model.constant is None else None
-    ml.aligned(now, ml.decisions(now, parts, model, a.key), a.key, {"score": F.lit(None).cast("int"), "probability": F.lit(None).cast("double")}).write.mode("overwrite").parquet(a.out)
+    """Train on labelled records and score the pending ones; every record keeps its place, and outputs it has already.
+
+    Vocabularies, document frequencies and coefficients come from the training
+    rows alone. A record is pending if it has a text, a day (``--day``) and no final
+    score (``--final``); without these columns, if it has a text. Row numbers tell
+    records apart in the output only: sheets may repeat them.
+    """
+    from .operators import joins, ml
+    from .session import written
+    from .sources.archives import pending, usable
+
+    numbered = lambda df, name: written(df.withColumn("_row", F.monotonically_increasing_id()), name)
+    past = numbered(_table(spark, a.training).filter("label IS NOT NULL"), "training")
+    now = numbered(_table(spark, a.records), "records")
+    texts = [F.coalesce(F.col(c), F.lit("")) for c in ml.BRANCHES if c in now.columns]
+    todo = now.filter(usable(F.concat_ws("\n", *texts)))
+    if a.day in now.columns and a.final in now.columns:
+        todo = todo.filter(pending(F.col(a.day), F.col(a.final)))
+    grams = ml.counts(past, "_row")
+    fitted = ml.fit(grams, past.count())
+    model = ml.train(past, written(ml.transform(past, "_row", grams, fitted), "values"), "_row", "label", "weight")
+    parts = ml.contributions(ml.transform(todo, "_row", ml.counts(todo, "_row"), fitted), model, "_row") if model.constant is None else None
+    outputs = {"score": "int", "probability": "double"}
+    old = now.select("_row", a.key, *[(F.col(c) if c in now.columns else F.lit(None)).cast(t).alias(c) for c, t in outputs.items()])
+    new = ml.decisions(todo, parts, model, "_row").select("_row", *outputs)
+    out = joins.overlay(old.drop(a.key), new, "_row", list(outputs)).join(old.select("_row", a.key), "_row")
+    out.select(a.key, *outputs).write.mode("overwrite").parquet(a.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -81,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     command(collect, ("--lists", need), ("--fetches", need), ("--day", need), ("--cron", {}), ("--only", {}), ("--gate", many | {"help": "SOURCE=SLOT;SLOT"}), ("--store", {}), ("--append", yes))
     command(export, ("--articles", need), ("--daily", yes))
     command(bundle, ("--rows", need))
-    command(score, ("--training", need), ("--records", need), ("--key", {"default": "row_index"}))
+    command(score, ("--training", need), ("--records", need), ("--key", {"default": "row_index"}), ("--day", {"default": "date_key"}), ("--final", {"default": "final_score"}))
     return p
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import length_bin, probability_score
 from ..functions.text import squeeze
+from ..session import written
 
 #: Text columns of the model with their features and weights, the metadata's weight, gram sizes, rows a gram is in at least.
 BRANCHES = {"headline_a": (20_000, 1.2), "headline_final": (20_000, 1.3), "headline_body": (20_000, 1.2), "summary": (40_000, 1.0)}
@@ -32,22 +33,44 @@ def gram_counts(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = SIZ
     return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def tfidf(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = SIZES, min_df: int = MIN_DF, features: int = 20_000, weight: float = 1.0) -> DataFrame:
-    """``key, gram, value``: sublinear tf, smoothed idf, unit length for each row, times the branch's weight.
-
-    The vocabulary is the ``features`` most frequent grams of at least ``min_df``
-    rows; counts are summed up before they are shuffled.
-    """
-    tf = gram_counts(df, key, text, sizes)
+def vocabulary(tf: DataFrame, min_df: int, most: int) -> DataFrame:
+    """``gram, df`` of the ``most`` most frequent grams of at least ``min_df`` rows; counts are summed up before they are shuffled."""
     stats = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total")).filter(F.col("df") >= min_df)
-    vocabulary = stats.orderBy(F.desc("total"), "gram").limit(features).select("gram", "df")
-    n = df.count()
-    w = tf.join(F.broadcast(vocabulary), "gram")  # at most ``features`` rows
-    w = w.select(key, "gram", ((1 + F.log(F.col("n").cast("double"))) * (F.log((1.0 + n) / (1 + F.col("df"))) + 1)).alias("v"))
+    return stats.orderBy(F.desc("total"), "gram").limit(most).select("gram", "df")
+
+
+def weighed(tf: DataFrame, key: str, grams: DataFrame, rows: Column, weight: float) -> DataFrame:
+    """``key, gram, value``: sublinear tf, smoothed idf over ``rows`` fitted rows, unit length for each row, times the branch's weight."""
+    w = tf.join(F.broadcast(grams), "gram")  # a branch's features bound it
+    w = w.select(key, "gram", ((1 + F.log(F.col("n").cast("double"))) * (F.log((1.0 + rows) / (1 + F.col("df"))) + 1)).alias("v"))
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(key)))
     return w.select(key, "gram", (F.col("v") / norm * weight).alias("value"))
 
 
+def tfidf(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = SIZES, min_df: int = MIN_DF, features: int = 20_000, weight: float = 1.0) -> DataFrame:
+    """``weighed`` grams of the same rows that their vocabulary is fitted on."""
+    tf = gram_counts(df, key, text, sizes)
+    return weighed(tf, key, vocabulary(tf, min_df, features), F.lit(df.count()), weight)
+
+
+def counts(df: DataFrame, key: str, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
+    """``branch, key, gram, n`` of all branches, written once."""
+    out = df.sparkSession.createDataFrame([], df.select(F.lit("").alias("branch"), key, F.lit("").alias("gram"), F.lit(0).cast("long").alias("n")).schema)
+    for branch in branches:
+        if branch in df.columns:
+            out = out.unionByName(gram_counts(df, key, branch).withColumn("branch", F.lit(branch)))
+    return written(out, "grams")
+
+
+def fit(counted: DataFrame, rows: int, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
+    """``branch, gram, df, rows``: the vocabularies of ``rows`` training rows, with a text or without; each no larger than its branch's number of features."""
+    own = [vocabulary(counted.filter(F.col("branch") == b), MIN_DF, most).select(F.lit(b).alias("branch"), "gram", "df", F.lit(rows).alias("rows")) for b, (most, _) in branches.items()]
+    out = own[0]
+    for x in own[1:]:
+        out = out.unionByName(x)
+    return written(out, "vocabulary")
+
+
 def metadata(df: DataFrame, key: str) -> DataFrame:
     """``key, gram, value`` of the numeric metadata: has an address, has a duplicate key, lengths in bins of 20 and 80."""
     flag = lambda c: (F.coalesce(F.col(c), F.lit("")) != "").cast("double")
@@ -57,17 +80,26 @@ def metadata(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.explode(pairs).alias("p")).filter("p.v <> 0").select(key, F.col("p.gram").alias("gram"), (F.col("p.v") * METADATA_WEIGHT).alias("value"))
 
 
-def features(df: DataFrame, key: str, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
-    """``key, feature, value`` of all branches and the metadata; a feature is named ``branch:gram:weight=w``."""
+def transform(df: DataFrame, key: str, counted: DataFrame, fitted: DataFrame, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
+    """``key, feature, value`` of all branches and the metadata by fitted vocabularies; a feature is named ``branch:gram:weight=w``.
+
+    ``key`` tells the rows apart, ``counted`` are their grams; grams that no
+    training row has add nothing.
+    """
     name = lambda branch, w: F.concat(F.lit(f"{branch}:"), F.col("gram"), F.lit(f":weight={w:g}"))
     out = metadata(df, key).select(key, name(METADATA, METADATA_WEIGHT).alias("feature"), "value")
-    for branch, (most, w) in branches.items():
-        own = tfidf(df.filter(F.coalesce(branch, F.lit("")) != ""), key, branch, features=most, weight=w) if branch in df.columns else None
-        if own is not None:
-            out = out.unionByName(own.select(key, name(branch, w).alias("feature"), "value"))
+    for branch, (_, w) in branches.items():
+        own = weighed(counted.filter(F.col("branch") == branch), key, fitted.filter(F.col("branch") == branch).drop("branch"), F.col("rows"), w)
+        out = out.unionByName(own.select(key, name(branch, w).alias("feature"), "value"))
     return out
 
 
+def features(df: DataFrame, key: str, branches: dict[str, tuple[int, float]] = BRANCHES) -> DataFrame:
+    """``transform`` of the rows that are fitted."""
+    counted = counts(df, key, branches)
+    return transform(df, key, counted, fit(counted, df.count(), branches), branches)
+
+
 def balanced_weights(df: DataFrame, label: str, weight: str) -> DataFrame:
     """Weights times n / (2 n_class)."""
     by = df.groupBy(label).agg(F.count(F.lit(1)).alias("_k"))
