@@ -1,6 +1,6 @@
 """The query catalogue; importing this registers every query."""
 
 from . import articles, collection, content, editorial, matching, publishing, records, streams
-from .registry import ORACLE_SQL, QUERIES
+from .registry import FIXTURE_SQL, FIXTURES, ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "articles", "collection", "content", "editorial", "matching", "publishing", "records", "streams"]
+__all__ = ["FIXTURES", "FIXTURE_SQL", "ORACLE_SQL", "QUERIES", "articles", "collection", "content", "editorial", "matching", "publishing", "records", "streams"]

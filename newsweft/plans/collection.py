@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sites, urls
 from ..sources import archives, collectors, scans
-from .registry import literal, query
+from .registry import fixture, literal, query
 
 DAY = "2026-05-09"
 _META = '<meta property="article:published_time" content="{}">'
@@ -112,21 +112,21 @@ def payloads(spark):
     return spark.createDataFrame(_LISTS, collectors.LIST_SCHEMA), spark.createDataFrame(_FETCHES, collectors.FETCH_SCHEMA)
 
 
-@query(_AS_KEYS + f"({literal(_COLUMNS, _ARTICLES)})")
+@fixture(_AS_KEYS + f"({literal(_COLUMNS, _ARTICLES)})")
 def collect_articles(spark, sf_dir):
     """All collectors at a slot of the gated ones; a source that is no collector gives nothing."""
     gated = {"Irrawaddy": {"0 6 * * *"}, "GNLM": {"0 6 * * *"}}
     return collectors.collect(*payloads(spark), DAY, collectors.plan("0 6 * * *", None, gated))
 
 
-@query(literal("source VARCHAR, n BIGINT", [("DVB", 1)]))
+@fixture(literal("source VARCHAR, n BIGINT", [("DVB", 1)]))
 def collect_one_source(spark, sf_dir):
     """The single-source plan: a name in any case, and a gated source without a slot is left out."""
     one = collectors.plan(None, " dvb ", {"Irrawaddy": {"0 6 * * *"}}) + collectors.plan(None, "Irrawaddy", {"Irrawaddy": {"0 6 * * *"}})
     return collectors.collect(*payloads(spark), DAY, one).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(literal("source VARCHAR, title VARCHAR", [("Mizzima (Burmese)", "W2"), ("DVB", "D one")]))
+@fixture(literal("source VARCHAR, title VARCHAR", [("Mizzima (Burmese)", "W2"), ("DVB", "D one")]))
 def collect_keyword_hits(spark, sf_dir):
     """The keyword-filtered collectors: articles with a word of the list in title or body."""
     from dataclasses import replace
@@ -135,7 +135,7 @@ def collect_keyword_hits(spark, sf_dir):
     return collectors.collect(*payloads(spark), DAY, chosen).select("source", "title")
 
 
-@query(literal("reason VARCHAR, n BIGINT, main BOOLEAN", [("accepted", 1, True), ("keyword_miss", 1, False), ("excluded_title", 1, False)]))
+@fixture(literal("reason VARCHAR, n BIGINT, main BOOLEAN", [("accepted", 1, True), ("keyword_miss", 1, False), ("excluded_title", 1, False)]))
 def collect_reasons(spark, sf_dir):
     """First failing rule of each candidate, and the leading one; of equal counts the first of the chain, accepted at the end but for the tie here."""
     j = collectors.judged(*payloads(spark), [collectors.COLLECTORS["Mizzima (Burmese)"]], DAY)
@@ -161,7 +161,7 @@ _PAGES = [
 ]
 
 
-@query(literal("id INTEGER, title VARCHAR, published VARCHAR, body VARCHAR", [(r[0], *r[3:]) for r in _PAGES]))
+@fixture(literal("id INTEGER, title VARCHAR, published VARCHAR, body VARCHAR", [(r[0], *r[3:]) for r in _PAGES]))
 def extract_by_site(spark, sf_dir):
     rows = spark.createDataFrame([r[:3] for r in _PAGES], "id int, site string, html string")
     out = None
@@ -179,7 +179,7 @@ _SCOPED = [
 ]
 
 
-@query(literal("id INTEGER, body VARCHAR", [(r[0], r[3]) for r in _SCOPED]))
+@fixture(literal("id INTEGER, body VARCHAR", [(r[0], r[3]) for r in _SCOPED]))
 def scoped_bodies(spark, sf_dir):
     return spark.createDataFrame([r[:3] for r in _SCOPED], "id int, url string, html string").select("id", sites.scoped_body(F.col("url"), F.col("html")).alias("body"))
 
@@ -191,7 +191,7 @@ _READER = [
 ]
 
 
-@query(literal("id INTEGER, title VARCHAR, body VARCHAR", [(r[0], *r[2:]) for r in _READER]))
+@fixture(literal("id INTEGER, title VARCHAR, body VARCHAR", [(r[0], *r[2:]) for r in _READER]))
 def reader_payloads(spark, sf_dir):
     """The first stop of the list that occurs ends the body, wherever an earlier place has another."""
     r = spark.createDataFrame([r[:2] for r in _READER], "id int, t string")
@@ -201,7 +201,7 @@ def reader_payloads(spark, sf_dir):
 _SUMMARIES = [(1, "မေ ၉ ရက် သတင်းအနှစ်ချုပ် - x", True), (2, "မေ 9 ရက်နေ့ နိုင်ငံတဝန်း သတင်းများ အနှစ်ချုပ် – x", True), (3, "မေ ၉ ရက် သတင်း - x", False), (4, "သတင်းအနှစ်ချုပ် - x", False), (5, None, False)]
 
 
-@query(literal("id INTEGER, summary BOOLEAN", [(r[0], r[2]) for r in _SUMMARIES]))
+@fixture(literal("id INTEGER, summary BOOLEAN", [(r[0], r[2]) for r in _SUMMARIES]))
 def day_summary_titles(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _SUMMARIES], "id int, t string").select("id", sites.day_summary(F.col("t")).alias("summary"))
 
@@ -216,7 +216,7 @@ _NEWS = [
 ]
 
 
-@query(literal("id INTEGER, url VARCHAR", [(r[0], r[3]) for r in _NEWS]))
+@fixture(literal("id INTEGER, url VARCHAR", [(r[0], r[3]) for r in _NEWS]))
 def aggregator_links(spark, sf_dir):
     """An aggregator's link by its token, else by where it leads; only the publisher's host counts."""
     r = spark.createDataFrame([r[:3] for r in _NEWS], "id int, link string, final string")
@@ -226,7 +226,7 @@ def aggregator_links(spark, sf_dir):
 _FRONTIER = [(1, "view-source:https://www.frontiermyanmar.net/en//a-b?x=1#y", "https://www.frontiermyanmar.net/en/a-b/"), (2, "/en/a", "https://www.frontiermyanmar.net/en/a/"), (3, "https://x.example/en/a", ""), (4, "https://www.frontiermyanmar.net/my/a", ""), (5, "", ""), (6, None, "")]
 
 
-@query(literal("id INTEGER, url VARCHAR", [(r[0], r[2]) for r in _FRONTIER]))
+@fixture(literal("id INTEGER, url VARCHAR", [(r[0], r[2]) for r in _FRONTIER]))
 def section_urls(spark, sf_dir):
     r = spark.createDataFrame([r[:2] for r in _FRONTIER], "id int, u string")
     return r.select("id", urls.canonical_in(F.col("u"), "https://www.frontiermyanmar.net", "/en/").alias("url"))
@@ -235,7 +235,7 @@ def section_urls(spark, sf_dir):
 _PDF = [("2026-05-09", u) for u in ("https://x.example/9-may-2026.pdf", "https://x.example/09-may-2026.pdf", "https://x.example/9-May-2026.pdf", "https://x.example/09-May-2026.pdf", "https://x.example/9-may-26.pdf", "https://x.example/09-may-26.pdf", "https://x.example/9-May-26.pdf", "https://x.example/09-May-26.pdf")]
 
 
-@query(literal("day DATE, url VARCHAR", _PDF))
+@fixture(literal("day DATE, url VARCHAR", _PDF))
 def guessed_files(spark, sf_dir):
     """All spellings of a day in a file's address, each once."""
     d = spark.createDataFrame([("2026-05-09",)], "d string").select(F.to_date("d").alias("day"))
@@ -245,7 +245,7 @@ def guessed_files(spark, sf_dir):
 _FEEDS = [("a", 1, "x"), ("a", 2, ""), ("a", 3, "z"), ("b", 1, "y"), ("b", 2, "w")]
 
 
-@query(literal("base VARCHAR, page INTEGER", [("a", 1), ("b", 1), ("b", 2)]))
+@fixture(literal("base VARCHAR, page INTEGER", [("a", 1), ("b", 1), ("b", 2)]))
 def paged_scan(spark, sf_dir):
     return scans.until_empty(spark.createDataFrame(_FEEDS, "base string, page int, body string"), "base", "page", F.col("body") == "").select("base", "page")
 
@@ -253,7 +253,7 @@ def paged_scan(spark, sf_dir):
 _AJAX = [("u", 1, '{"items": [{"t": "a"}, {"t": "b"}], "total": 3}'), ("u", 2, '{"items": [{"t": "c"}]}'), ("u", 3, "<html>"), ("u", 4, '{"items": [{"t": "d"}]}')]
 
 
-@query(literal("ordinal BIGINT, t VARCHAR", [(0, "a"), (1, "b"), (30, "c")]))
+@fixture(literal("ordinal BIGINT, t VARCHAR", [(0, "a"), (1, "b"), (30, "c")]))
 def ajax_pages(spark, sf_dir):
     """Pages of 30 by offset; the first that is no JSON ends the scan."""
     return scans.json_pages(spark.createDataFrame(_AJAX, "base string, page int, body string"), "t string", 30).select("ordinal", "t")
@@ -262,7 +262,7 @@ def ajax_pages(spark, sf_dir):
 _COLUMNS_HTML = '<div data-id="top"><a href="/1">One</a></div><div data-id="side"><a href="/2">Two</a></div><div data-id="top"><a href="/3">Three</a><a href="/1">One</a></div>'
 
 
-@query(literal("pos INTEGER, link VARCHAR", [(0, "/1"), (1, "/3")]))
+@fixture(literal("pos INTEGER, link VARCHAR", [(0, "/1"), (1, "/3")]))
 def column_scan(spark, sf_dir):
     d = spark.createDataFrame([(_COLUMNS_HTML,)], "html string")
     return d.select(F.posexplode(scans.links_in(F.col("html"), "[data-id=top]")).alias("pos", "link"))
@@ -271,7 +271,7 @@ def column_scan(spark, sf_dir):
 _LD = [(1, '<script type="application/ld+json">{"@graph": [{"@type": "WebSite", "name": "s"}, {"@type": ["NewsArticle"], "headline": "h", "datePublished": "d"}, {"headline": "untyped"}]}</script>'), (2, '<script type="application/ld+json">{bad</script>'), (3, None)]
 
 
-@query(literal("id INTEGER, headline VARCHAR, published VARCHAR", [(1, None, None), (1, "h", "d"), (1, "untyped", None)]))
+@fixture(literal("id INTEGER, headline VARCHAR, published VARCHAR", [(1, None, None), (1, "h", "d"), (1, "untyped", None)]))
 def linked_data(spark, sf_dir):
     """Of a graph, articles and nodes without a type; the graph's own object has none."""
     return scans.linked_data(spark.createDataFrame(_LD, "id int, html string"), "html").select("id", "headline", "published")
@@ -280,7 +280,7 @@ def linked_data(spark, sf_dir):
 _FILES = [("prod_2026-04", "s", False), ("prod_2026-05", "s", False), ("dev_2026-05", "s", False), ("archive_prod_2026-05", "s", False), ("prod_old", "s", True), ("prod_doc", "d", False)]
 
 
-@query(literal("name VARCHAR", [("prod_2026-04",), ("prod_2026-05",)]))
+@fixture(literal("name VARCHAR", [("prod_2026-04",), ("prod_2026-05",)]))
 def archive_files(spark, sf_dir):
     f = spark.createDataFrame(_FILES, "name string, kind string, trashed boolean")
     return archives.archive_files(f, "s").select("name")
@@ -293,7 +293,7 @@ def archive_union(spark, sf_dir):
 
 
 
-@query(literal("target VARCHAR, sheet VARCHAR, n BIGINT", [("prod", "archive_prod", 1), ("dev", "archive_dev", 0)]))
+@fixture(literal("target VARCHAR, sheet VARCHAR, n BIGINT", [("prod", "archive_prod", 1), ("dev", "archive_dev", 0)]))
 def adopted_archive(spark, sf_dir):
     """Adopted rows of the archive that belongs to a sheet; a missing archive is empty."""
     rows = spark.createDataFrame([("archive_prod", 1, "a"), ("archive_prod", 2, "A"), ("archive_prod", 3, "")], "sheet string, row int, k string")
@@ -307,12 +307,12 @@ def adopted_archive(spark, sf_dir):
 _TERM_ROWS = [("mm", "en", "body", "title"), ("က", "", "か", ""), ("", "b ", "ビー", "B"), ("", "", "x", "y"), (None, None, None, "z")]
 
 
-@query(literal("mm VARCHAR, en VARCHAR, body_ja VARCHAR, title_ja VARCHAR, ja VARCHAR", [("က", "", "か", "", "か"), ("", "b", "ビー", "B", "B")]))
+@fixture(literal("mm VARCHAR, en VARCHAR, body_ja VARCHAR, title_ja VARCHAR, ja VARCHAR", [("က", "", "か", "", "か"), ("", "b", "ビー", "B", "B")]))
 def term_glossary(spark, sf_dir):
     return archives.glossary(spark.createDataFrame(_TERM_ROWS[1:], "a string, b string, c string, d string"))
 
 
-@query(literal("mm VARCHAR, en VARCHAR, body_ja VARCHAR, title_ja VARCHAR, ja VARCHAR", [("က", "", "か", "", "か"), ("", "b", "ビー", "B", "B"), ("", "", "x", "y", "y"), ("", "", "", "z", "z")]))
+@fixture(literal("mm VARCHAR, en VARCHAR, body_ja VARCHAR, title_ja VARCHAR, ja VARCHAR", [("က", "", "か", "", "か"), ("", "b", "ビー", "B", "B"), ("", "", "x", "y", "y"), ("", "", "", "z", "z")]))
 def region_glossary(spark, sf_dir):
     return archives.glossary(spark.createDataFrame(_TERM_ROWS[1:], "a string, b string, c string, d string"), any_cell=True)
 
@@ -320,7 +320,7 @@ def region_glossary(spark, sf_dir):
 _SHEET = [(1, "2026-05-09", "b", "", "70"), (2, "2026-05-09", "c", "", ""), (3, "", "d", "", ""), (4, "2026-05-09", "", "", " ")]
 
 
-@query(literal("row INTEGER, usable BOOLEAN, pending BOOLEAN", [(1, True, False), (2, True, True), (3, True, False), (4, False, True)]))
+@fixture(literal("row INTEGER, usable BOOLEAN, pending BOOLEAN", [(1, True, False), (2, True, True), (3, True, False), (4, False, True)]))
 def pending_rows(spark, sf_dir):
     """Usable rows have text; pending ones a day and no final score."""
     r = spark.createDataFrame(_SHEET, "row int, a string, full_text string, b string, aa string")
@@ -330,20 +330,20 @@ def pending_rows(spark, sf_dir):
 _TRIES = [("u", 1, ""), ("u", 2, "ပ"), ("u", 3, "late"), ("v", 1, " "), ("w", 1, None)]
 
 
-@query(literal("url VARCHAR, body VARCHAR", [("u", "ပ"), ("v", ""), ("w", "")]))
+@fixture(literal("url VARCHAR, body VARCHAR", [("u", "ပ"), ("v", ""), ("w", "")]))
 def refetched_bodies(spark, sf_dir):
     """The first attempt whose body is not blank; blank where none is."""
     return scans.first_body(spark.createDataFrame(_TRIES, "url string, attempt int, body string"), "url")
 
 
-@query(literal("id INTEGER, title VARCHAR", [(1, "oembed"), (2, "page"), (3, None)]))
+@fixture(literal("id INTEGER, title VARCHAR", [(1, "oembed"), (2, "page"), (3, None)]))
 def oembed_titles(spark, sf_dir):
     a = spark.createDataFrame([(1, "u1", None), (2, "u2", "page"), (3, "u3", "")], "id int, url string, title string")
     o = spark.createDataFrame([("u1", '{"title": "oembed"}'), ("u2", '{"title": "other"}'), ("u3", "bad")], "url string, body string")
     return scans.with_oembed(a, o).select("id", "title")
 
 
-@query(literal("source VARCHAR, key VARCHAR", [("bbc burmese", "BBC"), ("DVB", "DVB"), ("Unknown", None)]))
+@fixture(literal("source VARCHAR, key VARCHAR", [("bbc burmese", "BBC"), ("DVB", "DVB"), ("Unknown", None)]))
 def source_keys(spark, sf_dir):
     from ..functions import terminology
 

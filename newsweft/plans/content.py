@@ -10,7 +10,7 @@ from ..session import shared_folder
 from ..sources import feeds, sinks
 from ..streaming import incremental
 from .articles import ARTICLES, articles
-from .registry import literal, query, table
+from .registry import fixture, literal, query, table
 
 
 @query()
@@ -120,7 +120,7 @@ _NAMES = [
 ]
 
 
-@query(literal("feature VARCHAR, source VARCHAR, raw VARCHAR, weight DOUBLE, shown VARCHAR", _NAMES))
+@fixture(literal("feature VARCHAR, source VARCHAR, raw VARCHAR, weight DOUBLE, shown VARCHAR", _NAMES))
 def feature_names(spark, sf_dir):
     f = spark.createDataFrame([r[:1] for r in _NAMES], "feature string")
     return f.select("feature", ml.split_name(F.col("feature")).alias("s"), ml.display_name(F.col("feature")).alias("shown")).select("feature", "s.source", "s.raw", "s.weight", "shown")
@@ -129,7 +129,7 @@ def feature_names(spark, sf_dir):
 _TOP = [(1, "summary:a:weight=1", 0.5), (1, "summary:b:weight=1", -0.25), (1, "headline_a:c:weight=1.2", 1.0), (2, "summary:z:weight=1", -0.1), (2, "summary:0:weight=1", 0.0)]
 
 
-@query(literal("id INTEGER, up VARCHAR, down VARCHAR", [(1, "E列:c(+1.000) / I列:a(+0.500)", "I列:b(-0.250)"), (2, "該当なし", "I列:z(-0.100)")]))
+@fixture(literal("id INTEGER, up VARCHAR, down VARCHAR", [(1, "E列:c(+1.000) / I列:a(+0.500)", "I列:b(-0.250)"), (2, "該当なし", "I列:z(-0.100)")]))
 def reason_texts(spark, sf_dir):
     return ml.reasons(ml.top_contributions(spark.createDataFrame(_TOP, "id int, feature string, contribution double"), "id"), "id")
 
@@ -137,7 +137,7 @@ def reason_texts(spark, sf_dir):
 _META = [(1, "x" * 45, "", None, "s" * 1000, "u", ""), (2, None, None, None, None, None, "k")]
 
 
-@query(literal("id INTEGER, gram VARCHAR, value DOUBLE", [(1, "has_url", 0.6), (1, "headline_a_len_bin", 1.2), (1, "summary_len_bin", 6.0), (2, "has_duplicate_key", 0.6)]))
+@fixture(literal("id INTEGER, gram VARCHAR, value DOUBLE", [(1, "has_url", 0.6), (1, "headline_a_len_bin", 1.2), (1, "summary_len_bin", 6.0), (2, "has_duplicate_key", 0.6)]))
 def metadata_features(spark, sf_dir):
     d = spark.createDataFrame(_META, "id int, headline_a string, headline_final string, headline_body string, summary string, url string, duplicate_key string")
     return ml.metadata(d, "id").select("id", "gram", F.round("value", 6).alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import amounts, responses, terminology, text
 from ..operators import joins
-from .registry import literal, query
+from .registry import fixture, literal
 
 _TERMS = [
     (1, "dkba_body", "国軍傘下DKBAと民主カレン仏教徒軍（D.K.B.A.）が", "DVB", "親国軍勢力DKBAとDKBAが"),
@@ -31,7 +31,7 @@ _TERMS = [
 ]
 
 
-@query(literal("id INTEGER, term VARCHAR", [(r[0], r[4]) for r in _TERMS]))
+@fixture(literal("id INTEGER, term VARCHAR", [(r[0], r[4]) for r in _TERMS]))
 def house_terms(spark, sf_dir):
     rows = spark.createDataFrame([r[:4] for r in _TERMS], "id int, kind string, t string, source string")
     t, s, k = F.col("t"), F.col("source"), F.col("kind")
@@ -44,7 +44,7 @@ def house_terms(spark, sf_dir):
 _NTH = [(1, "甲と甲と甲", "全称と略称と略称"), (2, "甲", "全称"), (3, "乙", "乙"), (4, "", ""), (5, None, None), (6, "甲甲", "全称略称")]
 
 
-@query(literal("id INTEGER, term VARCHAR", [(r[0], r[2]) for r in _NTH]))
+@fixture(literal("id INTEGER, term VARCHAR", [(r[0], r[2]) for r in _NTH]))
 def terminology_nth(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _NTH], "id int, t string").select("id", text.replace_after_first(F.col("t"), "甲", "全称", "略称").alias("term"))
 
@@ -52,7 +52,7 @@ def terminology_nth(spark, sf_dir):
 _YEARS = [(1, "2026年05月09日に発表", "5月9日に発表"), (2, "２０２６年5月", "２０２６年5月"), (3, "2026年０５月、2025年5月9日", "5月、2025年5月9日"), (4, "ERROR: 2026年5月", "ERROR: 2026年5月"), (5, None, None), (6, "2026年12月3日と2026年1月", "12月3日と1月")]
 
 
-@query(literal("id INTEGER, summary VARCHAR", [(r[0], r[2]) for r in _YEARS]))
+@fixture(literal("id INTEGER, summary VARCHAR", [(r[0], r[2]) for r in _YEARS]))
 def current_year_dates(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _YEARS], "id int, t string").select("id", terminology.without_current_year(F.col("t"), 2026).alias("summary"))
 
@@ -67,7 +67,7 @@ _GLOSSED = [
 ]
 
 
-@query(literal("id INTEGER, t VARCHAR", [(r[0], r[4]) for r in _GLOSSED]))
+@fixture(literal("id INTEGER, t VARCHAR", [(r[0], r[4]) for r in _GLOSSED]))
 def glossary_output(spark, sf_dir):
     names = ("mm", "en", "body_ja", "title_ja")
     rules = spark.createDataFrame([(i, *g) for i, g in enumerate(_GLOSSARY)], "nth int, " + ", ".join(f"{n} string" for n in names))
@@ -87,7 +87,7 @@ _YEN = [
 ]
 
 
-@query(literal("id INTEGER, t VARCHAR", [(r[0], r[2]) for r in _YEN]))
+@fixture(literal("id INTEGER, t VARCHAR", [(r[0], r[2]) for r in _YEN]))
 def yen_text_repair(spark, sf_dir):
     """An amount whose units stand in no order is left alone."""
     return spark.createDataFrame([r[:2] for r in _YEN], "id int, t string").select("id", amounts.fix_yen(amounts.drop_foreign_yen(F.col("t"))).alias("t"))
@@ -103,7 +103,7 @@ _FACTS = [
 ]
 
 
-@query(literal("id INTEGER, raw VARCHAR, ja VARCHAR", [(i, *f) for i, _, fs in _FACTS for f in fs]))
+@fixture(literal("id INTEGER, raw VARCHAR, ja VARCHAR", [(i, *f) for i, _, fs in _FACTS for f in fs]))
 def amount_facts(spark, sf_dir):
     rows = spark.createDataFrame([r[:2] for r in _FACTS], "id int, t string")
     return rows.select("id", F.explode(amounts.amount_facts(amounts.normalize_amount_text(F.col("t")))).alias("f")).select("id", "f.raw", "f.ja")
@@ -112,7 +112,7 @@ def amount_facts(spark, sf_dir):
 _NUMBERS = [(1, "၂,၂၀၉", 2209.0, "2209", ""), (2, "၁,၀၆၈ဒသမ၆၆ ကျော်", 1068.66, "1068.66", "超"), (3, "none", None, None, ""), (4, "5 လောက်", 5.0, "5", "程度"), (5, "0.5", 0.5, "0.5", "")]
 
 
-@query(literal("id INTEGER, number DOUBLE, label VARCHAR, qualifier VARCHAR", [(r[0], *r[2:]) for r in _NUMBERS]))
+@fixture(literal("id INTEGER, number DOUBLE, label VARCHAR, qualifier VARCHAR", [(r[0], *r[2:]) for r in _NUMBERS]))
 def amount_numbers(spark, sf_dir):
     n = spark.createDataFrame([r[:2] for r in _NUMBERS], "id int, t string").withColumn("number", amounts.number_of(F.col("t")))
     return n.select("id", "number", amounts.number_label(F.col("number")).alias("label"), amounts.qualifier(F.col("t")).alias("qualifier"))
@@ -128,7 +128,7 @@ _BILLIONS = [
 ]
 
 
-@query(literal("id INTEGER, t VARCHAR", [(r[0], r[3]) for r in _BILLIONS]))
+@fixture(literal("id INTEGER, t VARCHAR", [(r[0], r[3]) for r in _BILLIONS]))
 def billion_repair(spark, sf_dir):
     rows = spark.createDataFrame([r[:3] for r in _BILLIONS], "id int, t string, src string")
     return rows.select("id", amounts.repair_billions(F.col("t"), amounts.normalize_amount_text(F.col("src"))).alias("t"))
@@ -144,7 +144,7 @@ _OUTPUTS = [
 ]
 
 
-@query(literal("id INTEGER, skipped BOOLEAN, ultra VARCHAR, title VARCHAR, summary VARCHAR", [(r[0], *r[3:]) for r in _OUTPUTS]))
+@fixture(literal("id INTEGER, skipped BOOLEAN, ultra VARCHAR, title VARCHAR, summary VARCHAR", [(r[0], *r[3:]) for r in _OUTPUTS]))
 def summary_blocks(spark, sf_dir):
     rows = spark.createDataFrame([r[:3] for r in _OUTPUTS], "id int, output string, own string")
     return rows.select("id", responses.summary_output("output", "own").alias("o")).select("id", "o.*")
@@ -154,7 +154,7 @@ _CHAIN = [(1, "News Eleven", "【タイトル】軍事政権、DKBAと協議\n
            "政府、親国軍勢力DKBAと協議", "【要約】\n5月9日、ミンアウンフライン大統領は500億チャット（約18億5000万円）と10億ドルを約束")]
 
 
-@query(literal("id INTEGER, title VARCHAR, summary VARCHAR", [(r[0], r[4], r[5]) for r in _CHAIN]))
+@fixture(literal("id INTEGER, title VARCHAR, summary VARCHAR", [(r[0], r[4], r[5]) for r in _CHAIN]))
 def summary_chain(spark, sf_dir):
     """Terms, billions, foreign yen, kyat yen, this year's dates, in that order."""
     rows = spark.createDataFrame([r[:4] for r in _CHAIN], "id int, source string, output string, src string")
@@ -176,7 +176,7 @@ _JSON = [
 ]
 
 
-@query(literal("id INTEGER, j VARCHAR", [(r[0], r[2]) for r in _JSON]))
+@fixture(literal("id INTEGER, j VARCHAR", [(r[0], r[2]) for r in _JSON]))
 def json_in_prose(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _JSON], "id int, t string").select("id", responses.extract_json("t").alias("j"))
 
@@ -184,7 +184,7 @@ def json_in_prose(spark, sf_dir):
 _ERRORS = [(1, '{"error": {"code": 429, "x": 1}}', 429, True), (2, "HTTP 503 Service", 503, True), (3, "status_code: 404", 404, False), (4, "Model is Currently experiencing HIGH demand", None, True), (5, "bad key", None, False), (6, None, None, False), (7, "RESOURCE_EXHAUSTED", None, True)]
 
 
-@query(literal("id INTEGER, code INTEGER, second BOOLEAN", [(r[0], *r[2:]) for r in _ERRORS]))
+@fixture(literal("id INTEGER, code INTEGER, second BOOLEAN", [(r[0], *r[2:]) for r in _ERRORS]))
 def error_kinds(spark, sf_dir):
     e = F.col("message")
     return spark.createDataFrame([r[:2] for r in _ERRORS], "id int, message string").select("id", responses.error_code(e).alias("code"), responses.second_model(e).alias("second"))
@@ -199,7 +199,7 @@ _USAGE = [
 ]
 
 
-@query(literal("id INTEGER, prompt BIGINT, candidates BIGINT, total BIGINT", [(r[0], *r[2:]) for r in _USAGE]))
+@fixture(literal("id INTEGER, prompt BIGINT, candidates BIGINT, total BIGINT", [(r[0], *r[2:]) for r in _USAGE]))
 def usage_extract(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _USAGE], "id int, u string").select("id", responses.token_usage(F.col("u")).alias("u")).select("id", "u.*")
 
@@ -207,7 +207,7 @@ def usage_extract(spark, sf_dir):
 _MAIL = [(1, '{"error": {"errors": [{"reason": "invalidArgument"}], "status": "X"}}', "invalidArgument"), (2, '{"error": {"status": "UNAUTHENTICATED", "message": "m"}}', "UNAUTHENTICATED"), (3, '{"error": {"message": "m"}}', "m"), (4, "no json", None), (5, None, None)]
 
 
-@query(literal("id INTEGER, reason VARCHAR", [(r[0], r[2]) for r in _MAIL]))
+@fixture(literal("id INTEGER, reason VARCHAR", [(r[0], r[2]) for r in _MAIL]))
 def mail_errors(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _MAIL], "id int, body string").select("id", responses.mail_error(F.col("body")).alias("reason"))
 
@@ -215,6 +215,6 @@ def mail_errors(spark, sf_dir):
 _UNTRANSLATED = [(1, "English only", True), (2, "ကျပ်", True), (3, "English と日本", False), (4, "  ", False), (5, None, False), (6, "カナ", False)]
 
 
-@query(literal("id INTEGER, again BOOLEAN", [(r[0], r[2]) for r in _UNTRANSLATED]))
+@fixture(literal("id INTEGER, again BOOLEAN", [(r[0], r[2]) for r in _UNTRANSLATED]))
 def untranslated(spark, sf_dir):
     return spark.createDataFrame([r[:2] for r in _UNTRANSLATED], "id int, t string").select("id", responses.untranslated(F.col("t")).alias("again"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+FIXTURES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+FIXTURE_SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
@@ -20,6 +22,18 @@ def query(sql: str | None = None):
     return add
 
 
+def fixture(sql: str | None = None):
+    """As ``query``, for rules checked on boundary rows written out beside them: run by the tests, not part of the catalogue."""
+
+    def add(f):
+        FIXTURES[f.__name__] = f
+        if sql:
+            FIXTURE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,4 +1,4 @@
-"""Every catalogue query against its DuckDB twin on the smallest tables."""
+"""Every catalogue query, and every rule on boundary rows, against its DuckDB twin on the smallest tables."""
 
 import math
 from pathlib import Path
@@ -25,15 +25,20 @@ def plain(v):
     return str(v)
 
 
-@pytest.mark.parametrize("name", sorted(plans.QUERIES))
+def test_catalogue_reads_tables():
+    assert not set(plans.QUERIES) & set(plans.FIXTURES)
+
+
+@pytest.mark.parametrize("name", sorted(plans.QUERIES | plans.FIXTURES))
 def test_query(spark, sf_dir, con, name):
-    df = plans.QUERIES[name](spark, sf_dir)
+    df = (plans.QUERIES | plans.FIXTURES)[name](spark, sf_dir)
     cols = sorted(df.columns)
     rows = sorted(tuple(map(plain, r)) for r in df.select(*cols).collect())
-    if name not in plans.ORACLE_SQL:
+    sql = plans.ORACLE_SQL | plans.FIXTURE_SQL
+    if name not in sql:
         assert rows
         return
-    cur = con.execute(plans.ORACLE_SQL[name])
+    cur = con.execute(sql[name])
     names = [d[0] for d in cur.description]
     assert sorted(names) == cols
     at = [names.index(c) for c in cols]
