@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import title_score
 from ..functions.text import latin_title_key, nfc
+from ..session import written
 from .windows import islands, take_while_not
 
+#: Pairs of a group that one task matches in order.
+ALONE = 200_000
+
 #: Words, parts and patterns that show a line to be no text of an article.
 NOISE_WORDS = ["national", "business", "opinion", "delicacy", "public notice", "write for us", "weather"]
 NOISE_PARTS = ["www.gnlm.com.mm", "the global new light of myanmar", "circulation & distribution", "advertising & marketing", "printed and published", "subscription@gnlm.com.mm",
@@ -137,21 +141,37 @@ def merge_continuations(articles: DataFrame, by: str) -> DataFrame:
     return joined.join(used, [by, "_n"], "left_anti").select(*articles.columns)
 
 
-def greedy_match(pairs: DataFrame, group: str, left: str, right: str, score: str, least: float = 0.76) -> DataFrame:
-    """Each left row, in order, takes the best right row still free; a group's scored candidate pairs are one task."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.select(group, left, right, score).schema)
+def greedy_match(pairs: DataFrame, group: str, left: str, right: str, score: str, least: float = 0.76, alone: int = ALONE) -> DataFrame:
+    """Each left row, in order, takes the best right row still free, of equals the first: ``group, left, right, score``.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        for _, own in pdf.sort_values([left, score, right], ascending=[True, False, True]).groupby(left, sort=True):
-            for row in own.itertuples(index=False):
-                if getattr(row, right) not in used:
-                    used.add(getattr(row, right))
-                    out.append(row)
-                    break
+    In rounds: every left row asks for the best right row that may still be its
+    own, and a right row refuses all left rows behind the first that asks for it,
+    now and later. When nothing is refused any more, each has what it would get in
+    order, as all right rows prefer the same left rows. A group is spread over
+    tasks; once no group has more than ``alone`` pairs left, each is finished in one.
+    """
+    rows = written(pairs.filter(F.col(score) >= least).select(group, left, right, score).dropDuplicates([group, left, right]), "pairs")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+        used, last, out = set(), None, []
+        for row in pdf.sort_values([left, score, right], ascending=[True, False, True]).itertuples(index=False, name=None):
+            if row[1] != last and row[2] not in used:
+                used.add(row[2])
+                last = row[1]
+                out.append(row)
         return pd.DataFrame(out, columns=[group, left, right, score])
 
-    return pairs.filter(F.col(score) >= least).select(group, left, right, score).groupBy(group).applyInPandas(run, schema)
+    while True:
+        most = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+        if most <= alone:
+            return rows.groupBy(group).applyInPandas(in_order, schema)
+        best = rows.groupBy(group, left).agg(F.min(F.struct((-F.col(score)).alias("s"), F.col(right).alias("r"))).alias("_b")).select(group, left, F.col("_b.r").alias(right), (-F.col("_b.s")).alias(score))
+        asked = best.groupBy(group, right).agg(F.min(left).alias("_first"))
+        fewer = written(rows.join(asked, [group, right], "left").filter(F.col("_first").isNull() | (F.col(left) <= F.col("_first"))).select(group, left, right, score), "pairs")
+        if fewer.count() == rows.count():
+            return best
+        rows = fewer
 
 
 def attach_bodies(items: DataFrame, found: DataFrame, day: str) -> DataFrame:

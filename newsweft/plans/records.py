@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, urls
-from ..operators import dedupe, joins, windows
+from ..operators import dedupe, joins, layout, windows
 from .registry import query, table
 
 
@@ -194,3 +194,17 @@ def daily_range(spark, sf_dir):
 def embedding_norms(spark, sf_dir):
     n2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return table(spark, sf_dir, "embeddings").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(n2), 4).alias("mean_norm2"))
+
+
+@query("""WITH RECURSIVE p AS (SELECT c_nationkey AS g, o_orderkey AS l, l_partkey AS r, max(l_extendedprice) AS s FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+ o AS (SELECT g, l, row_number() OVER (PARTITION BY g ORDER BY l) AS n, list(r ORDER BY s DESC, r) AS rs, list(s ORDER BY s DESC, r) AS ss FROM p GROUP BY g, l),
+ w(g, n, l, r, s, used) AS (SELECT DISTINCT g, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST([] AS BIGINT[]) FROM o
+ UNION ALL SELECT g, n, l, r, ss[list_position(rs, r)], CASE WHEN r IS NULL THEN used ELSE list_append(used, r) END FROM (SELECT o.g, o.n, o.l, o.rs, o.ss, w.used, list_filter(o.rs, lambda x: NOT list_contains(w.used, x))[1] AS r FROM w JOIN o ON o.g = w.g AND o.n = w.n + 1))
+ SELECT g AS nation, l AS o_orderkey, r AS l_partkey, s AS price FROM w WHERE r IS NOT NULL""")
+def greedy_one_to_one(spark, sf_dir):
+    """Each order of a nation, in order, takes the dearest of its parts that no order before it took."""
+    nation = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(nation, "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_extendedprice")
+    pairs = lines.join(orders, "o_orderkey").groupBy("nation", "o_orderkey", "l_partkey").agg(F.max("l_extendedprice").alias("price"))
+    return layout.greedy_match(pairs, "nation", "o_orderkey", "l_partkey", "price", 0.0, alone=1000)
