@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import shared_folder, written
 from .windows import numbered
 
 
@@ -39,3 +39,29 @@ def duplicate_labels(comp: DataFrame, prefix: str = "重複", offset: int = 0) -
     sized = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     num = numbered(sized.select("component"), [], ["component"]).select("component", F.format_string(f"{prefix}%03d", F.col("rn") + offset).alias("label"))
     return comp.join(num, "component").select("node", "component", "label")
+
+
+def extend(stored: DataFrame, edges: DataFrame, a: str, b: str, prefix: str = "重複") -> DataFrame:
+    """Stored components (``node, component, label``) with new links: ``node, component, label``.
+
+    Links are drawn between whole stored components, so the work is that of the new
+    links. Of labels that come together the smallest stays, others are given up; a
+    component keeps its label when it grows. New ones are numbered behind the largest
+    label there was, by their smallest member. Without stored rows this is
+    ``duplicate_labels(components(edges))``.
+    """
+    home = stored.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
+    for end in ("u", "v"):
+        links = links.join(home, F.col(end) == F.col("_n"), "left").withColumn(f"_{end}", F.coalesce("_c", end)).drop("_n", "_c")
+    links = written(links.distinct(), "links")
+    joined = components(links.filter("_u <> _v"), "_u", "_v").select(F.col("node").alias("_old"), F.col("component").alias("_new"))
+    fresh = links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(stored, "node", "left_anti")
+    nodes = stored.select("node", F.col("component").alias("_old"), "label").unionByName(fresh.select("node", F.col("node").alias("_old"), F.lit(None).cast("string").alias("label")))
+    nodes = written(nodes.join(joined, "_old", "left").select("node", F.coalesce("_new", "_old").alias("component"), "label"), "components")
+    number = F.regexp_extract("label", r"(\d+)$", 1).cast("long")
+    groups = nodes.groupBy("component").agg(F.min(number).alias("k"), F.count(F.lit(1)).alias("n")).filter("n > 1 OR k IS NOT NULL")
+    last = stored.agg(F.max(number)).first()[0] or 0
+    new = numbered(groups.filter("k IS NULL").select("component"), [], ["component"]).select("component", (F.col("rn") + last).alias("k"))
+    named = groups.filter("k IS NOT NULL").select("component", "k").unionByName(new).select("component", F.format_string(f"{prefix}%03d", "k").alias("label"))
+    return nodes.drop("label").join(named, "component").select("node", "component", "label")

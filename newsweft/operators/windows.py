@@ -9,13 +9,34 @@ from ..session import written
 from .joins import small
 
 SALTS = 16
+#: Length of a time range in lengths of the window that looks back.
+RANGES = 24
 
 
-def rolling(df: DataFrame, by: list[str], ts: str, seconds: int, value: str, closed: bool = True) -> DataFrame:
-    """``n`` and ``total`` of the last ``seconds``: [t-s, t] if closed, (t-s, t] if not; microsecond times."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*by).orderBy("_at").rangeBetween(-seconds * 1_000_000 + (0 if closed else 1), 0)
-    return df.withColumn("_at", at).withColumn("n", F.count(F.lit(1)).over(w)).withColumn("total", F.sum(value).over(w)).drop("_at")
+def time_ranges(df: DataFrame, at: str, reach: int, width: int) -> DataFrame:
+    """``_range`` of ``width`` microseconds, and ``_halo``: rows that reach into the next range are there again, marked.
+
+    With the range beside the group, a window that looks back ``reach`` microseconds
+    finds all it needs, however many rows one group has.
+    """
+    width = max(width, reach)
+    own = F.floor(F.col(at) / width).cast("long")
+    near = F.pmod(F.col(at), F.lit(width)) >= width - reach
+    copies = F.when(near, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_halo", F.explode(copies)).withColumn("_range", own + F.col("_halo"))
+
+
+def rolling(df: DataFrame, by: list[str], ts: str, seconds: int, value: str, closed: bool = True, ranges: int = RANGES) -> DataFrame:
+    """``n`` and ``total`` of the last ``seconds``: [t-s, t] if closed, (t-s, t] if not; microsecond times.
+
+    A group is spread over time ranges of ``ranges`` times ``seconds``. Rows
+    without a time are counted among themselves.
+    """
+    reach = seconds * 1_000_000
+    dealt = time_ranges(df.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp"))), "_at", reach, reach * ranges)
+    w = Window.partitionBy(*by, "_range").orderBy("_at").rangeBetween(-reach + (0 if closed else 1), 0)
+    counted = dealt.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("total", F.sum(value).over(w))
+    return counted.filter("_halo = 0").drop("_at", "_range", "_halo")
 
 
 def rising_edges(df: DataFrame, by: list[str], order: list[str], over: Column) -> DataFrame:

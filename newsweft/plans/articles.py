@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers, text
 from ..operators import context, cutting, dedupe, joins, similarity, windows
+from ..session import written
 from .registry import query, table
 
 KEYWORDS = ["tion", "lich", "ment", "ción"]
@@ -276,15 +277,38 @@ _EDGES = "e AS (SELECT a.doc_id AS u, b.doc_id AS v FROM (SELECT doc_id, text FR
  SELECT node, component, '重複' || lpad(CAST(k AS VARCHAR), 3, '0') AS label, max(n_chars) OVER (PARTITION BY component) AS component_max FROM c JOIN d USING (component) JOIN documents ON doc_id = node""")
 def duplicate_components(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
+    labelled = similarity.duplicate_labels(similarity.components(_links(d), "u", "v"))
+    score = labelled.join(d.select(F.col("doc_id").alias("node"), "n_chars"), "node")
+    top = score.groupBy("component").agg(F.max("n_chars").alias("component_max"))
+    return labelled.join(top, "component").select("node", "component", "label", "component_max")
+
+
+def _links(d: DataFrame) -> DataFrame:
+    """Documents of one text, and some neighbours."""
     h = d.select("doc_id", F.sha2("text", 256).alias("h"))
     first = h.groupBy("h").agg(F.min("doc_id").alias("v"))
     e = h.join(first, "h").filter("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
     ids = d.select(F.col("doc_id").alias("v"))
-    e = e.unionByName(d.filter("doc_id % 17 < 2").select(F.col("doc_id").alias("u"), (F.col("doc_id") + 1).alias("v")).join(ids, "v", "left_semi").select("u", "v"))
-    labelled = similarity.duplicate_labels(similarity.components(e, "u", "v"))
-    score = labelled.join(d.select(F.col("doc_id").alias("node"), "n_chars"), "node")
-    top = score.groupBy("component").agg(F.max("n_chars").alias("component_max"))
-    return labelled.join(top, "component").select("node", "component", "label", "component_max")
+    return e.unionByName(d.filter("doc_id % 17 < 2").select(F.col("doc_id").alias("u"), (F.col("doc_id") + 1).alias("v")).join(ids, "v", "left_semi").select("u", "v"))
+
+
+def _reach(name: str, edges: str) -> str:
+    """SQL of ``c{name}(node, component)`` over ``edges``."""
+    return f"""s{name} AS (SELECT u, v FROM {edges} UNION SELECT v, u FROM {edges}), r{name}(n, m) AS (SELECT u, u FROM s{name} UNION SELECT s{name}.v, r{name}.m FROM r{name} JOIN s{name} ON r{name}.n = s{name}.u),
+ c{name} AS MATERIALIZED (SELECT n AS node, min(m) AS component FROM r{name} GROUP BY n)"""
+
+
+@query("WITH RECURSIVE " + _EDGES + ", e1 AS (SELECT * FROM e WHERE u % 3 = 0), " + _reach("1", "e1") + ", " + _reach("2", "e") + """,
+ d1 AS (SELECT component, row_number() OVER (ORDER BY component) AS k FROM (SELECT DISTINCT component FROM c1)), k1 AS (SELECT node, k FROM c1 JOIN d1 USING (component)),
+ g AS (SELECT component, min(k) AS k FROM c2 LEFT JOIN k1 USING (node) GROUP BY component),
+ l AS (SELECT component, coalesce(k, (SELECT max(k) FROM d1) + row_number() OVER (PARTITION BY k IS NULL ORDER BY component)) AS k FROM g)
+ SELECT node, component, '重複' || lpad(CAST(k AS VARCHAR), 3, '0') AS label FROM c2 JOIN l USING (component)""")
+def extended_components(spark, sf_dir):
+    """Labels of a first run over a third of the links stay when the others come."""
+    e = _links(table(spark, sf_dir, "documents"))
+    none = spark.createDataFrame([], "node long, component long, label string")
+    first = similarity.extend(none, e.filter("u % 3 = 0"), "u", "v")
+    return similarity.extend(written(first, "labels"), e.filter("u % 3 <> 0"), "u", "v")
 
 
 @query(r"""SELECT doc_id, CAST(CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, length(text) // CASE WHEN (length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g'))) / CAST(length(text) AS DOUBLE) >= 0.6 THEN 4 ELSE 3 END) END AS BIGINT) AS tokens FROM documents""")
