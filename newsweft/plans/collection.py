@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sites, urls
-from ..sources import archives, collectors, scans
-from .registry import fixture, literal, query
+from ..session import shared_folder
+from ..sources import archives, collectors, scans, sheets
+from .registry import fixture, literal, query, table
 
 DAY = "2026-05-09"
 _META = '<meta property="article:published_time" content="{}">'
@@ -286,11 +287,21 @@ def archive_files(spark, sf_dir):
     return archives.archive_files(f, "s").select("name")
 
 
-@query("SELECT (o_orderdate::DATE)::VARCHAR AS day, count(*) AS n FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1")
+@query("SELECT (o_orderdate::DATE)::VARCHAR AS day, count(*) AS n, sum(o_orderkey)::BIGINT AS keys, count(*) FILTER (WHERE o_totalprice >= 100000) AS large, 0::BIGINT AS errors FROM orders GROUP BY 1"
+       " UNION ALL SELECT 'unread', 0, NULL, 0, 1")
 def archive_union(spark, sf_dir):
-    """Archives written as files a month; one that can't be read is left out and the others count."""
-    return archives.union_demo(spark, sf_dir)
-
+    """All orders as sheets by month, read by the sheet source: files of another prefix are not opened, one that can't be read is counted."""
+    folder = shared_folder(spark, "sheets")
+    month = F.concat(F.lit(archives.ARCHIVE_PREFIX), F.date_format("o_orderdate", "yyyy-MM"), F.lit("_"), F.expr("CAST(o_orderkey div 500000 AS STRING)"))
+    rows = table(spark, sf_dir, "orders").select(month.alias("sheet"), "o_orderkey", F.to_date("o_orderdate").cast("string").alias("day"), "o_totalprice", F.lit(None).cast("string").alias("blank"))
+    both = rows.unionByName(rows.withColumn("sheet", F.regexp_replace("sheet", "^prod_", "dev_")))
+    sheets.write_sheets(both, "sheet", "o_orderkey", ["day", "o_orderkey", "blank", "o_totalprice"], folder)
+    spark.range(1).select(F.lit('{"values": [["day"], ["cut of').alias("value"), F.lit("prod_broken").alias("sheet")).write.mode("append").partitionBy("sheet").text(folder)
+    read = sheets.read_sheets(spark, folder, prefix=archives.ARCHIVE_PREFIX)
+    at = lambda i: F.get("cells", F.lit(i))
+    large = (at(3).cast("double") >= 100_000) & (F.get("kinds", F.lit(3)) == "number")
+    day = F.when(F.col("error").isNull(), at(0)).otherwise("unread")
+    return read.groupBy(day.alias("day")).agg(F.count("row_index").alias("n"), F.sum(at(1).cast("long")).alias("keys"), F.count_if(F.coalesce(large, F.lit(False))).alias("large"), F.count("error").alias("errors"))
 
 
 @fixture(literal("target VARCHAR, sheet VARCHAR, n BIGINT", [("prod", "archive_prod", 1), ("dev", "archive_dev", 0)]))

@@ -30,27 +30,6 @@ def read_archives(spark: SparkSession, folder: str, schema: str, pattern: str =
     return got.withColumn("file", F.col("_metadata.file_name"))
 
 
-def union_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A month's orders a file, one broken file among them, and one that is no archive."""
-    from ..session import shared_folder
-
-    folder = shared_folder(spark, "archives")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("year(o_orderdate) = 1996").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    raw = shared_folder(spark, "months")
-    o.withColumn("m", F.month("d")).repartition("m").write.partitionBy("m").parquet(raw)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(fs_path(folder))
-    for s in fs.globStatus(fs_path(f"{raw}/m=*/*.parquet")):
-        month = s.getPath().getParent().getName().removeprefix("m=")
-        fs.rename(s.getPath(), fs_path(f"{folder}/{ARCHIVE_PREFIX}1996-{int(month):02d}.parquet"))
-    for name in (f"{ARCHIVE_PREFIX}broken.parquet", "dev_1996-01.parquet"):
-        out = fs.create(fs_path(f"{folder}/{name}"))
-        out.writeBytes("not a table")
-        out.close()
-    return read_archives(spark, folder, "o_orderkey long, d date").groupBy(F.col("d").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def adopted(rows: DataFrame, target: str, flag: str = "k", exact: bool = False) -> DataFrame:
     """Rows of the target's archive that are adopted: ``a``, in any case unless ``exact``."""
     k = F.col(flag) if exact else F.lower(strip(F.col(flag)))
