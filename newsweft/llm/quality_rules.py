@@ -42,8 +42,8 @@ BANDS = (
 )
 #: Chunk sizes and the band of a chunk: a text is cut by the largest size that it holds twice.
 CHUNKS = ((2048, 1.75, 2.3), (1024, 1.55, 2.15), (512, 1.3, 2.0), (256, 1.15, 1.85))
-#: The share of chunks outside their band that rejects: one of up to six.
-CHUNK_SHARE = 0.15
+#: One chunk rejects if it lies outside its band by this much more; two neighbours, or such a share of chunks, if they lie outside at all.
+FAR, CHUNK_SHARE = 0.03, 0.15
 
 _CHAR = np.ones(256, bool)  # first byte of a code point that belongs to a word
 _CHAR[[0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)]] = False
@@ -51,7 +51,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _BLANK = bytes([0x20, *range(0x09, 0x0E)])
 
-FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, chunks_out double, base_failed boolean, kept boolean"
+FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, chunks_out double, chunk_far boolean, base_failed boolean, kept boolean"
 
 
 def repeated_words(w: Words, k: int = REPEAT_WINDOW) -> np.ndarray:
@@ -78,21 +78,27 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def ratios(text: bytes, compress) -> tuple[float, float]:
-    """Ratio of the whole, and the share of chunks outside their band; the last chunk ends with the text, so every byte is in one."""
+def ratios(text: bytes, compress) -> tuple[float, float, bool]:
+    """Ratio of the whole, the share of chunks outside their band, and whether one lies far outside or two neighbours do.
+
+    The last chunk ends with the text, so every byte is in one.
+    """
     if not text:
-        return 0.0, 0.0
+        return 0.0, 0.0, False
     whole = len(text) / len(compress(text))
     for size, least, most in CHUNKS:
         if len(text) >= 2 * size:
             starts = [*range(0, len(text) - size, size), len(text) - size]
-            return whole, sum(not least <= size / len(compress(text[i : i + size])) <= most for i in starts) / len(starts)
-    return whole, 0.0
+            each = [size / len(compress(text[i : i + size])) for i in starts]
+            out = [not least <= r <= most for r in each]
+            far = any(not least * (1 - FAR) <= r <= most * (1 + FAR) for r in each) or any(x and y for x, y in zip(out, out[1:]))
+            return whole, sum(out) / len(out), far
+    return whole, 0.0, False
 
 
-def in_band(size: int, ratio: float, chunks_out: float) -> bool:
+def in_band(size: int, ratio: float, chunks_out: float, chunk_far: bool) -> bool:
     band = next(b for b in BANDS if size < b.below)
-    return band.least <= ratio <= band.most and chunks_out < CHUNK_SHARE
+    return band.least <= ratio <= band.most and chunks_out < CHUNK_SHARE and not chunk_far
 
 
 def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -125,7 +131,7 @@ def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 failed = (w.counts < 10) | (100 * repeats > 20 * w.counts)
                 kept = [not f and in_band(len(t), *r) for f, t, r in zip(failed, texts, both)]
                 out = [pa.array(w.counts, pa.int64()), pa.array(chars), pa.array(symbols), pa.array([dup_lines(t) for t in texts], pa.int64()), pa.array(repeats),
-                       pa.array([r[0] for r in both], pa.float64()), pa.array([r[1] for r in both], pa.float64()), pa.array(failed), pa.array(kept, pa.bool_())]
+                       pa.array([r[0] for r in both], pa.float64()), pa.array([r[1] for r in both], pa.float64()), pa.array([r[2] for r in both], pa.bool_()), pa.array(failed), pa.array(kept, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *out], names=schema.names)
         trim()
 
@@ -133,7 +139,12 @@ def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``assess`` keeps, with all columns as they are, whatever their names."""
+    """The rows of ``docs`` that ``assess`` keeps, with all columns as they are, whatever their names.
+
+    Null, empty and wordless texts go, as they fail the base rule; texts of any
+    length are judged whole, repeated rows alike, without ties. An empty table gives
+    an empty one.
+    """
     safe = {c: f"carried_{i}" if c in T.StructType.fromDDL(FIELDS).names else c for i, c in enumerate(docs.columns)}
     held = assess(docs.select(*[F.col(c).alias(n) for c, n in safe.items()]), safe[text_col]).filter("kept")
     return held.select(*[F.col(n).alias(c) for c, n in safe.items()])

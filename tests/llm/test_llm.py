@@ -351,14 +351,17 @@ def test_quality_rules(docs, rows, empty):
     for r in got:  # ratios and verdicts, written out plainly
         wants = set()
         for t in text[r.doc_id]:
-            ratio, out = (len(t) / len(compress(t)) if t else 0.0), 0.0
+            ratio, out, far = (len(t) / len(compress(t)) if t else 0.0), 0.0, False
             chunk = next((c for c in quality_rules.CHUNKS if len(t) >= 2 * c[0]), None)
             if chunk:
                 starts = sorted({*range(0, len(t) - chunk[0], chunk[0]), len(t) - chunk[0]})
-                out = sum(not chunk[1] <= chunk[0] / len(compress(t[i : i + chunk[0]])) <= chunk[2] for i in starts) / len(starts)
+                each = [chunk[0] / len(compress(t[i : i + chunk[0]])) for i in starts]
+                bad = [r < chunk[1] or r > chunk[2] for r in each]
+                out = sum(bad) / len(starts)
+                far = min(each) < 0.97 * chunk[1] or max(each) > 1.03 * chunk[2] or any(bad[k] and bad[k + 1] for k in range(len(bad) - 1))
             band = min((b for b in quality_rules.BANDS if b.below > len(t)), key=lambda b: b.below)
-            wants.add((ratio, out, not r.base_failed and band.least <= ratio <= band.most and out < quality_rules.CHUNK_SHARE))
-        assert (r.ratio, r.chunks_out, r.kept) in wants
+            wants.add((ratio, out, far, not r.base_failed and band.least <= ratio <= band.most and out < quality_rules.CHUNK_SHARE and not far))
+        assert (r.ratio, r.chunks_out, r.chunk_far, r.kept) in wants
     kept = quality_rules.keep(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
     assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(r.doc_id for r in got if r.kept)
@@ -378,6 +381,30 @@ def test_quality_rules_partial_junk(spark, sf_dir, size):
     assert not any(x.kept for x in got if x.doc_id >= len(clean))
 
 
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_quality_rules_junk_chunks(spark, lang):
+    """One or two chunks of 2 KB of junk, on a border of chunks or off it, in texts of 3 to 60 KB."""
+    sf = "/root/testdata/sf0.1"
+    d = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 AND toxic = 0"), "doc_id").filter((F.col("lang") == lang) & (F.length("text") > 1000))
+    base = [r.text.encode() for r in d.orderBy("doc_id").limit(200).collect()]
+    r = random.Random(lang)
+    clean, junked = [], []
+    for size in (3000, 6500, 15_000, 30_000, 60_000):
+        for n in (1, 2):
+            for border in (True, False):
+                t = b""
+                while len(t) < size:
+                    t += r.choice(base) + b"\n"
+                t = t[:size].decode("utf-8", "ignore")
+                at = r.randrange(0, size - 2048, 2048) + (1024 if border else 0)
+                junk = "".join(chr(r.randint(33, 126)) for _ in range(2048 * n))
+                clean.append(t)
+                junked.append(t[:at] + " " + junk + " " + t[at:])
+    got = {x.doc_id: x.kept for x in quality_rules.assess(spark.createDataFrame(list(enumerate(clean + junked)), "doc_id long, text string")).collect()}
+    assert not any(got[len(clean) + i] for i in range(len(junked)))
+    assert all(got[i] for i in range(4))  # longer ones repeat whole documents
+
+
 def test_lm_scoring(docs, rows, empty):
     """Against a plain walk with back-off, token by token; and runs of any length carry the same state."""
     tokens = [(i, [x.lower() for x in split(t)] + [1]) for i, t, *_ in rows]
