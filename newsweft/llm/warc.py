@@ -102,10 +102,16 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
 
 class Members:
-    """The gzip members that start in [start, end) of a file, decoded one by one."""
+    """The gzip members that start in [start, end) of a file, decoded one by one.
 
-    def __init__(self, file, start: int, end: int):
-        self.file, self.at, self.end = file, start, end
+    Members follow each other without gaps. So where one ends another must decode,
+    or the file end, and the first must start with the file; the member behind the
+    range is looked at too, as the next range can't tell its start. Anything else
+    raises ValueError, unless not ``strict``: then it is passed over.
+    """
+
+    def __init__(self, file, start: int, end: int, strict: bool = True):
+        self.file, self.at, self.end, self.strict = file, start, end, strict
         self.base, self.held = 0, b""
 
     def _read(self, at: int, n: int) -> bytes:
@@ -137,8 +143,18 @@ class Members:
         return (b"".join(parts), behind) if self._read(behind, 3) in (MAGIC, b"") else None
 
     def __iter__(self) -> Iterator[bytes]:
-        at = self.at
-        while at < self.end:
+        at, due = self.at, self.strict and self.at == 0
+        while due or at < self.end:
+            if due:
+                if not self._read(at, 1):
+                    return
+                if not (member := self._decode(at)):
+                    raise ValueError(f"no whole record at byte {at}: the archive is damaged or cut")
+                if at >= self.end:
+                    return
+                yield member[0]
+                at = member[1]
+                continue
             data = self._read(at, min(READ, self.end - at + 2))
             if len(data) < 3:
                 return
@@ -149,7 +165,7 @@ class Members:
                 return
             elif member := self._decode(at + i):
                 yield member[0]
-                at = member[1]
+                at, due = member[1], self.strict
             else:
                 at += i + 1
 
@@ -173,11 +189,13 @@ def _number(text: str | None) -> int | None:
 FIELDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT) -> DataFrame:
+def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT, strict: bool = True) -> DataFrame:
     """Records of all archives of a manifest: ``FIELDS`` and, with ``with_payload``, ``payload binary`` (null in revisits).
 
     Fields that a record doesn't say are null; archives of other writers have no
-    page_id and no refers_to. An empty manifest gives an empty table.
+    page_id and no refers_to. An empty manifest gives an empty table, and an archive
+    of no bytes no rows. A damaged or cut record fails the read, unless not
+    ``strict``; then the others are read.
     """
     ship(manifest.sparkSession)
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long"))
@@ -188,7 +206,7 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of(to: str, start: int):
             with open_path(to, "r") as f:
-                for member in Members(f, start, start + split):
+                for member in Members(f, start, start + split, strict):
                     h, body = parse(member)
                     kind, ref = h.get("warc-type"), _number(h.get("x-refers-to-page"))
                     # Of a revisit, what its header says of the full payload; else from the body itself.
@@ -219,4 +237,5 @@ def read_warc(manifest: DataFrame, with_payload: bool = True, split: int = SPLIT
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
+    """The pages as archives and back: a row for each row, by the rules of ``write_warc`` for nulls, long payloads, ties, repeats and other columns; an empty table gives an empty one."""
     return read_warc(write_warc(pages, new_path(pages.sparkSession, "warc")), with_payload=False).drop("url")
