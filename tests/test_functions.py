@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsweft.functions import dates, numbers, text, urls
-from newsweft.operators import dedupe, joins, similarity, windows
+from newsweft.operators import cutting, dedupe, joins, similarity, windows
 
 
 def values(spark, rows, expr, kind="string"):
@@ -58,7 +58,7 @@ def test_dedupe_blank_keys(spark):
 
 def test_chunks(spark):
     df = spark.createDataFrame([("a", i, 10) for i in range(7)] + [("b", 0, 500), ("b", 1, 1)], "g string, i int, n int")
-    got = {(r.g, r.i): r.chunk for r in windows.greedy_chunks(df, ["g"], ["i"], "n", 3, 100).collect()}
+    got = {(r.g, r.i): r.chunk for r in cutting.greedy_chunks(df, ["g"], ["i"], "n", 3, 100).collect()}
     assert [got["a", i] for i in range(7)] == [0, 0, 0, 1, 1, 1, 2]
     assert (got["b", 0], got["b", 1]) == (0, 1)
 
