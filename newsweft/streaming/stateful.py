@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -15,7 +17,8 @@ _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Stateful processors need a state store with column families."""
+    """Stateful processors need a state store with column families, and travel by value: the process in which Spark plans them doesn't get shipped files."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STORE)
     return ship(spark)
 
