@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.automaton import Automaton
+from ..functions import automaton
 from ..functions.terminology import apply_entries
 from ..session import written
 
 #: Bytes up to which a side that is checked may be broadcast.
 BROADCAST_BYTES = 8 << 20
-#: Characters of needles up to which a glossary is sent as an automaton (some 60 bytes each), and those of a gram on which larger ones are joined.
-NEEDLE_CHARACTERS, ANCHOR = 2_000_000, 4
+#: Characters of needles up to which a glossary is broadcast.
+NEEDLE_CHARACTERS = 2_000_000
 
 
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -63,64 +66,103 @@ def _needles(glossary: DataFrame, local: str, latin: str) -> DataFrame:
     return named.filter("_mm <> '' OR _en <> ''")
 
 
-def _by_automaton(texts: DataFrame, glossary: DataFrame, text_col: str, needles: list) -> DataFrame:
-    """Texts beside the glossary rows that occur in them; ``needles`` are the rows of ``glossary``, which is small."""
-    numbers: list[dict[str, list[int]]] = [{}, {}]
-    for i, r in enumerate(needles):
-        for found, n in zip(numbers, (r["_mm"], r["_en"])):
-            if n:
-                found.setdefault(n, []).append(i)
-    owners = [list(n.values()) for n in numbers]
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast([Automaton(list(n)) for n in numbers])  # bounded by NEEDLE_CHARACTERS
-
-    @F.pandas_udf("array<int>")
-    def hits(text: pd.Series, lower: pd.Series) -> pd.Series:
-        out: list[set[int]] = [set() for _ in text]
-        for automaton, own, column in zip(sent.value, owners, (text, lower)):
-            for t, n in zip(*automaton.find(column.tolist())):
-                out[t].update(own[n])
-        return pd.Series([sorted(x) for x in out])
-
-    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(needles)], "_i int, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in glossary.schema))
-    found = texts.withColumn("_i", F.explode(hits(F.coalesce(text_col, F.lit("")), F.lower(F.coalesce(text_col, F.lit(""))))))
-    return found.join(F.broadcast(rows), "_i").drop("_i", "_mm", "_en")
-
-
-def _by_grams(texts: DataFrame, glossary: DataFrame, text_col: str) -> DataFrame:
-    """As ``_by_automaton`` for a glossary of any size: a join on the gram of each needle that is rarest among needles, then a look."""
-    texts = written(texts.withColumn("_t", F.monotonically_increasing_id()), "texts")
-    glossary = written(glossary.withColumn("_i", F.monotonically_increasing_id()), "glossary")
-    cut = lambda c, n: F.transform(F.sequence(F.lit(0), F.length(c) - n), lambda i: F.substring(c, i + 1, n))
-    kinds = []
-    for needle, text in (("_mm", F.coalesce(F.col(text_col), F.lit(""))), ("_en", F.lower(F.coalesce(F.col(text_col), F.lit(""))))):
-        for n in range(1, ANCHOR + 1):
-            size = F.length(needle) == n if n < ANCHOR else F.length(needle) >= n
-            grams = glossary.filter(size).select("_i", F.col(needle).alias("needle"), F.explode(F.array_distinct(cut(F.col(needle), F.lit(n)))).alias("gram"))
-            often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-            anchors = grams.join(often, "gram").groupBy("_i").agg(F.min_by(F.struct("needle", "gram"), F.struct("often", "gram")).alias("x")).select("_i", "x.needle", "x.gram")
-            places = texts.select("_t", F.explode(F.when(F.length(text) >= n, F.array_distinct(cut(text, F.lit(n))))).alias("gram"))
-            seen = places.join(anchors, "gram").join(texts.select("_t", text.alias("text")), "_t").filter(F.contains("text", F.col("needle")))
-            kinds.append(seen.select("_t", "_i"))
-    pairs = kinds[0]
-    for k in kinds[1:]:
-        pairs = pairs.unionByName(k)
-    return texts.join(pairs.distinct(), "_t").join(glossary, "_i").drop("_t", "_i", "_mm", "_en")
-
-
-def occurrences(texts: DataFrame, glossary: DataFrame, text_col: str, local: str, latin: str, limit: int = NEEDLE_CHARACTERS) -> DataFrame:
+#: Characters that (?iu) takes for others than lower() does; texts with them are looked at whole.
+_FOLDED = {c for c in range(128, 0x110000) if len(u := chr(c).upper()) == 1 and u.lower() != chr(c).lower()} | {0x130}
+_MARKS = {c for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) == "Mn"}
+
+
+def _near(t: str, at: int, n: int) -> tuple[str, int]:
+    """A window with the characters that decide on word ends: one behind, and one before with the marks on it; and how many stand before."""
+    k = at - 1
+    while k > 0 and ord(t[k]) in _MARKS:
+        k -= 1
+    k = max(k, 0)
+    return t[k : at + n + 1], at - k
+
+
+def _bitmap(needles: DataFrame, lengths: list, bits: int) -> bytes:
+    """The bitmap of the needles' hashes, put together in parts: 2**MOST bits at most, whatever there are."""
+    @F.pandas_udf("array<long>")
+    def marked(needle: pd.Series) -> pd.Series:
+        return pd.Series(list(automaton.marks(needle.tolist(), lengths, bits).reshape(-1, 3)))
+
+    places = needles.select(F.explode(marked("needle")).alias("p"))
+    parts = places.groupBy(F.expr("p div 32768").alias("part")).agg(F.bitmap_construct_agg(F.pmod("p", F.lit(32768))).alias("b"))
+    out = bytearray((1 << bits) // 8)
+    for r in parts.toLocalIterator():
+        size = min(len(r["b"]), len(out) - 4096 * r["part"])
+        out[4096 * r["part"] : 4096 * r["part"] + size] = r["b"][:size]
+    return bytes(out)
+
+
+_FOUND = "array<struct<kind: int, needle: string, near: array<struct<s: string, k: int>>>>"
+
+
+def _windows(named: DataFrame, text: Column, near: bool) -> Column:
+    """Windows of a text (0) and of it in lower case (1) that may be needles, with what is around each if it is asked for."""
+    spark, finders = named.sparkSession, []
+    for c in ("_mm", "_en"):
+        needles = named.filter(F.col(c) != "").select(F.col(c).alias("needle"))
+        sizes = needles.groupBy(F.length("needle").alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()  # a row a length
+        lengths, bits = automaton.classes(r["n"] for r in sizes), automaton.size_of(sum(r["c"] for r in sizes))
+        finders.append((lengths, bits, _bitmap(needles, lengths, bits) if lengths else b""))
+    sent = spark.sparkContext.broadcast(finders)
+
+    @F.pandas_udf(_FOUND)
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        windows = [automaton.Windows(*x) for x in sent.value]
+        for columns in batches:
+            out: list[list] = [[] for _ in columns[0]]
+            for kind, (w, column) in enumerate(zip(windows, columns)):
+                texts, one = column.tolist(), {}
+                for t, at, n, h in zip(*(x.tolist() for x in w.find(texts))):
+                    if near:
+                        one.setdefault((t, texts[t][at : at + n]), set()).add(_near(texts[t], at, n))
+                    elif (t, n, h) not in one:
+                        one[t, n, h] = t, texts[t][at : at + n]
+                for t, s in one if near else set(one.values()):
+                    out[t].append({"kind": kind, "needle": s, "near": [{"s": x, "k": k} for x, k in one[t, s]] if near else None})
+            if near:
+                for t, s in enumerate(columns[0].tolist()):
+                    if not s.isascii() and not _FOLDED.isdisjoint(map(ord, set(s))):
+                        for x in out[t]:
+                            x["near"].append({"s": s, "k": -1})
+            yield pd.Series(out)
+
+    return found(text, F.lower(text))
+
+
+def occurrences(texts: DataFrame, glossary: DataFrame, text_col: str, local: str, latin: str, limit: int = NEEDLE_CHARACTERS, rule: Callable[[Column], Column] | None = None) -> DataFrame:
     """Texts beside each glossary row whose ``local`` occurs in them literally, or ``latin`` without regard to case.
 
-    A glossary of up to ``limit`` characters and as many bytes of other columns is
-    sent as an automaton that reads each text once; beyond that, texts and needles
-    meet on a shared gram. Never all pairs. Null and blank needles find nothing, null
-    texts hold nothing; repeated rows of either side stay.
+    Texts are read once for windows that may be needles, by a bitmap of bounded
+    size, and these are joined with the needles. A glossary of up to ``limit``
+    characters and as many bytes of other columns is broadcast; beyond that,
+    numbers of texts and rows are shuffled. Never all pairs. Null and blank needles
+    find nothing, null texts hold nothing; repeated rows of either side stay.
+    ``rule`` says which count by what is around: of ``kind`` and ``near``, which
+    has pieces of text and how many of their characters stand before the needle
+    (-1: the whole text, which is to be searched).
     """
     named = _needles(glossary, local, latin)
-    size = named.agg(F.sum(F.length("_mm") + F.length("_en") + F.lit(8)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*glossary.columns)))).alias("bytes")).first()
-    if (size["n"] or 0) <= limit and (size["bytes"] or 0) <= 4 * limit:
-        return _by_automaton(texts, named, text_col, named.collect())
-    return _by_grams(texts, named, text_col)
+    both = F.count_if((F.col("_mm") != "") & (F.col("_en") != ""))
+    size = named.agg(F.sum(F.length("_mm") + F.length("_en") + F.lit(8)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*glossary.columns)))).alias("bytes"), both.alias("both")).first()
+    few = (size["n"] or 0) <= limit and (size["bytes"] or 0) <= 4 * limit
+    named, texts = written(named.withColumn("_i", F.monotonically_increasing_id()), "glossary"), texts.withColumn("_t", F.monotonically_increasing_id())
+    texts = texts if few else written(texts, "texts")
+    kept = [c for c in texts.columns if few or c == "_t"]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    seen = texts.withColumn("_w", F.explode(_windows(named, text, rule is not None))).select(*kept, F.col("_w.kind").alias("_kind"), F.col("_w.needle").alias("_needle"), F.col("_w.near").alias("_near"))
+    side = lambda kind, c: named.filter(F.col(c) != "").select(F.lit(kind).alias("_kind"), F.col(c).alias("_needle"), "_i", *[F.col(x).alias(f"_g_{x}") for x in glossary.columns])
+    needles = side(0, "_mm").unionByName(side(1, "_en"))
+    found = seen.join(F.broadcast(needles) if few else needles, ["_kind", "_needle"])
+    if rule is not None:
+        found = found.filter(rule(F.col("_near")))
+    found = found.dropDuplicates(["_t", "_i"]) if size["both"] else found
+    given = [F.col(f"_g_{x}").alias(x) for x in glossary.columns]
+    if few:
+        return found.select(*[c for c in texts.columns if c != "_t"], *given)
+    return texts.join(found.select("_t", *given), "_t").drop("_t")
 
 
 def glossary_matches(texts: DataFrame, glossary: DataFrame, text_col: str, local: str = "mm", latin: str = "en", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
@@ -129,12 +171,13 @@ def glossary_matches(texts: DataFrame, glossary: DataFrame, text_col: str, local
 
 
 def region_matches(texts: DataFrame, regions: DataFrame, text_col: str, local: str = "mm", latin: str = "en", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
-    """As glossary_matches on whole names: no Burmese letter beside ``mm``, word ends around ``en``. Only what occurs is looked at by pattern."""
-    quote = lambda c: F.concat(F.lit("\\Q"), F.col(c), F.lit("\\E"))
+    """As glossary_matches on whole names: no Burmese letter beside ``mm``, word ends around ``en``. Only what stands around a name is looked at by pattern."""
+    quote = lambda c: F.concat(F.lit("\\Q"), F.col(f"_g_{c}"), F.lit("\\E"))
     mm = F.concat(F.lit(r"(?<![\x{1000}-\x{109F}])"), quote(local), F.lit(r"(?![\x{1000}-\x{109F}])"))
     en = F.concat(F.lit(r"(?iu)\b"), quote(latin), F.lit(r"\b"))
-    rule = ((F.col(local) != "") & F.rlike(text_col, mm)) | ((F.col(latin) != "") & F.rlike(text_col, en))
-    return occurrences(texts, regions.dropDuplicates([local, latin]), text_col, local, latin, limit).filter(rule)
+    before = lambda k: F.when(k >= 0, F.concat(F.lit("(?s)^.{"), k.cast("string"), F.lit("}"))).otherwise("")
+    rule = lambda near: F.exists(near, lambda x: F.rlike(x["s"], F.concat(before(x["k"]), F.when(F.col("_kind") == 0, mm).otherwise(en))))
+    return occurrences(texts, regions.dropDuplicates([local, latin]), text_col, local, latin, limit, rule)
 
 
 def with_glossary(rows: DataFrame, glossary: DataFrame, out_col: str, source_col: str, order: str, prefer: str = "body_ja", limit: int = NEEDLE_CHARACTERS) -> DataFrame:
