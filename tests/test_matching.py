@@ -92,3 +92,18 @@ def test_speed_of_windows():
         a.find(texts)
         took.append(time.process_time() - began)
     assert min(took) < 0.35 * sum(map(len, texts)) / 1e6
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_what_stands_around_a_name(spark, limit):
+    """The look at a few characters says what the pattern says of the whole text."""
+    texts = ["Yangon", "xYangon, yangon", "YANGONS", "é\u0301yangon", "\u0301yangon-", "yangon\u0301 x", "_yangon", "(yangon)", "\U00010400yangon", "noſe nose1", "noſe", "ရန်ကုန် ကရန်ကုန်", "ရန်ကုန်x", "aa aaa", "aaaa"]
+    names = [(1, "", "Yangon"), (2, "", "nose"), (3, "ရန်ကုန်", "yangon"), (4, "", "aa")]
+    t = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    g = spark.createDataFrame(names, "nth int, mm string, en string")
+    mm = F.concat(F.lit(r"(?<![\x{1000}-\x{109F}])\Q"), "mm", F.lit(r"\E(?![\x{1000}-\x{109F}])"))
+    en = F.concat(F.lit(r"(?iu)\b\Q"), "en", F.lit(r"\E\b"))
+    occurs = F.contains(F.lower("text"), F.lower("en")) | ((F.col("mm") != "") & F.contains("text", F.col("mm")))
+    want = t.crossJoin(g).filter(occurs & (((F.col("mm") != "") & F.rlike("text", mm)) | F.rlike("text", en)))
+    got = joins.region_matches(t, g, "text", limit=limit)
+    assert sorted((r.id, r.nth) for r in got.collect()) == sorted((r.id, r.nth) for r in want.collect())
