@@ -1,10 +1,10 @@
 """Hard negatives by a block matrix multiply in two dimensions, in the manner of SUMMA.
 
-Rows and anchors are cut into blocks and their dimensions into chunks. A task
-multiplies anchor blocks and a row block of one chunk into partial int64 score
-tiles; the tiles of all chunks are shuffled together by (anchor block, row
-block), added, and each whole tile is reduced to the best few rows of every
-window at once, so no matrix of scores is ever kept.
+Rows and anchors are cut into blocks and their dimensions into chunks. A tile
+of scores stays where it is: the panels of all chunks of a row block and of a
+strip of anchor blocks are shuffled to one task, which adds up their products
+chunk by chunk and reduces each whole tile at once to the best few rows of every
+window. So no scores are shuffled, and no matrix of scores is ever kept.
 
 This is done twice. For positives, blocks hold rows of few labels, so that only
 tiles of rows with one label are made. Then anchors carry the score window of
@@ -34,7 +34,6 @@ LOW, HIGH = 50, 95
 _TOP = 1 << 63
 
 _PANEL = "row_block long, strip long, chunk int, kind int, anchor_block long, meta binary, data binary"
-_TILE = "anchor_block long, row_block long, chunk int, height int, meta binary, data binary"
 
 
 def prepared(vectors: DataFrame, id_col: str, label_col: str, vector_col: str, anchors: Column, scale: int) -> DataFrame:
@@ -76,70 +75,43 @@ def _read_meta(meta: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return a[:n], a[n : 2 * n], a[2 * n : 3 * n], a[3 * n :].reshape(n, -1)
 
 
-def _multiply(panels: DataFrame, tasks: int, kind: str, wide: bool) -> DataFrame:
-    """Partial tiles: each row block times the anchor blocks of its strip, by chunk."""
+def _meet(panels: DataFrame, tasks: int, kind: str, wide: bool, best: Callable[[np.ndarray, bytes, bytes], list[np.ndarray]], names: list[str]) -> DataFrame:
+    """Each row block times the anchor blocks of its strip, and every tile reduced by ``best`` to columns of longs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, row_meta, has = None, b"", None
+        def done() -> Iterator[pa.RecordBatch]:
+            out = best(total.astype(np.int64), anchor_meta, tile_rows)
+            if len(out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
+
+        rows, row_meta, anchor_meta, tile_rows, has, tile, total = {}, b"", b"", b"", None, None, None
         for b in batches:
             for r in b.to_pylist():
-                data = np.frombuffer(r["data"], kind)
                 height = int(np.frombuffer(r["meta"], np.int64, 1)[0])
-                m = data.reshape(height, -1).astype(np.int64 if wide else np.float64)
-                key = r["row_block"], r["strip"], r["chunk"]
+                m = np.frombuffer(r["data"], kind).reshape(height, -1)
+                key = r["row_block"], r["strip"]
                 if r["kind"] == 0:
-                    rows, row_meta, has = m, r["meta"], key
+                    rows, row_meta = (rows if has == key else {}) | {r["chunk"]: m}, r["meta"]
+                    has = key
                     continue
                 if has != key:  # a strip without a row block: no rows in it
                     continue
-                tile = m @ rows.T  # exact in doubles too, as no sum reaches 2**53
-                tile = tile.astype(np.int64) if wide else tile.astype(np.int32 if abs(tile).max(initial=0) < 1 << 31 else np.int64)
-                meta = np.int64(len(r["meta"])).tobytes() + r["meta"] + row_meta if r["chunk"] == 0 else None
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["anchor_block"]], pa.int64()), pa.array([r["row_block"]], pa.int64()), pa.array([r["chunk"]], pa.int32()), pa.array([height], pa.int32()), pa.array([meta], pa.binary()), pa.array([tile.tobytes()], pa.binary())],
-                    names=["anchor_block", "row_block", "chunk", "height", "meta", "data"])
-        trim()
-
-    dealt = panels.repartition(tasks, "row_block", "strip", "chunk").sortWithinPartitions("row_block", "strip", "chunk", "kind")
-    return dealt.mapInArrow(work, _TILE)
-
-
-def _reduce(tiles: DataFrame, tasks: int, best: Callable[[np.ndarray, bytes, bytes], list[np.ndarray]], names: list[str]) -> DataFrame:
-    """Add the partial tiles of each pair of blocks and reduce every whole tile by ``best`` to columns of longs."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done() -> Iterator[pa.RecordBatch]:
-            cut = 8 + int(np.frombuffer(meta, np.int64, 1)[0])
-            out = best(total, meta[8:cut], meta[cut:])
-            if len(out[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
-
-        key, total, meta = None, None, b""
-        for b in batches:
-            for r in b.to_pylist():
-                cells = r["height"] * max(1, _width(r, meta, key))
-                tile = np.frombuffer(r["data"], np.int32 if len(r["data"]) == 4 * cells else np.int64).reshape(r["height"], -1)
-                if (r["anchor_block"], r["row_block"]) != key:
-                    if key is not None:
-                        yield from done()
-                    key, total, meta = (r["anchor_block"], r["row_block"]), tile.astype(np.int64), r["meta"]
-                else:
-                    total = total + tile
-        if key is not None:
+                cast = np.int64 if wide else np.float64  # exact in doubles too, as no sum reaches 2**53
+                part = m.astype(cast) @ rows[r["chunk"]].astype(cast).T
+                if tile == (*key, r["anchor_block"]):
+                    total += part
+                    continue
+                if tile is not None:
+                    yield from done()
+                tile, total, anchor_meta, tile_rows = (*key, r["anchor_block"]), part, r["meta"], row_meta
+        if tile is not None:
             yield from done()
         trim()
 
-    dealt = tiles.repartition(tasks, "anchor_block", "row_block").sortWithinPartitions("anchor_block", "row_block", "chunk")
+    dealt = panels.repartition(tasks, "row_block", "strip").sortWithinPartitions("row_block", "strip", "kind", "anchor_block", "chunk")
     return dealt.mapInArrow(work, ", ".join(f"{n} long" for n in names))
 
 
-def _width(r: dict, meta: bytes, key: tuple | None) -> int:
-    """Rows of the tile's row block; chunk 0, which comes first, has them."""
-    m = r["meta"] if (r["anchor_block"], r["row_block"]) != key else meta
-    cut = 8 + int(np.frombuffer(m, np.int64, 1)[0])
-    return int(np.frombuffer(m, np.int64, 1, offset=cut)[0])
-
-
 def first_of_each(owner: np.ndarray, score: np.ndarray, row_id: np.ndarray, k: int) -> np.ndarray:
     """Places of the first ``k`` of each owner by falling score, then rising id."""
     order = np.lexsort((row_id, -score, owner))
@@ -235,8 +207,7 @@ def mine(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "label", v
     two = _blocks(grouped.filter("is_anchor").withColumn("part", part("anchor_parts")), ["grp", "part", "row_parts"], [], dim, chunks, kind)
     two = two.withColumn("row_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_parts") - 1)))
     anchor_panels = two.select((F.col("grp") * wall + F.col("row_part")).alias("row_block"), F.expr(f"part div {strip}").alias("strip"), "chunk", F.lit(1).alias("kind"), (F.col("grp") * wall + F.col("part")).alias("anchor_block"), "meta", "data")
-    tiles = _multiply(row_panels.select(panel).unionByName(anchor_panels.select(panel)), _tasks(spark, chunks * row_blocks), kind, wide)
-    near = _reduce(tiles, _tasks(spark, row_blocks), _positives_of(positives), ["id", "tie", "positive_id", "score"])
+    near = _meet(row_panels.select(panel).unionByName(anchor_panels.select(panel)), _tasks(spark, row_blocks), kind, wide, _positives_of(positives), ["id", "tie", "positive_id", "score"])
     best = Window.partitionBy("id", "tie").orderBy(F.desc("score"), "positive_id")
     near = near.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= positives)
     # At most ``positives`` of each anchor, filled up with zeros.
@@ -250,9 +221,8 @@ def mine(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "label", v
     one = _blocks(rows.withColumn("block", F.pmod("tie", F.lit(row_blocks))), ["block"], [], dim, chunks, kind)
     row_panels = one.select(F.col("block").alias("row_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit((anchor_blocks - 1) // strip).cast("long"))).alias("strip"), "chunk", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("anchor_block"), "meta", "data")
     anchor_panels = two.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))).alias("row_block"), F.expr(f"block div {strip}").alias("strip"), "chunk", F.lit(1).alias("kind"), F.col("block").alias("anchor_block"), "meta", "data")
-    tiles = _multiply(row_panels.select(panel).unionByName(anchor_panels.select(panel)), _tasks(spark, chunks * row_blocks), kind, wide)
     names = ["id", "tie", "nth", "positive_id", "positive_score", "negative_id", "negative_score"]
-    hard = _reduce(tiles, _tasks(spark, row_blocks * anchor_blocks / 4), _negatives_of(negatives, positives, low, high), names)
+    hard = _meet(row_panels.select(panel).unionByName(anchor_panels.select(panel)), _tasks(spark, row_blocks * -(-anchor_blocks // strip)), kind, wide, _negatives_of(negatives, positives, low, high), names)
     best = Window.partitionBy("id", "tie", "nth").orderBy(F.desc("negative_score"), "negative_id")
     hard = persist(hard.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= negatives), "negatives")
     free(rows, windows)

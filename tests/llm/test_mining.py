@@ -255,3 +255,20 @@ def test_toxicity_without_labels(spark, scored):
     assert {r.predicted for r in got.collect()} == {0}
     assert toxicity.classify(docs.limit(0), labels, epochs=1).count() == 0
     assert {r.predicted for r in toxicity.classify(docs.limit(5), labels.limit(0)).collect()} == {0}
+
+
+def test_no_scores_are_shuffled(spark):
+    """Each panel is sent with its strip, and what a task gives are the first few rows of each anchor, not tiles."""
+    df = spark.range(400).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label"), F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.sin(F.col("id") * i).cast("float")).alias("embedding"))
+    seen, meet = [], hard_negatives._meet
+
+    def watched(panels, *a):
+        seen.append(meet(panels, *a))
+        return seen[-1]
+
+    hard_negatives._meet = watched
+    try:
+        hard_negatives.mine(df, rows_in_block=50, anchors_in_block=2, chunks=3)
+    finally:
+        hard_negatives._meet = meet
+    assert len(seen) == 2 and all(set(dict(d.dtypes).values()) == {"bigint"} for d in seen)
