@@ -1,9 +1,10 @@
 """Scored context: for each article the few others of its day, or of the archive, that may tell the same event.
 
-Grams of a title or text of any length are hashed once a row. Rows of a group
-are dealt into blocks of at most BLOCK; a task compares two blocks, whose shared
-grams are counted by matrix products over ranges of grams, so it holds two
-blocks whatever the group. Only pairs that score leave a task.
+Rows of a group are dealt into blocks of at most BLOCK; a task compares two
+blocks, whose shared grams are counted by matrix products over ranges of grams,
+so it holds two blocks whatever the group. Blocks travel as texts, whose grams
+are hashed in the task, as eight bytes for each of three grams a character are
+some twenty times the text. Only pairs that score leave a task.
 """
 
 from __future__ import annotations
@@ -42,16 +43,6 @@ def hashed_grams(s: str | None, sizes: tuple[int, ...] = (3, 4, 5)) -> np.ndarra
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
-def with_grams(df: DataFrame, key: str, out: str = "grams") -> DataFrame:
-    """``df`` and the hashes of the grams of a key column, as binary."""
-
-    @F.pandas_udf("binary")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: hashed_grams(x).tobytes())
-
-    return df.withColumn(out, run(F.coalesce(key, F.lit(""))))
-
-
 def _shared(a: list[np.ndarray], b: list[np.ndarray], same: bool) -> np.ndarray:
     """How many grams each of ``a`` has in common with each of ``b``; if they are the ``same`` rows, of different rows only."""
     left, right = (np.concatenate([*x, np.empty(0, np.uint64)]) for x in (a, b))
@@ -82,7 +73,7 @@ def _shared(a: list[np.ndarray], b: list[np.ndarray], same: bool) -> np.ndarray:
 
 
 PAIR = "id long, other long, sim double, points double, reasons string"
-SIDE = ["id", "grams", "title", "url", "dup"]
+SIDE = ["id", "key", "title", "url", "dup"]
 
 
 def _blocks(df: DataFrame, group: str, name: str) -> DataFrame:
@@ -129,7 +120,8 @@ def _codes(x: pd.Series, y: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool, least: float, most: int | None) -> Iterator[pd.DataFrame]:
-    sets = [[np.frombuffer(g, np.uint64) for g in x["grams"]] for x in (a, b)]
+    sets = [[hashed_grams(k) for k in x["key"]] for x in ((a,) if a is b else (a, b))]
+    sets = sets * 2 if a is b else sets
     na, nb = (np.array([len(g) for g in s]) for s in sets)
     low = np.minimum(na[:, None], nb[None, :])
     sim = np.divide(_shared(*sets, a is b).astype(float), low, out=np.zeros(low.shape), where=low > 0)
@@ -183,8 +175,7 @@ def sides(df: DataFrame, group: Column, row: Column, title: Column, summary: Col
     """``grp`` and ``SIDE`` of articles with one headline: what ``pairs`` compares."""
     blank = F.lit("")
     key = lambda c: normalize_key(c, fold=fold)
-    d = df.select(group.alias("grp"), row.cast("long").alias("id"), key(title).alias("title"), url.alias("url"), dup.alias("dup"), key(article_text(title, blank, blank, summary, dup)).alias("_k"))
-    return with_grams(d, "_k").drop("_k")
+    return df.select(group.alias("grp"), row.cast("long").alias("id"), key(title).alias("title"), url.alias("url"), dup.alias("dup"), F.coalesce(key(article_text(title, blank, blank, summary, dup)), blank).alias("key"))
 
 
 def short(c: Column, size: int) -> Column:
