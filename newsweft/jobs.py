@@ -69,13 +69,11 @@ def score(spark: SparkSession, a: argparse.Namespace) -> None:
     todo = now.filter(usable(F.concat_ws("\n", *texts)))
     if a.day in now.columns and a.final in now.columns:
         todo = todo.filter(pending(F.col(a.day), F.col(a.final)))
-    grams = ml.counts(past, "_row")
-    fitted = ml.fit(grams, past.count())
-    model = ml.train(past, written(ml.transform(past, "_row", grams, fitted), "values"), "_row", "label", "weight")
-    parts = ml.contributions(ml.transform(todo, "_row", ml.counts(todo, "_row"), fitted), model, "_row") if model.constant is None else None
     outputs = {"score": "int", "probability": "double"}
+    space = ml.Space.of(past, ml.fit(ml.counts(past, "_row"), past.count()))
+    model = ml.train(written(ml.vectors(past, "_row", space, ("label", "weight")), "values"), space, "label", "weight")
     old = now.select("_row", a.key, *[(F.col(c) if c in now.columns else F.lit(None)).cast(t).alias(c) for c, t in outputs.items()])
-    new = ml.decisions(todo, parts, model, "_row").select("_row", *outputs)
+    new = ml.decisions(ml.vectors(todo, "_row", space), space, model, "_row").select("_row", *outputs)
     out = joins.overlay(old.drop(a.key), new, "_row", list(outputs)).join(old.select("_row", a.key), "_row")
     out.select(a.key, *outputs).write.mode("overwrite").parquet(a.out)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html, json_text, urls
 from ..operators import ml
-from ..session import shared_folder
+from ..session import shared_folder, written
 from ..sources import feeds, sinks
 from ..streaming import incremental
 from .articles import ARTICLES, articles
@@ -82,27 +82,25 @@ def _records(spark, sf_dir):
 
 def _model(spark, sf_dir):
     rows = _records(spark, sf_dir)
-    target = shared_folder(spark, "model-values")
-    ml.features(rows, "doc_id").write.parquet(target)
-    values = spark.read.schema("doc_id long, feature string, value double").parquet(target)
-    return rows, values, ml.train(rows, values, "doc_id", "label", "weight")
+    counted = ml.counts(rows, "doc_id")
+    space = ml.Space.of(rows, ml.fit(counted, rows.count()))
+    values = written(ml.vectors(rows, "doc_id", space, ("label", "weight")), "model-values")
+    return values, space, ml.train(values, space, "label", "weight")
 
 
 @query()
 def lr_scores(spark, sf_dir):
     """All four branches and the metadata of whole records; no SQL twin: a regression has none."""
-    rows, values, model = _model(spark, sf_dir)
-    parts = ml.contributions(values, model, "doc_id") if model.constant is None else None
-    return ml.decisions(rows, parts, model, "doc_id").select("doc_id", "score")
+    values, space, model = _model(spark, sf_dir)
+    return ml.decisions(values, space, model, "doc_id").select("doc_id", "score")
 
 
 @query()
 def explain(spark, sf_dir):
     """Why a record has its score: the eight largest contributions of either sign, and the stored detail."""
-    rows, values, model = _model(spark, sf_dir)
-    parts = ml.contributions(values, model, "doc_id")
-    r = ml.decisions(rows, parts, model, "doc_id").join(ml.reasons(ml.top_contributions(parts, "doc_id"), "doc_id"), "doc_id", "left")
-    up, down = (F.coalesce(c, F.lit(ml.NOTHING)) for c in ("up", "down"))
+    values, space, model = _model(spark, sf_dir)
+    r = ml.decisions(values, space, model, "doc_id", ml.TOP)
+    up, down = (ml.reason_text(F.col(c)) for c in ("up", "down"))
     return r.select("doc_id", "score", up.alias("up"), down.alias("down"), ml.detail_json(F.col("decision"), F.col("probability"), F.col("score"), up, down, F.lit("")).alias("detail"))
 
 
