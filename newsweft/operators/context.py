@@ -1,8 +1,9 @@
 """Scored context: for each article the few others of its day, or of the archive, that may tell the same event.
 
 Rows of a group are dealt into blocks of at most BLOCK; a task compares two
-blocks, whose shared grams are counted by matrix products over ranges of grams,
-so it holds two blocks whatever the group. Blocks travel as texts, whose grams
+blocks, or two spans of them where only the best partners leave it, so that a
+text is copied once a span of its group. Two blocks at a time, the shared grams are counted by matrix products over ranges of grams,
+so it holds the grams of two blocks and the texts of two spans whatever the group. Blocks travel as texts, whose grams
 are hashed in the task, as eight bytes for each of three grams a character are
 some twenty times the text. Only pairs that score leave a task.
 """
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_key, truncate
 
 BLOCK = 256
+#: Spans of a group, unless they would have more rows or bytes than these.
+SPANS, SPAN_ROWS, SPAN_BYTES = 4, 8192, 32 << 20
 #: Grams whose columns are multiplied at once.
 COLUMNS = 1 << 14
 #: Points of what is equal, of similarity, the least similarity that counts, items and characters of a context.
@@ -76,12 +79,22 @@ PAIR = "id long, other long, sim double, points double, reasons string"
 SIDE = ["id", "key", "title", "url", "dup"]
 
 
-def _blocks(df: DataFrame, group: str, name: str) -> DataFrame:
-    """``df`` with its block and its group's number of blocks; sizes are summed up before the shuffle."""
-    sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{name}s"))
+def _blocks(df: DataFrame, group: str, name: str, spans: bool) -> DataFrame:
+    """``df`` with its block, or its span, and its group's number of them; sizes are summed up before the shuffle."""
+    n, size = F.count(F.lit(1)), F.sum(F.octet_length("key") + F.octet_length("title"))
+    most = F.greatest(F.lit(SPANS), F.ceil(n / SPAN_ROWS), F.ceil(F.coalesce(size, F.lit(0)) / SPAN_BYTES)) if spans else n
+    sizes = df.groupBy(group).agg(F.least(F.ceil(n / BLOCK), most).cast("int").alias(f"{name}s"))
     return df.join(sizes, group).withColumn(name, F.pmod(F.xxhash64("id", F.lit(3)), F.col(f"{name}s")).cast("int"))
 
 
+def _best(found: list[pd.DataFrame], least: float, most: int) -> pd.DataFrame:
+    """The ``most`` best partners of each row, by score and then smallest id."""
+    x = pd.concat(found, ignore_index=True)
+    score = np.round(x["points"] + np.where(x["sim"] >= least, x["sim"] * FACTOR, 0.0), 6)
+    x = x.iloc[np.lexsort((x["other"], -score, x["id"]))]
+    return x[x.groupby("id").cumcount() < most]
+
+
 def pairs(left: DataFrame, right: DataFrame | None, group: str, least: float = LEAST, most: int | None = None) -> DataFrame:
     """``PAIR`` of rows of one group that are similar or equal in title, url or duplicate key.
 
@@ -90,12 +103,12 @@ def pairs(left: DataFrame, right: DataFrame | None, group: str, least: float = L
     many best partners of a row, by score and then smallest id: the best of all
     are among them.
     """
-    own = _blocks(left.select(group, *SIDE), group, "i")
+    own = _blocks(left.select(group, *SIDE), group, "i", most is not None)
     if right is None:
         tiles = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("is") - 1)))
         rows = tiles.select(group, F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), *SIDE, F.col("i").alias("side"))
     else:
-        other = _blocks(right.select(group, *SIDE), group, "j")
+        other = _blocks(right.select(group, *SIDE), group, "j", most is not None)
         counts = lambda df, n: df.groupBy(group).agg(F.max(n).alias(n))
         one = own.join(counts(other, "js"), group).select(group, F.col("i").alias("lo"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("hi"), *SIDE, F.lit(0).alias("side"))
         two = other.join(counts(own, "is"), group).select(group, F.explode(F.sequence(F.lit(0), F.col("is") - 1)).alias("lo"), F.col("j").alias("hi"), *SIDE, F.lit(1).alias("side"))
@@ -108,7 +121,18 @@ def pairs(left: DataFrame, right: DataFrame | None, group: str, least: float = L
         b = a if same_table and pdf["lo"].iloc[0] == pdf["hi"].iloc[0] else pdf[~first].sort_values("id")
         if not len(a) or not len(b):
             return pd.DataFrame(columns=["id", "other", "sim", "points", "reasons"])
-        return pd.concat(_found(a, b, same_table and a is not b, same_table, least, most), ignore_index=True)
+        parts = lambda x: [x.iloc[k : k + BLOCK] for k in range(0, len(x), BLOCK)]
+        if most is None:  # two blocks, which are larger than BLOCK by chance at most
+            return pd.concat(_found(a, b, same_table and a is not b, same_table, least, most), ignore_index=True)
+        out: list[pd.DataFrame] = []
+        for i, x in enumerate(parts(a)):
+            grams = [hashed_grams(k) for k in x["key"]]
+            for j, y in enumerate(parts(b)):
+                if a is not b or i <= j:
+                    twin = a is b and i == j
+                    out += _found(x, x if twin else y, same_table and not twin, same_table, least, most, grams)
+            out = [_best(out, least, most)]
+        return out[0]
 
     return rows.groupBy(group, "lo", "hi").applyInPandas(work, PAIR)
 
@@ -119,9 +143,9 @@ def _codes(x: pd.Series, y: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return codes[: len(x)], codes[len(x) :]
 
 
-def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool, least: float, most: int | None) -> Iterator[pd.DataFrame]:
-    sets = [[hashed_grams(k) for k in x["key"]] for x in ((a,) if a is b else (a, b))]
-    sets = sets * 2 if a is b else sets
+def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool, least: float, most: int | None, grams: list[np.ndarray] | None = None) -> Iterator[pd.DataFrame]:
+    own = grams if grams is not None else [hashed_grams(k) for k in a["key"]]
+    sets = [own, own if a is b else [hashed_grams(k) for k in b["key"]]]
     na, nb = (np.array([len(g) for g in s]) for s in sets)
     low = np.minimum(na[:, None], nb[None, :])
     sim = np.divide(_shared(*sets, a is b).astype(float), low, out=np.zeros(low.shape), where=low > 0)
@@ -146,7 +170,7 @@ def _found(a: pd.DataFrame, b: pd.DataFrame, both_ways: bool, same_table: bool,
         # Python rounds the similarity as it is in binary; format_string() rounds its shortest decimal form.
         near = [f"text_similarity={v:.2f}" if v >= least else "" for v in sim[x, y]]
         reasons = [",".join(filter(None, [*(REASONS[n] for n in why if why[n][p, q]), v])) for p, q, v in zip(x, y, near)]
-        yield pd.DataFrame({"id": own[i], "other": other[j], "sim": sim[x, y], "points": points[x, y], "reasons": reasons})
+        yield pd.DataFrame({"id": own[i], "other": other[j], "sim": sim[x, y], "points": points[x, y], "reasons": np.array(reasons, object)})
 
 
 def context(found: DataFrame, others: DataFrame, fields: dict[str, Column], most: int = ITEMS, characters: int = CHARACTERS) -> DataFrame:

@@ -13,3 +13,20 @@ def test_blocks_travel_as_texts(spark):
     assert size <= 1.2 * len(text)
     got = context.pairs(side, None, "grp")
     assert sorted((r.id, r.other) for r in got.collect()) == [(a, b) for a in range(3) for b in range(3) if a != b]
+
+
+def test_copies_do_not_grow_with_a_group(spark, monkeypatch):
+    """A group of many blocks travels in few spans, and the best partners are those of all pairs."""
+    monkeypatch.setattr(context, "BLOCK", 5)
+    words = [f"w{i * 7919 % 101}" for i in range(300)]
+    df = spark.createDataFrame([(i, f"title {i % 40}", " ".join(words[i * 3 % 200 : i * 3 % 200 + 20 + i % 9])) for i in range(90)], "id long, title string, body string")
+    side = context.sides(df, F.lit(1), F.col("id"), F.col("title"), F.col("body"), F.lit(""), F.lit(""))
+    assert context._blocks(side, "grp", "i", True).agg(F.max("i")).first()[0] < context.SPANS
+    score = F.round(F.col("points") + F.when(F.col("sim") >= context.LEAST, F.col("sim") * context.FACTOR).otherwise(0.0), 6)
+    best = {}
+    for r in context.pairs(side, None, "grp").select("id", "other", score.alias("s")).collect():
+        best.setdefault(r.id, []).append((-r.s, r.other))
+    got = {}
+    for r in context.pairs(side, None, "grp", most=6).select("id", "other", score.alias("s")).collect():
+        got.setdefault(r.id, []).append((-r.s, r.other))
+    assert {i: sorted(x)[:6] for i, x in got.items()} == {i: sorted(x)[:6] for i, x in best.items()}
