@@ -68,6 +68,7 @@ def _needles(glossary: DataFrame, local: str, latin: str) -> DataFrame:
 
 #: Characters that (?iu) takes for others than lower() does; texts with them are looked at whole.
 _FOLDED = {c for c in range(128, 0x110000) if len(u := chr(c).upper()) == 1 and u.lower() != chr(c).lower()} | {0x130}
+_FOLDS = "[" + "".join(f"\\x{{{c:X}}}" for c in sorted(_FOLDED)) + "]"
 _MARKS = {c for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) == "Mn"}
 
 
@@ -124,12 +125,14 @@ def _windows(named: DataFrame, text: Column, near: bool) -> Column:
                     out[t].append({"kind": kind, "needle": s, "near": [{"s": x, "k": k} for x, k in one[t, s]] if near else None})
             if near:
                 for t, s in enumerate(columns[0].tolist()):
-                    if not s.isascii() and not _FOLDED.isdisjoint(map(ord, set(s))):
+                    if s and not s.isascii() and not _FOLDED.isdisjoint(map(ord, set(s))):
                         for x in out[t]:
                             x["near"].append({"s": s, "k": -1})
             yield pd.Series(out)
 
-    return found(text, F.lower(text))
+    # Without needles that are looked for literally, only texts that are looked at whole are sent as they are.
+    literal = text if finders[0][0] else F.when(F.rlike(text, F.lit(_FOLDS)), text).otherwise("") if near else F.lit("")
+    return found(literal, F.lower(text) if finders[1][0] else F.lit(""))
 
 
 def occurrences(texts: DataFrame, glossary: DataFrame, text_col: str, local: str, latin: str, limit: int = NEEDLE_CHARACTERS, rule: Callable[[Column], Column] | None = None) -> DataFrame:

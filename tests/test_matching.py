@@ -107,3 +107,12 @@ def test_what_stands_around_a_name(spark, limit):
     want = t.crossJoin(g).filter(occurs & (((F.col("mm") != "") & F.rlike("text", mm)) | F.rlike("text", en)))
     got = joins.region_matches(t, g, "text", limit=limit)
     assert sorted((r.id, r.nth) for r in got.collect()) == sorted((r.id, r.nth) for r in want.collect())
+
+
+def test_texts_are_sent_once(spark):
+    """Where no needle is looked for literally, a text goes to Python in lower case alone, unless it has a character that is folded."""
+    named = joins._needles(spark.createDataFrame([("", "nose")], "mm string, en string"), "mm", "en")
+    t = spark.createDataFrame([(1, "A NOSE"), (2, "a no\u017fe")], "id int, text string")
+    plan = t.select("id", joins._windows(named, F.col("text"), True).alias("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "found(CASE WHEN" in plan.replace("RLIKE", "rlike")
+    assert [r.w for r in t.select("id", joins._windows(named, F.col("text"), False).alias("w")).orderBy("id").collect()][0][0].needle == "nose"
