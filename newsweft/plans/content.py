@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from ..functions import html, json_text, urls
 from ..operators import ml
-from ..session import shared_folder, written
+from ..session import release, shared_folder, written
 from ..sources import feeds, sinks
 from ..streaming import incremental
 from .articles import ARTICLES, articles
 from .registry import fixture, literal, query, table
 
+#: Labels up to which they are sent to the texts, so that no text is shuffled for them.
+SENT_LABELS = 1_000_000
+
 
 @query()
 def html_articles(spark, sf_dir):
@@ -77,14 +80,18 @@ def _records(spark, sf_dir):
     a = articles(spark, sf_dir)
     d = a.select("doc_id", F.col("title").alias("headline_a"), F.lit("").alias("headline_final"), F.lit("").alias("headline_body"), _rest(F.col("body")).alias("summary"), "url", F.lit("").alias("duplicate_key"))
     label = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"), F.lit(1.0).alias("weight"))
-    return d.join(label, "doc_id")
+    if label.count() <= SENT_LABELS:
+        return d.join(F.broadcast(label), "doc_id")
+    return written(d.join(label, "doc_id"), "model-records", "zstd")
 
 
 def _model(spark, sf_dir):
     rows = _records(spark, sf_dir)
     counted = ml.counts(rows, "doc_id")
     space = ml.Space.of(rows, ml.fit(counted, rows.count()))
-    values = written(ml.vectors(rows, "doc_id", space, ("label", "weight")), "model-values")
+    release(counted)
+    values = written(ml.vectors(rows, "doc_id", space, ("label", "weight")), "model-values", "zstd")
+    release(rows)
     return values, space, ml.train(values, space, "label", "weight")
 
 

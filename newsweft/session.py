@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -26,6 +27,7 @@ DEFAULTS = {
 
 _shipped: set[str] = set()
 _folders: list[tuple[SparkSession, str]] = []
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def get_session(app: str = "newsweft", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,18 +66,30 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below the shared folder and read back, which cuts its lineage; deleted when the process ends."""
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` written below the shared folder and read back, which cuts its lineage; deleted by ``release`` or when the process ends."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``written`` wrote of ``df``, which nothing may read any more."""
+    if path := _written.pop(df, None):
+        _folders.remove((df.sparkSession, path))
+        _delete(df.sparkSession, path)
 
 
 @atexit.register
 def release_folders() -> None:
     """Delete the shared folders of this process; results that still read them become unreadable."""
     while _folders:
-        spark, path = _folders.pop()
-        with contextlib.suppress(Exception):  # the JVM may be gone already
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(*_folders.pop())
